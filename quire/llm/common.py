@@ -75,6 +75,35 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         yield batch.slice(start), texts[start:]
 
 
+SIEVE_BITS = 1 << 26
+
+
+def sieve(ids: DataFrame, id_col: str) -> np.ndarray:
+    """A bit for each hash of the ids: 8 MB at most, whatever the number of ids (2048 bitmaps of 4 KB, made by a
+    distributed aggregate). It only spares work: with very many ids all bits are set and every row passes."""
+    position = F.pmod(F.xxhash64(id_col), F.lit(SIEVE_BITS)) + 1
+    maps = ids.select(F.bitmap_bucket_number(position).alias("b"), F.bitmap_bit_position(position).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
+    out = np.zeros(SIEVE_BITS // 8, np.uint8)
+    for r in maps:
+        out[(r.b - 1) * 4096 : r.b * 4096] = np.frombuffer(bytes(r.m), np.uint8)
+    return out
+
+
+def sieved(docs: DataFrame, id_col: str, bits: np.ndarray) -> DataFrame:
+    """The rows of docs whose id may be among the sieve's, before any shuffle of their texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+    hashed = docs.withColumn("_h", F.pmod(F.xxhash64(id_col), F.lit(SIEVE_BITS)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            h = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            kept = (table[h >> 3] >> (h & 7).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(kept.astype(bool)))
+
+    return hashed.mapInArrow(run, hashed.schema).drop("_h")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every input bit (in place)."""
     x ^= x >> np.uint64(33)

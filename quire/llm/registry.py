@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from quire.llm import bpe, license_scan, secret_scan, sharding
+from quire.llm import bpe, license_scan, minhash, secret_scan, sharding, substring_dedup
 from quire.sources.shipping import shipped
 
 
 def queries() -> dict[str, Callable]:
-    ops = (sharding.op6_sharding, license_scan.op8_license_scan, secret_scan.op9_secret_scan, bpe.op10_bpe)
+    ops = (substring_dedup.op4_substring_dedup, sharding.op6_sharding, minhash.op7_minhash, license_scan.op8_license_scan, secret_scan.op9_secret_scan, bpe.op10_bpe)
     return {f.__name__: shipped(f) for f in ops}
 
 
