@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,32 +9,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sources.shared import written  # noqa: F401
+
 #: Bytes of text that one vectorised step holds at once (a single longer text still goes whole).
 CHUNK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 BASE2 = np.uint64(0xD1342543DE82EF95)
-_LOCAL: dict[str, str] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    return _LOCAL.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="quire-shared-"))
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/quire-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
