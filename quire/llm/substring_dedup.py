@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from quire.llm.common import BASE2, Words, documents, partitions, prefix, sieve, sieved, slices, sliding_min, span_hash, written
 
 WINDOW, GRAM = 50, 25
-SALT_ROWS = 500  # documents under one key in a salted group
-FIRST = -(1 << 63)
+SALT_ROWS = 20_000  # documents under one key in a salted group
+FIRST = -(1 << 62)  # stands for a missing doc_id
 
 
 def window_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -286,4 +286,5 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("whole") & (F.col("n_words") >= WINDOW), F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("whole") & (F.col("n_words") >= WINDOW), F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.lower(F.hex("sha"))).alias("kept_sha256"),
     )
-    return rest.unionByName(kept.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
+    out = rest.unionByName(kept.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
+    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(FIRST)))
