@@ -6,13 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.sources.shared import written  # noqa: F401
 
 #: Bytes of text that one vectorised step holds at once (a single longer text still goes whole).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 BASE2 = np.uint64(0xD1342543DE82EF95)
 
@@ -42,50 +43,40 @@ def running_index(df: DataFrame, keys: list[str], order: list, name: str, tie: s
     return numbered.join(offsets, [*keys, "_cell"]).withColumn(name, (F.col("_rn") + F.col("_off")).cast("long")).drop("_rn", "_off", "_cell")
 
 
-def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
-    return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
-
-
 def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Pieces of a batch of about `limit` bytes of text, each with its texts as UTF-8."""
-    texts = utf8(batch.column(batch.schema.get_field_index(column)))
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        if i > start and held + len(t) > limit:
-            yield batch.slice(start, i - start), texts[start:i]
-            start, held = i, 0
-        held += len(t)
-    if start < len(texts):
-        yield batch.slice(start), texts[start:]
+    """Pieces of a batch of about `limit` bytes of text, each with its texts as UTF-8 (null: empty). Only one piece
+    at a time is held outside the batch."""
+    at = batch.schema.get_field_index(column)
+    lengths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lengths)
+    start = 0
+    while start < batch.num_rows:
+        held = int(ends[start] - lengths[start])
+        stop = max(start + 1, int(np.searchsorted(ends, held + limit, "right")))
+        part = batch.slice(start, stop - start)
+        yield part, [b"" if x is None else x for x in part.column(at).cast(pa.binary()).to_pylist()]
+        start = stop
+    pa.default_memory_pool().release_unused()
 
 
 SIEVE_BITS = 1 << 26
 
 
-def sieve(ids: DataFrame, id_col: str) -> np.ndarray:
-    """A bit for each hash of the ids: 8 MB at most, whatever the number of ids (2048 bitmaps of 4 KB, made by a
-    distributed aggregate). It only spares work: with very many ids all bits are set and every row passes."""
+def sieve(ids: DataFrame, id_col: str) -> DataFrame:
+    """(_bucket, _map): a bit for each hash of the ids, 8 MB at most whatever the number of ids (2048 bitmaps of 4 KB,
+    made by a distributed aggregate). It only spares work: with very many ids all bits are set and every row passes."""
     position = F.pmod(F.xxhash64(id_col), F.lit(SIEVE_BITS)) + 1
-    maps = ids.select(F.bitmap_bucket_number(position).alias("b"), F.bitmap_bit_position(position).alias("p")).groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()
-    out = np.zeros(SIEVE_BITS // 8, np.uint8)
-    for r in maps:
-        out[(r.b - 1) * 4096 : r.b * 4096] = np.frombuffer(bytes(r.m), np.uint8)
-    return out
+    bits = ids.select(F.bitmap_bucket_number(position).alias("_bucket"), F.bitmap_bit_position(position).alias("_bit"))
+    return bits.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_map"))
 
 
-def sieved(docs: DataFrame, id_col: str, bits: np.ndarray) -> DataFrame:
+def sieved(docs: DataFrame, id_col: str, bitmaps: DataFrame) -> DataFrame:
     """The rows of docs whose id may be among the sieve's, before any shuffle of their texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
-    hashed = docs.withColumn("_h", F.pmod(F.xxhash64(id_col), F.lit(SIEVE_BITS)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(shared.value, np.uint8)
-        for batch in batches:
-            h = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-            kept = (table[h >> 3] >> (h & 7).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(kept.astype(bool)))
-
-    return hashed.mapInArrow(run, hashed.schema).drop("_h")
+    position = F.pmod(F.xxhash64(id_col), F.lit(SIEVE_BITS)) + 1
+    bit = F.bitmap_bit_position(position)
+    byte = F.conv(F.hex(F.substring(F.col("_map"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    hit = docs.withColumn("_bucket", F.bitmap_bucket_number(position)).join(F.broadcast(bitmaps), "_bucket")
+    return hit.where(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1).select(*docs.columns)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -105,10 +96,10 @@ def powers(n: int, base: np.uint64 = BASE) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n at least."""
     have = _POWERS.get(int(base))
     if have is None or len(have[0]) < n:
-        size = max(1 << 20, 1 << int(n - 1).bit_length())
+        size = max(1 << 19, 1 << int(n - 1).bit_length())
         inverse = np.uint64(pow(int(base), -1, 1 << 64))
         have = tuple(np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(size - 1, b, np.uint64))]) for b in (base, inverse))
-        if size <= 1 << 22:  # longer tables are not kept
+        if size <= 1 << 20:  # longer tables are not kept
             _POWERS[int(base)] = have
     return have
 
