@@ -201,14 +201,25 @@ def host_of(u: Column) -> Column:
     return or_blank(F.lower(F.try_parse_url(u, F.lit("HOST"))))
 
 
+def _on_host(domain: str, path: str):  # noqa: ANN202
+    def test(u: Column) -> Column:
+        here = (host_of(u) == domain) | F.endswith(host_of(u), F.lit("." + domain))
+        return here & u.rlike(path) if path else here
+
+    return test
+
+
 def pick_preprint(urls: Column) -> Column:
     """struct(u, s): the first address, in order, of the best repository; null if there is none."""
     web = F.filter(urls, lambda u: u.rlike("(?i)^https?://"))
     out = F.lit(None).cast("struct<u:string,s:string>")
     for domain, name, path in reversed(HOSTS):
-        own = F.filter(web, lambda u, d=domain, p=path: ((host_of(u) == d) | F.endswith(host_of(u), F.lit("." + d))) & (u.rlike(p) if p else F.lit(True)))
-        first = F.try_element_at(own, F.lit(1))
-        shown = canon_arxiv(first) if name == "arxiv" else F.concat(F.lit("https://www.nber.org/papers/"), F.lower(F.regexp_extract(first, "(?i)/(w[0-9]+)", 1))) if name == "nber" else first
+        first = F.try_element_at(F.filter(web, _on_host(domain, path)), F.lit(1))
+        shown = first
+        if name == "arxiv":
+            shown = canon_arxiv(first)
+        elif name == "nber":
+            shown = F.concat(F.lit("https://www.nber.org/papers/"), F.lower(F.regexp_extract(first, "(?i)/(w[0-9]+)", 1)))
         out = F.when(first.isNotNull(), F.struct(shown.alias("u"), F.lit(name).alias("s"))).otherwise(out)
     return out
 
