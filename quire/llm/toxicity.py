@@ -74,7 +74,8 @@ def countdown(opens: int, reach: int, output: str) -> Transducer:
 INSULTS = Transducer({(0, W_INSULT): (0, "insult")})
 THREATS = Transducer({(0, W_INTENT): (1, ""), (1, W_HARM): (0, "threat"), (0, W_HARM): (0, "harm")})
 TARGETS = Transducer({(0, W_TARGET): (1, ""), (1, W_INSULT): (1, "target"), (1, W_HARM): (1, "target")})
-REPORTS = Transducer({(0, W_REPORT): (1, ""), (0, W_QUOTE): (1, ""), (1, W_QUOTE): (0, ""), (1, W_INSULT): (1, "report"), (1, W_HARM): (1, "report")})
+#: States: 0 own words, 1 after a verb of saying, 2 within quotation marks.
+REPORTS = Transducer({(0, W_REPORT): (1, ""), (0, W_QUOTE): (2, ""), (1, W_QUOTE): (2, ""), (2, W_QUOTE): (0, "")} | {(s, c): (s, "report") for s in (1, 2) for c in (W_INSULT, W_HARM)})
 PARTS = (INSULTS, THREATS, TARGETS, countdown(W_NEGATION, NEAR, "negation"), REPORTS, countdown(W_STRONG, 2, "strong"))
 
 
