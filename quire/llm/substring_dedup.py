@@ -129,7 +129,7 @@ def decided(rows: DataFrame, parts: int) -> DataFrame:
         yield batch_of([(None, None, 1, int(doc[by][a]), False, 0, at[by[a:b]].astype(np.int64)) for a, b in zip(edge, ends, strict=True)])
         # of windows in a salted group, the least document's stay open (all its places)
         open_ = np.flatnonzero((salts > 1) & (doc == least))
-        yield batch_of([(int(h[k]), 0, 1, int(doc[k]), bool(old[k]), int(at[k]), w[k : k + 1]) for k in open_])
+        yield batch_of([(int(h[k]), int(w[k]), 1, int(doc[k]), bool(old[k]), int(at[k]), w[k : k + 1]) for k in open_])
 
     def batch_of(found: list[tuple]) -> pa.RecordBatch:
         cols = list(zip(*found, strict=True)) or [[]] * 7

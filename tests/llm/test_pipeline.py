@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -45,6 +46,8 @@ def test_pipeline_against_plain_steps(spark, tmp_path):
     for d, t in kept:
         if d == 101:
             t = t[: t.index("token =")] + "[SECRET]" + t[t.index("f962") + 4 :]
+        else:
+            t = re.sub("[0-9a-f]{32,}", "[SECRET]", t or "")
         ids = ref.encode(t or "", add_special_tokens=False).ids
         want[d] = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
     assert got == want
