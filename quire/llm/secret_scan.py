@@ -50,8 +50,10 @@ LETTERS = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6
 
 
 def ordinary(alphabet: str) -> list[float]:
-    """Character shares of ordinary tokens within an alphabet: letters as in prose, one digit or mark in twelve."""
-    share = [(LETTERS[ord(c.lower()) - 97] if c.isalpha() else 0.8) for c in alphabet]
+    """Character shares of ordinary tokens within an alphabet: letters as in prose, capitals a tenth of them where there
+    are both cases, one digit or mark in twelve."""
+    both = any(c.islower() for c in alphabet)
+    share = [LETTERS[ord(c.lower()) - 97] * (0.1 if both and c.isupper() else 1) if c.isalpha() else 0.8 for c in alphabet]
     return [s / sum(share) for s in share]
 
 
