@@ -162,7 +162,12 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     reps = told.join(classes, "sha").where(F.col("doc") == F.col("class")).dropDuplicates(["doc"])
     bands = written(reps.select("doc", F.explode("keys").alias("key")))
     shared = bands.groupBy("key").agg(F.min("doc").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
-    stars = bands.join(shared, "key").where("doc <> head").select(F.col("doc").alias("a"), F.col("head").alias("b")).distinct()
+    # a text is linked to the least of its bands' heads, and that head to the others: the same connected sets with
+    # one link a text, and few links between heads
+    heads = bands.join(shared, "key").groupBy("doc").agg(F.min("head").alias("root"), F.collect_set("head").alias("heads"))
+    heads = written(heads)
+    between = heads.select("root", F.explode("heads").alias("head")).where("root <> head").distinct()
+    stars = heads.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(between.select(F.col("head").alias("a"), F.col("root").alias("b")))
     sets = written(connected_components(stars))
     blocks = sets.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = written(sets.join(blocks, "component").join(classes.select(F.col("class").alias("node"), "copies"), "node").select(F.col("node").alias("doc"), "component", "blocks", "copies", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")))
