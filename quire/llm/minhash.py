@@ -1,9 +1,9 @@
-"""MinHash fingerprints over word shingles, and near-duplicate pairs by signature bands.
+"""MinHash fingerprints over word shingles, and near duplicates by signature bands.
 
 Words are runs without ASCII white space; a shingle is five words in a row (all words of a shorter text). Shingle
 hashes of a chunk of texts lie in one array; for each of PERMS multiply-add-shift hash functions one pass over it and
 one segmented minimum give that component of every text's signature. A fingerprint is the signature's low 16 bits in
-hex. For pairs, bands of the signature are joined in Spark and the exact Jaccard similarity decides.
+hex. For near duplicates, bands of the signature are joined in Spark and the exact Jaccard similarity decides.
 
 Null and empty texts, and texts of white space, have no shingle: the fingerprint is all f, alike to each other (1.0)
 and unlike any text with words (0.0). Equal texts have equal fingerprints. Texts go in whole. Rows with one doc_id
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import CHUNK_BYTES, Words, documents, mix, partitions, span_hash, prefix, written
+from quire.llm.common import CHUNK_BYTES, Words, documents, mix, partitions, prefix, slices, span_hash
 
 PERMS, SHINGLE = 128, 5
 _RNG = np.random.Generator(np.random.PCG64(20240229))
@@ -71,8 +71,6 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perms: int = PERMS) -> DataFrame:
     """id and `signature` (array of 32-bit minima as long) of each row."""
-    from quire.llm.common import slices
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, text_col):
@@ -82,28 +80,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, signature array<bigint>")
 
 
-def near_pairs(docs: DataFrame, threshold: float = 0.8, bands: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pairs (a, b, jaccard) of representatives of different texts with similarity at least `threshold`.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row a document: class_id (least id with its text), n_links, n_linked_docs, group_id, by signature bands joined
+    in Spark and exact Jaccard similarity of 0.8 or more. Pairs never become rows: sets that bands connect are compared
+    in blocks, as the n-gram join does, so a group of thousands of near copies costs rows in proportion to its size."""
+    from quire.llm.ngram_jaccard import jaccard_join
 
-    Equal texts are one representative (the least id), so copies are never expanded. Each band key links its members
-    to pairs within the band's group only; exact similarity over sorted shingle arrays decides.
-    """
-    reps = written(docs.where(F.trim(F.coalesce(F.col(text_col), F.lit(""))) != "").groupBy(text_col).agg(F.min(id_col).alias(id_col)))
-    rows = PERMS // bands
-    sig = fingerprints(reps, id_col, text_col)
-    keyed = written(sig.select(id_col, F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(F.slice("signature", b * rows + 1, rows)))).alias("band", "key")))
-    left, right = keyed.withColumnRenamed(id_col, "a"), keyed.withColumnRenamed(id_col, "b")
-    pairs = left.join(right, ["band", "key"]).where("a < b").select("a", "b").distinct()
-    sets = reps.select(id_col, F.array_distinct(shingles_column(F.col(text_col))).alias("s"))
-    both = pairs.join(sets.select(F.col(id_col).alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col(id_col).alias("b"), F.col("s").alias("sb")), "b")
-    same = F.size(F.array_intersect("sa", "sb"))
-    return both.select("a", "b", (same / (F.size("sa") + F.size("sb") - same)).alias("jaccard")).where(F.col("jaccard") >= threshold)
-
-
-def shingles_column(text, k: int = SHINGLE):  # noqa: ANN001, ANN201
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    last = F.greatest(F.size(words) - k + 1, F.lit(1))
-    return F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(words, i, k), " "))
+    return jaccard_join(docs, id_col, text_col)
 
 
 def followed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
