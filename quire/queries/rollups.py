@@ -43,14 +43,19 @@ LABELS = f"""e AS ({EDGES}), s AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM
 labels_ AS (SELECT node, min(seen) AS component FROM r GROUP BY node)"""
 
 
-def edges(spark, sf_dir):  # noqa: ANN001, ANN201
-    li = table(spark, sf_dir, "lineitem").where("l_quantity = 50")
+def edges(li):  # noqa: ANN001, ANN201
     return li.select(F.concat(F.lit("o"), "l_orderkey").alias("a"), F.concat(F.lit("p"), "l_partkey").alias("b")).distinct()
 
 
 @query(f"WITH RECURSIVE {LABELS} SELECT node, component FROM labels_")
 def connected_components(spark, sf_dir):  # noqa: ANN001, ANN201
-    return components(edges(spark, sf_dir))
+    return components(edges(table(spark, sf_dir, "lineitem").where("l_quantity = 50")))
+
+
+@query()
+def connected_components_whole(spark, sf_dir):  # noqa: ANN001, ANN201
+    """connected_components over every order line; a recursive SQL can't be run on them, a test has a union-find."""
+    return components(edges(table(spark, sf_dir, "lineitem")))
 
 
 @query(f"""WITH RECURSIVE {LABELS}, m AS (SELECT component, p_name AS name, l_orderkey AS o, p_type AS area FROM lineitem JOIN labels_ ON node = 'p' || l_partkey JOIN part ON l_partkey = p_partkey WHERE l_quantity = 50),
@@ -58,8 +63,18 @@ n AS (SELECT component, name, count(*) AS n, min(o) AS f FROM m GROUP BY ALL), g
 a AS (SELECT component, count(DISTINCT area)::BIGINT AS areas FROM m GROUP BY component)
 SELECT component, names[1] AS author, papers, areas, array_to_string(names[2:], '|') AS variants FROM g JOIN a USING (component)""")
 def component_rollup(spark, sf_dir):  # noqa: ANN001, ANN201
-    labels = components(edges(spark, sf_dir))
-    li = table(spark, sf_dir, "lineitem").where("l_quantity = 50").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return rolled_up(table(spark, sf_dir, "lineitem").where("l_quantity = 50"), table(spark, sf_dir, "part"))
+
+
+@query()
+def component_rollup_whole(spark, sf_dir):  # noqa: ANN001, ANN201
+    """component_rollup over every order line, without SQL as connected_components_whole."""
+    return rolled_up(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+
+
+def rolled_up(lines, part):  # noqa: ANN001, ANN201
+    labels = components(edges(lines))
+    li = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
     m = li.join(labels, F.concat(F.lit("p"), "l_partkey") == F.col("node")).select("component", F.col("p_name").alias("name"), F.col("l_orderkey").alias("o"), F.col("p_type").alias("area"))
     counts = m.groupBy("component", "name").agg(F.count("*").alias("n"), F.min("o").alias("f"))
     named = entities.mode_and_variants(counts, "component", "name", "n", "f")
