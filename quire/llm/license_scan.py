@@ -1,9 +1,11 @@
 """Licence recognition by sentence rules, in built-in column functions only; no row ever shuffles.
 
 A text is cut into sentences at line ends and after . ! ? ; followed by white space. Each is normalised (ASCII lower
-case, runs of other characters than a-z and 0-9 become one space) and looked up among known licence sentences. The
-identifiers that are found, in text order and without the unknown sentences between them, form the document's
-sequence. Ordered rules are then matched against it: a rule is a run of identifiers, and one that lies within the
+case, runs of other characters than a-z and 0-9 become one space). A known licence sentence is one such piece or a run
+of neighbouring ones: texts are wrapped, commented line by line, and have a semicolon or blank line inside a known
+sentence. It starts and ends where pieces do; of several from one place the longest counts, and what lies within it
+doesn't count again. The identifiers that are found, in text order and without the unknown sentences between them,
+form the document's sequence. The SQL knows single pieces only and has fewer identifiers where a sentence is wrapped. Ordered rules are then matched against it: a rule is a run of identifiers, and one that lies within the
 run of an earlier, longer rule of the same family does not count again.
 
 Null and empty texts have an empty sequence and no licence. Repeated sentences stay repeated in the sequence; a rule
@@ -90,9 +92,14 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(plain, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
+#: Known sentences between piece ends, longest first; a piece may end between any two words.
+KNOWN = "(?<=\n)(?:" + "|".join(x.replace(" ", "[ \n]") for x in sorted(SENTENCES.values(), key=len, reverse=True)) + ")(?=\n)"
+
+
 def identifiers(found: Column) -> Column:
     known = F.create_map(*[F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)])
-    return F.filter(F.transform(found, lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
+    runs = F.regexp_extract_all(F.concat(F.lit("\n"), F.array_join(found, "\n"), F.lit("\n")), F.lit(KNOWN), F.lit(0))
+    return F.transform(runs, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
