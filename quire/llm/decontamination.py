@@ -4,19 +4,24 @@ Words are lower-cased runs of letters, digits and other non-ASCII characters. Ea
 positions, so a hit survives substitutions at the positions it ignores. The benchmark's seed hashes form a sorted
 table; every document's hashes are joined to it inside the scan, first through a bitmap and then by binary search. At
 each hit, document and item are laid side by side along the hit's diagonal and the best stretch is kept (+1 for an
-equal word, -3 for another); a stretch with MIN_WORDS words (or the whole of a shorter item), of which MIN_EQUAL are
-equal, is an overlap.
+equal word, -3 for another; of equal scores the longer stretch); a stretch with MIN_WORDS words (or the whole of a
+shorter item), of which MIN_EQUAL are equal, is an overlap. So is an item that lies whole in the document with MIN_EQUAL
+of its words, and at least SHORTEST, equal: substitutions near its ends or close together cut its best stretch.
 
 The table is broadcast in blocks of at most BLOCK_WORDS benchmark words (64 MB), each a pass over the documents: a
 larger benchmark costs passes, not memory. Documents never shuffle for one block.
 
-Null texts and empty ones are clean. Items below SHORTEST words can't be told from chance and are not searched; items
-shorter than a mask are searched whole. Repeated items count under each of their ids. Texts are searched whole.
+Null texts and empty ones are clean. Items below SHORTEST words can't be told from chance and are not searched. Items of
+up to PARTED words are also seeded by pairs of their parts, of which two stay intact at any MIN_EQUAL, so none of them is
+missed; longer ones rely on the masks, which can all be hit by substitutions. Repeated items count under each of their ids. Texts are searched whole.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +32,10 @@ from quire.llm.common import Words, documents, mix, slices
 
 MASKS = ("11010011011", "11100101011", "10110100111", "11001011101")
 SPAN, SHORTEST, MIN_WORDS, MIN_EQUAL = 11, 5, 12, 0.8
+PARTED = 14
 BLOCK_WORDS = 1 << 20
 FILTER_BITS = 20
-FACTORS = np.random.Generator(np.random.PCG64(77)).integers(0, 1 << 63, (32, SPAN), np.uint64) * np.uint64(2) + np.uint64(1)
+FACTORS = np.random.Generator(np.random.PCG64(77)).integers(0, 1 << 63, (64, SPAN), np.uint64) * np.uint64(2) + np.uint64(1)
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -39,9 +45,18 @@ def plain(text: bytes) -> bytes:
     return text.translate(TABLE)
 
 
-def offsets() -> list[list[int]]:
-    """Positions that each mask compares: the fixed masks, then whole runs of 5 to 10 words for short items."""
-    return [[i for i, c in enumerate(m) if c == "1"] for m in MASKS] + [list(range(n)) for n in range(SHORTEST, SPAN)]
+def parted(n: int) -> list[list[int]]:
+    """Pairs of parts of an n-word item: with k substitutions allowed, two of its k + 2 parts are intact."""
+    parts = [p.tolist() for p in np.array_split(np.arange(n), n - math.ceil(MIN_EQUAL * n) + 2)]
+    return [a + b for a, b in combinations(parts, 2)]
+
+
+@cache
+def offsets() -> list[tuple[int, list[int]]]:
+    """Item length (0: SPAN and over) and the positions compared: the fixed masks, whole runs of 5 to 10 words for short
+    items, then pairs of parts."""
+    masks = [(0, [i for i, c in enumerate(m) if c == "1"]) for m in MASKS] + [(n, list(range(n))) for n in range(SHORTEST, SPAN)]
+    return masks + [(n, o) for n in range(SHORTEST + 1, PARTED + 1) for o in parted(n)]
 
 
 def seed_keys(h: np.ndarray, mask: int, places: list[int]) -> np.ndarray:
@@ -63,12 +78,12 @@ class Seeds:
         self.ids, self.first, self.h = np.array(ids, np.int64), words.first, words.hashes()
         keys, items, places = [], [], []
         self.masks = []
-        for m, o in enumerate(offsets()):
+        for m, (n, o) in enumerate(offsets()):
             k = seed_keys(self.h, m, o)
             at = np.arange(len(k))
             fits = words.text[at] == words.text[at + o[-1]] if len(at) else np.zeros(0, bool)
             size = words.count[words.text[at]]
-            fits &= (size >= SPAN) if m < len(MASKS) else (size == len(o))
+            fits &= (size == n) & (at == words.first[words.text[at]]) if n else size >= SPAN
             if fits.any():
                 self.masks.append(m)
             keys.append(k[fits])
@@ -85,7 +100,7 @@ class Seeds:
         h = words.hashes()
         found = []
         for m in self.masks:
-            o = offsets()[m]
+            o = offsets()[m][1]
             k = seed_keys(h, m, o)
             at = np.flatnonzero(self.bitmap[k >> np.uint64(64 - FILTER_BITS)])
             at = at[words.text[at] == words.text[at + o[-1]]]
@@ -106,11 +121,22 @@ class Seeds:
                 equal = self.h[lo:hi] == h[lo + shift : hi + shift]
                 score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -3))])
                 low = np.minimum.accumulate(score)
-                end = int(np.argmax(score - low))
-                start = int(np.flatnonzero(score[: end + 1] == low[end])[-1])
-                if end - start >= min(MIN_WORDS, b - a) and equal[start:end].mean() >= MIN_EQUAL:
-                    base = lo + shift - int(words.first[t])
-                    out.append((t, int(self.ids[item]), base + start, base + end))
+                gain = score - low
+                ends = np.flatnonzero(gain == gain.max())
+                starts = np.searchsorted(-low, -low[ends])  # the first place as low
+                k = int(np.argmax(ends - starts))
+                end = int(ends[0])
+                last = int(np.flatnonzero(score[: end + 1] == low[end])[-1])
+                # of the best score: the longest stretch, and the shortest at its first end; then the whole item
+                for start, end, whole in ((int(starts[k]), int(ends[k]), False), (last, end, False), (0, hi - lo, True)):
+                    if whole:
+                        enough = (lo, hi) == (a, b) and equal.sum() >= SHORTEST
+                    else:
+                        enough = end - start >= min(MIN_WORDS, b - a)
+                    if enough and equal[start:end].mean() >= MIN_EQUAL:
+                        base = lo + shift - int(words.first[t])
+                        out.append((t, int(self.ids[item]), base + start, base + end))
+                        break
         return count, out
 
 
