@@ -1,7 +1,7 @@
 """Secrets: fixed patterns, and a randomness test battery over other long tokens.
 
 Base kinds (always kept): assign, access, hex. Candidates of the battery are runs of 20 or more characters of
-[A-Za-z0-9+/_=-]. For each, the encoding is inferred from the characters present (hex, base32, lower-case
+[A-Za-z0-9+/_-] with their = padding, so a value joined to its name by = is a candidate of its own. For each, the encoding is inferred from the characters present (hex, base32, lower-case
 alphanumeric, base64 and base64url), which fixes the alphabet that a random token would be drawn from. Three tests look for departures
 from randomness: chi-squared uniformity over the alphabet, Wald-Wolfowitz runs about the alphabet's middle, and the
 lag-one serial correlation. A token that a test rejects at REJECT is ordinary. For one that passes, the p-value under
@@ -33,7 +33,7 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # a run of 16 or more; a shorter one holds no longer one
 HEX = re.compile(r"[0-9a-f]{32,}")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?")  # = as padding only: up to 6 of base32
 HINTS = ("passw", "secret", "token", "api")
 FDR, REJECT = 0.01, 1e-4
 LENGTHS = (20, 24, 32, 40, 48, 64, 96, 128, 1 << 60)  # upper edges of the length classes
