@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import Words, documents, mix, slices
+from quire.sources.shared import written
 
 MASKS = ("11010011011", "11100101011", "10110100111", "11001011101")
 SPAN, SHORTEST, MIN_WORDS, MIN_EQUAL = 11, 5, 12, 0.8
@@ -166,16 +167,29 @@ def contamination(docs: DataFrame, bench: DataFrame, text_col: str = "text", ite
     keep = [c for c in keep if c not in ("n_hits", "items", "matched_words", "spans", "contaminated")]
     source = docs.select(*keep, *([] if text_col in keep else [text_col]))
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", " + SCHEMA
-    passes = [scanned(source, spark.sparkContext.broadcast(b), text_col, keep, schema) for b in blocks(bench, item_col, item_text)]
-    if not passes:
+    seeds = [spark.sparkContext.broadcast(b) for b in blocks(bench, item_col, item_text)]
+    if not seeds:
         return docs.select(*keep, F.lit(0).cast("long").alias("n_hits"), F.array().cast("array<long>").alias("items"), F.lit(0).cast("long").alias("matched_words"), F.lit("").alias("spans"), F.lit(False).alias("contaminated"))
-    if len(passes) == 1:
-        return passes[0]
-    out = passes[0]
-    for p in passes[1:]:
-        out = out.unionByName(p)
-    # several blocks: counts add up, lists join; words that two blocks' items share count once for each block
-    return out.groupBy(*keep).agg(F.sum("n_hits").alias("n_hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.sum("matched_words").alias("matched_words"), F.concat_ws(",", F.array_sort(F.collect_list(F.nullif("spans", F.lit(""))))).alias("spans"), F.max("contaminated").alias("contaminated"))
+    if len(seeds) == 1:
+        return scanned(source, seeds[0], text_col, keep, schema)
+    # several blocks: rows are numbered, written once and meet again by number, whatever their columns hold
+    row = "_row"
+    while row in source.columns:
+        row += "_"
+    numbered = written(source.withColumn(row, F.monotonically_increasing_id()))
+    found = None
+    for b in seeds:
+        one = scanned(numbered, b, text_col, [row], f"`{row}` bigint, {SCHEMA}").where("n_hits > 0")
+        found = one if found is None else found.unionByName(one)
+    span = F.transform(F.split("spans", ","), lambda x: F.transform(F.split(x, ":"), lambda n: n.cast("long")))
+    spans = F.when(F.col("spans") != "", span).otherwise(F.array().cast("array<array<bigint>>"))
+    merged = found.groupBy(row).agg(F.sum("n_hits").alias("n_hits"), F.array_sort(F.flatten(F.collect_list(spans))).alias("_s"))
+    places = F.array_sort(F.transform("_s", lambda x: F.struct(x[1].alias("a"), x[2].alias("b"))))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+    union = F.aggregate(places, start, lambda s, x: F.struct((s["n"] + F.greatest(F.lit(0).cast("long"), x["b"] - F.greatest(x["a"], s["end"]))).alias("n"), F.greatest(s["end"], x["b"]).alias("end")), lambda s: s["n"])
+    merged = merged.select(row, "n_hits", F.array_distinct(F.transform("_s", lambda x: x[0])).alias("items"), union.alias("matched_words"), F.array_join(F.transform("_s", lambda x: F.array_join(x.cast("array<string>"), ":")), ",").alias("spans"))
+    none = {"n_hits": F.lit(0).cast("long"), "items": F.array().cast("array<long>"), "matched_words": F.lit(0).cast("long"), "spans": F.lit("")}
+    return numbered.select(row, *keep).join(merged, row, "left").select(*keep, *[F.coalesce(c, x).alias(c) for c, x in none.items()], (F.size(F.coalesce("items", none["items"])) > 0).alias("contaminated"))
 
 
 def scanned(source: DataFrame, shared, text_col: str, keep: list[str], schema: str) -> DataFrame:  # noqa: ANN001
