@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,6 +117,44 @@ def span_hash(p: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint64
     return mix((p[end] - p[start]) * powers(len(p), base)[1][start])
 
 
+#: The first k bytes of eight, and blanks for the others.
+_LOW = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+_BLANK = np.uint64(0x2020202020202020) & ~_LOW
+_LONG = 256  # bytes of a word from which it is hashed by BLAKE2
+
+
+def eights(data: np.ndarray, pad: bool = True) -> np.ndarray:
+    """The eight bytes that start at each place, as one number (a view; blanks are put after the end if asked for)."""
+    padded = np.concatenate([data, np.full(8, 32, np.uint8)]) if pad else data
+    return np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+
+
+def eight(loads: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Up to n of the eight bytes at each place, blanks for the rest: no word holds a blank, so none is like another."""
+    k = np.minimum(n, 8)
+    return (loads[at] & _LOW[k]) | _BLANK[k]
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of words (byte spans). Words of up to eight bytes have different hashes for certain; longer ones are
+    chained in eights through a mixing that is no polynomial, very long ones go through BLAKE2."""
+    loads, n = eights(data), end - start
+    own = np.uint64((seed * 0x9FB21C651E98DF25 + 0x2545F4914F6CDD1D) % (1 << 64))
+    h = mix(eight(loads, start, n) ^ own)
+    live, k = np.flatnonzero(n > 8), 8
+    while len(live):
+        if k == _LONG:
+            for i in live.tolist():
+                digest = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, key=seed.to_bytes(8, "little")).digest()
+                h[i] = np.frombuffer(digest, np.uint64)[0]
+            break
+        v = mix(eight(loads, start[live] + k, n[live] - k) + own)
+        h[live] = mix((h[live] + np.uint64(k)) * BASE2 ^ v)
+        k += 8
+        live = live[n[live] > k]
+    return h
+
+
 class Words:
     """Words `[^\\x20\\x09-\\x0D]+` of several texts: byte spans, text numbers, 64-bit hashes."""
 
@@ -132,9 +171,8 @@ class Words:
         self.count = np.diff(self.first)
         self.text = np.repeat(np.arange(len(texts)), self.count)
 
-    def hashes(self, base: np.uint64 = BASE) -> np.ndarray:
-        p = prefix(self.data.astype(np.uint64) + np.uint64(1), base)
-        return span_hash(p, self.start, self.end, base)
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        return word_hashes(self.data, self.start, self.end, seed)
 
     def windows(self, k: int) -> np.ndarray:
         """Word numbers at which k words of one text start."""

@@ -77,7 +77,7 @@ def window_rows(docs: DataFrame) -> DataFrame:
                 at, keys = window_keys(words)
                 if not len(at):
                     continue
-                p = prefix(words.hashes(BASE2), BASE2)
+                p = prefix(words.hashes(2), BASE2)
                 w = span_hash(p, at, at + WINDOW, BASE2).view(np.int64)
                 text = words.text[at]
                 place = at - words.first[text]
