@@ -80,6 +80,23 @@ def sieved(docs: DataFrame, id_col: str, bitmaps: DataFrame) -> DataFrame:
     return hit.where(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1).select(*docs.columns)
 
 
+NO_ID = -(1 << 63)  # stands for a missing id in joins
+
+
+def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of `wanted` (first: an id or null; sha: of a text with that id) with that text, each once.
+
+    docs: doc (long), text. Id and digest find a text together, so rows that share an id, or have none, stay apart.
+    Rows whose id nothing asks for go before the shuffle; those without an id are first reduced to different texts.
+    """
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    wanted = wanted.withColumn("_id", F.coalesce("first", F.lit(NO_ID)))
+    some = sieved(docs.where("doc is not null").select(F.col("doc").alias("_id"), "text"), "_id", sieve(wanted, "_id"))
+    none = docs.where("doc is null").groupBy(digest.alias("sha")).agg(F.first("text").alias("text"))
+    rows = some.select("_id", digest.alias("sha"), "text").unionByName(none.select(F.lit(NO_ID).alias("_id"), "sha", "text"))
+    return rows.join(wanted, ["_id", "sha"]).dropDuplicates(["_id", "sha"]).drop("_id")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every input bit (in place)."""
     x ^= x >> np.uint64(33)

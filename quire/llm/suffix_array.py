@@ -2,19 +2,18 @@
 
 The array is built by the induced-sorting scheme: suffixes are classified as smaller (S) or larger (L) than their
 successor, the leftmost S suffixes are sorted by inducing, named, sorted recursively as a shorter string, and the whole
-array is induced from their order, L suffixes left to right and S suffixes right to left. A bucket's suffixes move
-together: those that were put into it are read in order, their predecessors are dealt to their own buckets with one
-stable sort of their symbols, and predecessors in the same bucket form the next round. So the work is linear with
-a few numpy calls for each bucket. A shorter string of more than WIDE different names has too many buckets for that;
-there the ranks of its suffixes are refined by doubling instead.
+array is induced from their order, L suffixes left to right and S suffixes right to left. Reading the array puts each
+suffix's predecessor at the next free place of its own bucket; here whole batches of buckets are read at once. A batch
+goes as far as no suffix in it puts another one into it, so what it holds is complete when its turn comes, and its
+predecessors are dealt to their buckets by one stable sort of their symbols. Runs of one symbol follow from their last
+place: in its bucket a longer run comes after (L) or before (S) every shorter one. The same passes serve any number
+of symbols, from the bytes of the text down to the names of the last level.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-WIDE = 700
-
 
 def smaller(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one (the last symbol is the least and alone, so it is)."""
@@ -27,69 +26,88 @@ def smaller(s: np.ndarray) -> np.ndarray:
     return out
 
 
-class Buckets:
-    """Places of a suffix array, by first symbol, filled from the front (L) or from the back (S)."""
-
-    def __init__(self, s: np.ndarray, k: int):
-        count = np.bincount(s, minlength=k)
-        self.start = np.cumsum(count) - count
-        self.end = self.start + count
-        self.present = np.flatnonzero(count)
-
-    def induce(self, s: np.ndarray, small: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-        """The array that follows from `seeds`, the leftmost S suffixes in their order."""
-        sa = np.full(len(s), -1, np.int64)
-        seed_symbol = s[seeds]
-        seed_at = np.searchsorted(seed_symbol, np.arange(len(self.start) + 1))
-        front = self.start.copy()
-        for c in self.present.tolist():
-            done = self.start[c]
-            while done < front[c]:
-                block = sa[done : front[c]]
-                done = front[c]
-                self._deal(sa, front, s, block[block > 0] - 1, small, False, 1)
-            block = seeds[seed_at[c] : seed_at[c + 1]]
-            if len(block):
-                self._deal(sa, front, s, block[block > 0] - 1, small, False, 1)
-        larger_end = front
-        back = self.end.copy()
-        for c in self.present[::-1].tolist():
-            done = self.end[c]
-            while done > back[c]:
-                block = sa[back[c] : done][::-1]
-                done = back[c]
-                self._deal(sa, back, s, block[block > 0] - 1, small, True, -1)
-            block = sa[self.start[c] : larger_end[c]][::-1]
-            if len(block):
-                self._deal(sa, back, s, block[block > 0] - 1, small, True, -1)
-        sa[0] = len(s) - 1  # the end symbol
-        return sa
-
-    @staticmethod
-    def _deal(sa: np.ndarray, at: np.ndarray, s: np.ndarray, j: np.ndarray, small: np.ndarray, kind: bool, step: int) -> None:
-        j = j[small[j] == kind]
-        if not len(j):
-            return
-        symbol = s[j]
-        if symbol[0] == symbol[-1] and (symbol == symbol[0]).all():
-            c, n = int(symbol[0]), len(j)
-            if step > 0:
-                sa[at[c] : at[c] + n] = j
-            else:
-                sa[at[c] - n : at[c]] = j[::-1]
-            at[c] += step * n
-            return
-        order = np.argsort(symbol, kind="stable")
-        j, symbol = j[order], symbol[order]
-        first = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
-        n = np.diff(np.append(first, len(j)))
-        rank = np.arange(len(j)) - np.repeat(first, n)
-        c = symbol[first]
-        if step > 0:
-            sa[np.repeat(at[c], n) + rank] = j
-        else:
-            sa[np.repeat(at[c], n) - 1 - rank] = j
-        at[c] += step * n
+def dealt(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The stable order by symbol, each one's rank among its equals, and the different symbols with their counts."""
+    order = np.argsort(symbol, kind="stable")
+    own = symbol[order]
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    n = np.diff(first, append=len(own))
+    return order, np.arange(len(own)) - np.repeat(first, n), own[first], n
+
+
+class Direction:
+    """One of the two passes. Left to right it fills the L suffixes of each bucket, read with the leftmost S suffixes;
+    right to left, over the mirrored alphabet, it fills the S suffixes, read with the L suffixes.
+
+    symbol: of each place, so that buckets are read in ascending order; kind: the suffixes to fill.
+    """
+
+    def __init__(self, symbol: np.ndarray, k: int, kind: np.ndarray):
+        n = len(symbol)
+        self.symbol, self.k = symbol, k
+        equal = np.zeros(n, bool)
+        equal[:-1] = symbol[:-1] == symbol[1:]
+        self.last = kind & ~equal  # the last place of a run: put there by a suffix of another bucket
+        run = np.flatnonzero(np.concatenate([[True], ~equal[:-1]]))
+        self.back = np.arange(n) - np.repeat(run, np.diff(run, append=n)) + 1  # length of the run up to each place
+        self.filled = np.bincount(symbol[kind], minlength=k)
+        self.ends = np.bincount(symbol[self.last], minlength=k)  # of those, last places
+        self.runs = np.concatenate([[0], np.cumsum(self.filled - self.ends)])
+        self.cuts = self._batches(np.flatnonzero(self.last[:-1]))
+
+    def _batches(self, j: np.ndarray) -> list[int]:
+        """Edges of the batches: from b up to the least symbol that a suffix of b or more puts something into."""
+        least = np.full(self.k + 1, self.k)
+        np.minimum.at(least, self.symbol[j + 1], self.symbol[j])
+        least = np.minimum.accumulate(least[::-1])[::-1].tolist()
+        out = [0]
+        while out[-1] < self.k:
+            out.append(least[out[-1]])
+        return out
+
+    def fill(self, given: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The filled and the given suffixes (in order) as they are read, and which of them were filled."""
+        symbol = self.symbol
+        extra = np.bincount(symbol[given], minlength=self.k)
+        size = self.filled + extra
+        start = np.concatenate([[0], np.cumsum(size)])
+        out = np.zeros(int(start[-1]), np.int64)
+        of_given = symbol[given]
+        at = np.arange(len(given)) - (np.cumsum(extra) - extra)[of_given] + (start[:-1] + self.filled)[of_given]
+        out[at] = given
+        own = np.ones(len(out), bool)
+        own[at] = False
+        free = start[:-1].copy()
+        for a, b in zip(self.cuts, self.cuts[1:], strict=False):
+            lo, hi = start[a], start[b]
+            if lo == hi:
+                continue
+            if self.runs[a] < self.runs[b]:
+                self._runs(out, start, a, b)
+            j = out[lo:hi] - 1
+            j = j[self.last[j]]  # of place 0 this asks the end symbol, which is never filled
+            if not len(j):
+                continue
+            order, rank, c, n = dealt(symbol[j])
+            out[np.repeat(free[c], n) + rank] = j[order]
+            free[c] += n
+        return out, own
+
+    def _runs(self, out: np.ndarray, start: np.ndarray, a: int, b: int) -> None:
+        """The suffixes of buckets a to b-1 that lie within a run, from those at its last place."""
+        c = np.flatnonzero(self.filled[a:b] > self.ends[a:b]) + a
+        n = self.ends[c]
+        bucket = np.repeat(c, n)
+        rank = np.arange(len(bucket)) - np.repeat(np.cumsum(n) - n, n)
+        last = out[start[bucket] + rank]
+        more = self.back[last] - 1
+        which = np.repeat(np.arange(len(last)), more)
+        step = np.arange(len(which)) - np.repeat(np.cumsum(more) - more, more) + 1
+        order = np.lexsort((which, step, bucket[which]))
+        which, step = which[order], step[order]
+        n = self.filled[c] - self.ends[c]
+        place = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[c] + self.ends[c], n)
+        out[place] = last[which] - step
 
 
 def names(s: np.ndarray, sorted_lms: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -104,53 +122,50 @@ def names(s: np.ndarray, sorted_lms: np.ndarray, lms: np.ndarray) -> tuple[np.nd
     d = 0
     while len(live):
         live = live[own[live] > d]
-        x = s[a[live] + d] != s[b[live] + d]
+        n = np.minimum(own[live] - d, max(1, d // 4))  # so many symbols at once
+        ends = np.cumsum(n)
+        step = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - n, n) + d
+        unlike = np.flatnonzero(s[np.repeat(a[live], n) + step] != s[np.repeat(b[live], n) + step])
+        x = np.zeros(len(live), bool)
+        x[np.searchsorted(ends, unlike, "right")] = True
         differs[live[x]] = True
         live = live[~x]
-        d += 1
+        d += max(1, d // 4)
     name = np.concatenate([[0], np.cumsum(differs)])
     out = np.zeros(len(lms), np.int64)
     out[number[sorted_lms]] = name
     return out, int(name[-1]) + 1
 
 
-def by_doubling(s: np.ndarray) -> np.ndarray:
-    """Suffix array of a string with a single least end symbol: ranks of prefixes of doubling length."""
-    n, h = len(s), 1
-    rank = np.unique(s, return_inverse=True)[1].astype(np.int64)
-    while True:
-        key = rank * (n + 1)
-        key[: n - h] += rank[h:] + 1
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if new[-1] == n - 1:
-            return order
-        h *= 2
-
-
 def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     """Suffix array of symbols 0 to k-1; the last symbol must be 0 and the only one."""
     if len(s) == 1:
         return np.zeros(1, np.int64)
     small = smaller(s)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    buckets = Buckets(s, k)
+    left = Direction(s, k, ~small)
+    rising = small.copy()
+    rising[-1] = False  # the end symbol has its place
+    right = Direction(k - 1 - s, k, rising)
+
+    def induced(seeds: np.ndarray) -> np.ndarray:
+        """The array that follows from the leftmost S suffixes in their order."""
+        read, own = left.fill(seeds)
+        read, _ = right.fill(np.append(read[own][::-1], len(s) - 1))
+        return read[::-1]
+
     if len(lms) > 1:
-        seeds = lms[np.argsort(s[lms], kind="stable")]
-        rough = buckets.induce(s, small, seeds)
+        rough = induced(lms[np.argsort(s[lms], kind="stable")])
         is_lms = np.zeros(len(s), bool)
         is_lms[lms] = True
-        found = rough[is_lms[rough]]
-        name, different = names(s, found, lms)
+        name, different = names(s, rough[is_lms[rough]], lms)
         if different < len(lms):
-            order = suffix_array(name, different) if different <= WIDE else by_doubling(name)
+            lms = lms[suffix_array(name, different)]
         else:
             order = np.empty(len(lms), np.int64)
             order[name] = np.arange(len(lms))
-        lms = lms[order]
-    return buckets.induce(s, small, lms)
+            lms = lms[order]
+    return induced(lms)
 
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -7,12 +7,14 @@ dealt to a shard by the key. Each shard sorts the suffixes of its different stre
 permuted common prefixes: a string is repeated if its suffix has 200 bytes in common with a neighbour in the array, or
 if its stretch occurs more than once. No string is ever compared by hash alone.
 
-Equal texts are decided whole; only the least doc_id of each is a partner for others. Keys with more than SALT_ROWS
+Equal texts are decided whole; one of each is a partner for others. Keys with more than SALT_ROWS
 stretches are dealt in salted groups; what a group cannot decide goes on, one 200-byte string a row and one row for
 each different string, to groups by key and string. So no task gathers a hot key.
 
 Null is the empty text; texts under 200 bytes keep all. A long text is cut nowhere: keys and stretches are
-those of the whole. Rows with one doc_id must be copies of one row: they remove each other like any equal texts.
+those of the whole. Every row stands for itself, whatever ids others have: rows that share a doc_id, and rows without
+one, remove each other's strings like any others, and each gets a result of its own. Extra columns are left out; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, partitions, prefix, sieve, sieved, slices, sliding_min, span_hash, written
+from quire.llm.common import documents, fetched, partitions, prefix, slices, sliding_min, span_hash, written
 from quire.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 200, 100
@@ -179,24 +181,26 @@ def settled(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """What is known of each document (doc, n_bytes, sha, copies, whether it is the first of its kind) and, for those
-    that lose a part, the removed starts: doc, text, gone array<struct<at, n>>."""
+    """What is known of each row (doc, n_bytes, sha, copies, kind: the number of its text) and, for texts that occur once
+    and lose a part, the removed starts: doc (the kind), text, gone array<struct<at, n>>."""
     parts = partitions(docs.sparkSession)
-    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     told = written(digests(plain))
-    kinds = written(told.groupBy("sha").agg(F.min("doc").alias("first"), F.count("*").alias("copies")))
-    known = told.select("doc", "n_bytes", "sha").join(kinds, "sha")
-    one = told.where(F.size("keys") > 0).join(kinds.select("sha", "first"), "sha").where("doc = first").dropDuplicates(["doc"])
-    keys = written(one.select("doc", F.explode("keys").alias("h")).groupBy("h", "doc").agg(F.count("*").alias("n")))
+    kinds = told.groupBy("sha").agg(F.min("doc").alias("first"), F.count("*").alias("copies"))
+    kinds = written(kinds.withColumn("kind", F.monotonically_increasing_id()))
+    known = told.select("doc", "n_bytes", "sha").join(kinds.select("sha", "copies", "kind"), "sha")
+    one = told.where(F.size("keys") > 0).join(kinds, "sha").where(F.col("doc").eqNullSafe(F.col("first"))).dropDuplicates(["sha"])
+    keys = written(one.select(F.col("kind").alias("doc"), F.explode("keys").alias("h")).groupBy("h", "doc").agg(F.count("*").alias("n")))
     hot = keys.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / SALT_ROWS).cast("long").alias("salts"))
-    wanted = written(keys.select("h", "doc").join(hot, "h").groupBy("doc").agg(F.collect_list(F.struct("h", "salts")).alias("wanted")))
-    texts = sieved(plain, "doc", sieve(wanted, "doc")).join(wanted, "doc").select("doc", "text", "wanted").dropDuplicates(["doc"])
+    wanted = keys.select("h", "doc").join(hot, "h").groupBy("doc").agg(F.collect_list(F.struct("h", "salts")).alias("wanted"))
+    places = kinds.select(F.col("kind").alias("doc"), "first", "sha")
+    texts = fetched(plain, written(wanted.join(places, "doc"))).select("doc", "text", "wanted")
     first = written(settled(stretches(texts), parts))
     second = settled(first.where("h is not null"), parts)
     found = first.where("h is null").unionByName(second.where("h is null"))
-    gone = written(found.groupBy("doc").agg(F.collect_list(F.struct("at", F.col("salts").alias("n"))).alias("gone")))
-    gone = gone.join(kinds.where("copies = 1").select(F.col("first").alias("doc")), "doc", "left_semi")  # copies go whole
-    return known, sieved(plain, "doc", sieve(gone, "doc")).join(gone, "doc")
+    gone = found.groupBy("doc").agg(F.collect_list(F.struct("at", F.col("salts").alias("n"))).alias("gone"))
+    gone = written(gone.join(kinds.where("copies = 1").select(F.col("kind").alias("doc"), "first", "sha"), "doc"))  # copies go whole
+    return known, fetched(plain, gone).select("doc", F.coalesce("text", F.lit("")).alias("text"), "gone")
 
 
 def cut(parts: DataFrame) -> DataFrame:
@@ -221,12 +225,11 @@ def cut(parts: DataFrame) -> DataFrame:
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     known, parts = spans(documents(spark, sf_dir))
-    some = written(cut(parts).select("doc", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
+    some = cut(parts).select(F.col("doc").alias("kind"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
-    rest = known.join(some.select("doc"), "doc", "left_anti").select(
-        "doc", "n_bytes",
-        F.when(whole, F.col("n_bytes")).otherwise(F.lit(0)).cast("long").alias("n_removed"), F.when(whole, 1).otherwise(0).cast("long").alias("n_spans"),
-        F.when(whole, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.lower(F.hex("sha"))).alias("kept_sha256"),
+    return known.join(some, "kind", "left").select(
+        F.col("doc").alias("doc_id"), "n_bytes",
+        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(whole, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
     )
-    out = rest.unionByName(some)
-    return out.select(F.nullif("doc", F.lit(-1)).alias("doc_id"), *out.columns[1:])

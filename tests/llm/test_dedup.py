@@ -9,7 +9,7 @@ import pytest
 
 from quire.llm import ngram_jaccard, substring_dedup, suffix_array, suffix_dedup
 from quire.sources.shipping import ship
-from tests.llm.helpers import corpus, saved
+from tests.llm.helpers import corpus, saved, words
 
 
 @pytest.fixture(scope="module")
@@ -102,10 +102,9 @@ def test_posterior_bound():
     assert lost == 0
 
 
-@pytest.mark.parametrize("wide", [700, 2])
-def test_suffix_array(monkeypatch, wide):
-    monkeypatch.setattr(suffix_array, "WIDE", wide)
-    rng = random.Random(wide)
+@pytest.mark.parametrize("seed", [700, 2])
+def test_suffix_array(seed):
+    rng = random.Random(seed)
     for n in range(60):
         body = [rng.randint(1, 1 + n % 4) for _ in range(n)] if n % 3 else [1, 2, 1] * (n // 3)
         s = np.array([*body, 0])
@@ -120,6 +119,37 @@ def test_suffix_array(monkeypatch, wide):
                 assert plcp[i] == k
 
 
+def test_suffix_array_of_a_shard(monkeypatch):
+    """Every level of a whole shard is induced: names by the thousand recurse, and no other sort of suffixes runs."""
+    rng = random.Random(3)
+    vocabulary = [words(rng, 1) for _ in range(20_000)]
+    text = " ".join(rng.choice(vocabulary) for _ in range(130_000)).encode()[: suffix_dedup.SHARD_BYTES]
+    s = np.append(np.frombuffer(text, np.uint8).astype(np.int64) + 1, 0)
+    levels = []
+    induce = suffix_array.suffix_array
+    monkeypatch.setattr(suffix_array, "suffix_array", lambda s, k: levels.append(k) or induce(s, k))
+    sa = suffix_array.suffix_array(s, 257)
+    assert len(levels) > 2 and max(levels) > 10_000
+    rank = np.empty(len(sa), np.int64)
+    rank[sa] = np.arange(len(sa))
+    a, b = sa[:-1], sa[1:]
+    assert sorted(sa.tolist()) == list(range(len(s)))
+    assert ((s[a] < s[b]) | ((s[a] == s[b]) & (rank[np.minimum(a + 1, len(s) - 1)] < rank[np.minimum(b + 1, len(s) - 1)]))).all()
+
+
+def test_suffix_array_dedup_of_shared_and_missing_ids(spark, tmp_path):
+    """Each row for itself: two texts without an id, two under one id, a real -1, one repeated row."""
+    ship(spark)
+    rng = random.Random(11)
+    p, q, r = (words(rng, 80) for _ in range(3))
+    data = [(None, p), (None, q), (1, p + " one"), (2, q + " two"), (3, r), (3, p), (-1, r + " x"), (4, r), (4, r), (None, None), (5, "")]
+    folder = saved(spark, tmp_path, [(d, t, "en", "s", 0) for d, t in data])
+    want = removed_bytes({k: t for k, (_, t) in enumerate(data)})
+    got = suffix_dedup.op3_suffix_array_dedup(spark, folder).collect()
+    key = lambda x: (x[0] is not None, x[0] or 0, *x[1:])
+    assert sorted((tuple(x) for x in got), key=key) == sorted(((d, *want[k]) for k, (d, _) in enumerate(data)), key=key)
+
+
 def test_empty_tables(spark, tmp_path):
     ship(spark)
     folder = saved(spark, tmp_path, [])
