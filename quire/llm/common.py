@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.sources.shared import written  # noqa: F401
@@ -83,13 +83,14 @@ def sieved(docs: DataFrame, id_col: str, bitmaps: DataFrame) -> DataFrame:
 NO_ID = -(1 << 63)  # stands for a missing id in joins
 
 
-def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of `wanted` (first: an id or null; sha: of a text with that id) with that text, each once.
+def fetched(docs: DataFrame, wanted: DataFrame, digest: Column | None = None) -> DataFrame:
+    """The rows of `wanted` (first: an id or null; sha: digest of a text with that id) with that text, each once.
 
     docs: doc (long), text. Id and digest find a text together, so rows that share an id, or have none, stay apart.
     Rows whose id nothing asks for go before the shuffle; those without an id are first reduced to different texts.
     """
-    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    if digest is None:
+        digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     wanted = wanted.withColumn("_id", F.coalesce("first", F.lit(NO_ID)))
     some = sieved(docs.where("doc is not null").select(F.col("doc").alias("_id"), "text"), "_id", sieve(wanted, "_id"))
     none = docs.where("doc is null").groupBy(digest.alias("sha")).agg(F.first("text").alias("text"))

@@ -1,21 +1,26 @@
 """Incremental removal of repeated 50-word windows with a log-structured fingerprint index.
 
-Every window's key is the least hash of the 25-word grams in it, so equal windows have equal keys and a document has
-about one key for 13 words. The index is a log of immutable runs, tables bucketed and sorted by key:
-  heads     (h, doc)            the first document seen with each key
-  windows   (h, doc, at, w[])   window hashes (of another hash family) under keys that two texts share
-A new batch is reduced to its keys and merge-joined with the runs. Only under keys that the history or the batch holds
-twice are windows compared: key and window hash together (two independent families, 128 bits) verify that the word
-sequences are the same, and the least document number wins. A historical document whose key was alone until now is
-read once more, for that key only, and its windows enter the new run. When two runs of the log are of like size they
-are compacted into one.
-
-Documents with the same word sequence as an earlier one are decided whole. Keys with many documents are dealt in
-salted groups, each of which sends on one undecided window for each different hash, so no task gathers a hot key.
+The index is a log of immutable runs, tables bucketed and sorted by key, that hold the hashes of every window seen:
+  windows  (h, doc, t, at, w[])   w: hashes of consecutive windows of one document (t: digest of its text) from word `at`
+  kinds    (sha, doc)             digests of whole word sequences, with the first document of each
+The key h of a window is the least hash of the 25-word grams in it, so equal windows have equal keys, and about 13
+consecutive windows share a row. A new batch becomes a run of its own and is merge-joined with the runs of the log by
+key; under a shared key, windows of equal hash are candidates, the document with the least number being the source of
+the others. Candidates are then verified: the words of each candidate stretch and of its source are compared by their
+SHA-256. A stretch that fails (two different windows of one hash) is settled by digests of the single windows
+under its key.
+
+When the newest runs of the log are of like size they are compacted into one, which keeps one row, that of the least
+document, of rows with equal hashes. So a document's rows are rewritten a number of times logarithmic in the number of
+batches. The log stays in the catalogue under its name until drop(); another Index of that name goes on from there.
+
+Documents with the same word sequence as an earlier one are decided whole. Keys with many rows are dealt in salted
+groups, each of which sends on the windows of one document for each different hash, so no task gathers a hot key.
 
 Null and empty texts have no words. A text under 50 words keeps all. Words are `[^\\x20\\x09-\\x0D]+`, unchanged. Of
-rows with one doc_id (and of a window repeated within a document) none is smaller, so they don't remove each other.
-Batches must come in ascending order of doc_id. Rows without a doc_id are treated as one document before all others.
+rows with one doc_id (and of a window repeated within a document) none is smaller, so they don't remove each other;
+each is cut by itself. Rows without a doc_id are treated as one document before all others. Batches must come in ascending
+order of doc_id. An empty table gives no rows; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -26,14 +31,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import BASE2, Words, documents, partitions, prefix, sieve, sieved, slices, sliding_min, span_hash, written
+from quire.llm.common import BASE2, NO_ID, Words, documents, fetched, partitions, prefix, sieve, sieved, slices, sliding_min, span_hash, written
 
 WINDOW, GRAM = 50, 25
-SALT_ROWS = 20_000  # documents under one key in a salted group
-FIRST = -(1 << 62)  # stands for a missing doc_id
+SALT_ROWS = 20_000  # rows under one key in a salted group
+BITS = 32  # of a window's hash that the log holds, beside the 64 of its key
+
+
+def text_digest(text: Column) -> Column:
+    """The first eight bytes of the text's SHA-256 as a number, as window_rows() has it."""
+    return F.conv(F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 16), 16, -10).cast("long")
 
 
 def window_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -48,27 +58,22 @@ def window_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc, n_words, sha (of the words joined by a space), keys (different window keys)."""
+    """doc, n_words, sha (of the words joined by a space)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                words = Words(texts)
-                at, keys = window_keys(words)
-                cut = np.searchsorted(words.text[at], np.arange(len(texts) + 1)) if len(at) else np.zeros(len(texts) + 1, int)
+                words = [t.split() for t in texts]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(words.count, pa.int64()), pa.array([hashlib.sha256(b" ".join(t.split())).digest() for t in texts], pa.binary()),
-                    pa.array([np.unique(keys[a:b]) for a, b in zip(cut, cut[1:], strict=False)], pa.list_(pa.int64())),
-                ], names=["doc", "n_words", "sha", "keys"])
-
-    return docs.mapInArrow(run, "doc long, n_words long, sha binary, keys array<long>")
+                    part.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).digest() for w in words], pa.binary()),
+                ], names=["doc", "n_words", "sha"])
 
+    return docs.mapInArrow(run, "doc long, n_words long, sha binary")
 
-def window_rows(docs: DataFrame) -> DataFrame:
-    """(h, salt, salts, doc, old, at, w): the windows of each document under each key asked for.
 
-    docs: doc, text, wanted array<struct<h, salts, old>>. Consecutive windows of one key share a row.
-    """
+def window_rows(docs: DataFrame, bits: int = BITS) -> DataFrame:
+    """(h, doc, t, at, w): all windows of each document; consecutive windows of one key share a row. docs: doc, text."""
+    low = np.uint64((1 << bits) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,63 +82,63 @@ def window_rows(docs: DataFrame) -> DataFrame:
                 at, keys = window_keys(words)
                 if not len(at):
                     continue
-                p = prefix(words.hashes(2), BASE2)
-                w = span_hash(p, at, at + WINDOW, BASE2).view(np.int64)
+                w = (span_hash(prefix(words.hashes(2), BASE2), at, at + WINDOW, BASE2) & low).astype(np.uint32).view(np.int32)
                 text = words.text[at]
-                place = at - words.first[text]
-                cut = np.searchsorted(text, np.arange(len(texts) + 1))
-                out: list[list] = [[] for _ in range(7)]
-                docs_, wanted = part.column(0).to_pylist(), part.column(2).to_pylist()
-                for i, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
-                    if a == b:
-                        continue
-                    asked = {x["h"]: (x["salts"], x["old"]) for x in wanted[i]}
-                    own = keys[a:b]
-                    edge = np.flatnonzero(np.diff(own, prepend=own[0] ^ 1)) + a
-                    for s, e in zip(edge.tolist(), [*edge[1:].tolist(), b], strict=True):
-                        if (found := asked.get(int(keys[s]))) is not None:
-                            row = (int(keys[s]), docs_[i] % found[0], found[0], docs_[i], found[1], int(place[s]), w[s:e])
-                            for c, x in zip(out, row, strict=True):
-                                c.append(x)
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, TYPES, strict=True)], names=NAMES)
+                first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])]))
+                t = np.array([int.from_bytes(hashlib.sha256(x).digest()[:8], signed=True) for x in texts], np.int64)
+                ends = np.append(first, len(at)).astype(np.int32)
+                place = (at - words.first[text])[first]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(keys[first]), part.column(0).take(pa.array(text[first])), pa.array(t[text[first]]), pa.array(place.astype(np.int32)), pa.ListArray.from_arrays(ends, w),
+                ], names=["h", "doc", "t", "at", "w"])
 
-    return docs.mapInArrow(run, WINDOWS)
+    return docs.mapInArrow(run, "h long, doc long, t long, at int, w array<int>")
 
 
-WINDOWS = "h long, salt long, salts long, doc long, old boolean, at int, w array<long>"
-NAMES = ["h", "salt", "salts", "doc", "old", "at", "w"]
-TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int64())]
+#: Rows of a group, and what is decided in it: a stretch of n windows (its rows' salt is null) with its source.
+GROUPED = "h long, salt long, salts long, doc long, t long, old boolean, at int, w array<int>, n int, s_doc long, s_t long, s_at int"
+NAMES = [x.split(" ")[0] for x in GROUPED.split(", ")]
+TYPES = [pa.int64()] * 5 + [pa.bool_(), pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
 
 
 def decided(rows: DataFrame, parts: int) -> DataFrame:
-    """(doc, at[]) of removed windows, and in rows with a key the windows that other salted groups still decide."""
+    """Stretches of windows that have an equal hash under the same key in a smaller document (n: how many), and, with a
+    salt, the windows that other salted groups still decide."""
     dealt = rows.repartition(parts, "h", "salt").sortWithinPartitions("h", "salt")
 
-    def settle(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        lengths = t["w"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        w = t["w"].combine_chunks().flatten().to_numpy()
+    def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        lists = table["w"].combine_chunks()
+        lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        w = lists.flatten().to_numpy()
         row = np.repeat(np.arange(len(lengths)), lengths)
-        at = t["at"].to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        h, salt, salts, doc, old = (t[c].to_numpy(zero_copy_only=False)[row] for c in NAMES[:5])
-        order = np.lexsort((at, doc, w, salt, h))
-        h, salt, salts, doc, old, at, w = (x[order] for x in (h, salt, salts, doc, old, at, w))
-        new = np.ones(len(w), bool)
-        new[1:] = (w[1:] != w[:-1]) | (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])
+        at = table["at"].to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        h, salt, salts, doc, t, old = (table[c].to_numpy(zero_copy_only=False) for c in NAMES[:6])
+        group = np.cumsum(np.concatenate([[0], (h[1:] != h[:-1]) | (salt[1:] != salt[:-1])]))[row]
+        order = np.lexsort((at, doc[row], w, group))
+        new = np.ones(len(order), bool)
+        new[1:] = (w[order][1:] != w[order][:-1]) | (group[order][1:] != group[order][:-1])
         head = np.flatnonzero(new)
-        least = np.repeat(doc[head], np.diff(np.append(head, len(w))))
-        gone = (doc > least) & ~old
-        by = np.flatnonzero(gone)[np.argsort(doc[gone], kind="stable")]
-        edge = np.flatnonzero(np.diff(doc[by], prepend=doc[by][0] - 1)) if len(by) else []
-        ends = [*edge[1:], len(by)] if len(by) else []
-        yield batch_of([(None, None, 1, int(doc[by][a]), False, 0, at[by[a:b]].astype(np.int64)) for a, b in zip(edge, ends, strict=True)])
+        source = np.empty(len(order), np.int64)  # of each window, the first of its group
+        source[order] = np.repeat(order[head], np.diff(np.append(head, len(order))))
+        least = doc[row[source]]
+        gone = np.flatnonzero((doc[row] > least) & ~old[row])
+        if len(gone):
+            src = source[gone]
+            fresh = np.ones(len(gone), bool)
+            fresh[1:] = (gone[1:] != gone[:-1] + 1) | (row[gone][1:] != row[gone][:-1]) | (src[1:] != src[:-1] + 1) | (row[src][1:] != row[src][:-1])
+            k = np.flatnonzero(fresh)
+            a, b = gone[k], src[k]
+            n = np.diff(np.append(k, len(gone)))
+            ra, rb = row[a], row[b]
+            cols = [h[ra], None, None, doc[ra], t[ra], None, at[a], None, n, doc[rb], t[rb], at[b]]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(k), ty) if c is None else pa.array(c).cast(ty) for c, ty in zip(cols, TYPES, strict=True)], names=NAMES)
         # of windows in a salted group, the least document's stay open (all its places)
-        open_ = np.flatnonzero((salts > 1) & (doc == least))
-        yield batch_of([(int(h[k]), int(w[k]), 1, int(doc[k]), bool(old[k]), int(at[k]), w[k : k + 1]) for k in open_])
-
-    def batch_of(found: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*found, strict=True)) or [[]] * 7
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, TYPES, strict=True)], names=NAMES)
+        k = np.flatnonzero((salts[row] > 1) & (doc[row] == least))
+        if len(k):
+            r = row[k]
+            one = pa.ListArray.from_arrays(np.arange(len(k) + 1, dtype=np.int32), w[k])
+            cols = [h[r], w[k], np.ones(len(k)), doc[r], t[r], old[r], at[k], one, None, None, None, None]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(k), ty) if c is None else c if c is one else pa.array(c).cast(ty) for c, ty in zip(cols, TYPES, strict=True)], names=NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -141,150 +146,209 @@ def decided(rows: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             held.append(batch)
             size += batch.num_rows
-            if size >= 20_000:  # whole keys up to the last one go
-                t = pa.Table.from_batches(held)
-                h, salt = t["h"].to_numpy(), t["salt"].to_numpy()
+            if size >= 20_000:  # whole groups up to the last one go
+                table = pa.Table.from_batches(held)
+                h, salt = table["h"].to_numpy(), table["salt"].to_numpy()
                 cut = int(np.flatnonzero((h != h[-1]) | (salt != salt[-1]))[-1] + 1) if (h[0], salt[0]) != (h[-1], salt[-1]) else 0
                 if cut:
-                    yield from settle(t.slice(0, cut))
-                held, size = t.slice(cut).to_batches(), t.num_rows - cut
+                    yield from settle(table.slice(0, cut))
+                held, size = table.slice(cut).to_batches(), table.num_rows - cut
         if size:
             yield from settle(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, WINDOWS)
+    return dealt.mapInArrow(run, GROUPED)
 
 
 class Index:
-    """The log of runs. add() takes the next batch and tells what to remove from it."""
-
-    def __init__(self, spark: SparkSession, compact_at: int = 2):
-        self.spark, self.compact_at = spark, compact_at
-        self.heads: list[str] = []
-        self.windows: list[str] = []
-        self.texts: list[DataFrame] = []  # earlier batches: doc, text
-        self.shas: list[DataFrame] = []
-
-    def _run(self, df: DataFrame) -> str:
-        """df as an immutable run: bucketed by key, sorted, one file a bucket, in the warehouse that executors share."""
-        name, parts = f"quire_run_{uuid.uuid4().hex}", partitions(self.spark)
-        df.repartition(parts, "h").write.bucketBy(parts, "h").sortBy("h").format("parquet").saveAsTable(name)
-        return name
-
-    def _known(self, names: list[str]) -> DataFrame | None:
-        out = None
-        for n in names:
-            out = self.spark.table(n) if out is None else out.unionByName(self.spark.table(n))
-        return out
-
-    def add(self, docs: DataFrame) -> DataFrame:
-        """docs: doc, text. Returns doc, n_words, sha, gone array<long> (starts of windows to remove; null: none), whole."""
+    """A named log of runs. match() takes the next batch into it and tells which stretches may have been seen."""
+
+    def __init__(self, spark: SparkSession, name: str, bits: int = BITS):
+        """Goes on with the runs of that name in the catalogue, if there are any."""
+        self.spark, self.name, self.bits = spark, name, bits
+        self.runs: dict[str, list[tuple[int, str]]] = {"windows": [], "kinds": []}  # (rows, table), oldest first
+        for t in sorted(x.name for x in spark.catalog.listTables(pattern=f"{name}__*")):
+            rows = spark.sql(f"SHOW TBLPROPERTIES {t} ('quire.rows')").first()[1]
+            self.runs[t.split("__")[1]].append((int(rows), t))
+
+    def _run(self, kind: str, df: DataFrame, key: str) -> None:
+        """df as the newest run: bucketed by key, sorted, one file a bucket, in the warehouse that executors share."""
+        parts = partitions(self.spark)
+        number = 1 + max((int(t.split("__")[2]) for r in self.runs.values() for _, t in r), default=-1)
+        table = f"{self.name}__{kind}__{number:08d}__{uuid.uuid4().hex[:8]}"
+        df.repartition(parts, key).write.bucketBy(parts, key).sortBy(key).format("parquet").saveAsTable(table)
+        rows = self.spark.table(table).count()
+        self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quire.rows' = '{rows}')")
+        self.runs[kind].append((rows, table))
+
+    def compact(self, kind: str, key: str) -> None:
+        """Merges the newest runs while they are of like size (the older under twice the newer)."""
+        runs = self.runs[kind]
+        while len(runs) > 1 and runs[-2][0] < 2 * runs[-1][0]:
+            both = self.spark.table(runs[-2][1]).unionByName(self.spark.table(runs[-1][1]))
+            if kind == "windows":
+                both = both.groupBy("h", "w").agg(F.min(F.struct("doc", "t", "at")).alias("s")).select("h", "s.*", "w")
+            else:
+                both = both.groupBy("sha").agg(F.min("doc").alias("doc"))
+            old = [runs.pop()[1], runs.pop()[1]]
+            self._run(kind, both, key)
+            for t in old:
+                self.spark.sql(f"DROP TABLE {t}")
+
+    def match(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """docs: doc (not null), text. Returns what is known of each row (doc, n_words, sha, whole: an earlier document
+        has the same words) and the candidate stretches: h, doc, t, at, n, s_doc, s_t, s_at."""
         parts = partitions(self.spark)
         told = written(digests(docs))
-        same = told.select("doc", "sha", "n_words")
-        first = same.groupBy("sha").agg(F.min("doc").alias("first"))
-        for old in self.shas:  # the history's word sequences come earlier
-            first = first.join(old.withColumnRenamed("first", "_f"), "sha", "left").select("sha", F.least("first", F.coalesce("_f", "first")).alias("first"))
-        first = written(first)
-        # copies are decided whole; one text of each kind goes on
-        lone = told.join(first, "sha").where((F.col("doc") == F.col("first")) & (F.size("keys") > 0)).select("doc", F.explode("keys").alias("h"))
-        lone = written(lone.distinct())
-        keys = lone.groupBy("h").agg(F.min("doc").alias("doc"), F.max("doc").alias("last"), F.count("*").alias("n"))
-        for k, run in enumerate(self.heads):
-            keys = keys.join(self.spark.table(run).withColumnRenamed("doc", f"_o{k}"), "h", "left")
-        earlier = [F.col(f"_o{k}") for k in range(len(self.heads))]
-        keys = keys.withColumn("old", F.coalesce(*earlier) if len(earlier) == 1 else F.least(*earlier) if earlier else F.lit(None).cast("long"))
-        keys = written(keys.select("h", "doc", "last", "n", "old"))
-        hot = keys.where("old is not null or doc < last").select("h", "old", F.ceil(F.col("n") / SALT_ROWS).cast("long").alias("salts"))
-        asked = lone.join(hot, "h").select("doc", "h", "salts", F.lit(False).alias("old"))
-        stored = self._known(self.windows)
-        if self.texts:  # keys that were alone in the history: their one document is read again for them
-            alone = hot.where("old is not null")
-            if stored is not None:
-                alone = alone.join(stored.select("h").distinct(), "h", "left_anti")
-            asked = asked.unionByName(alone.select(F.col("old").alias("doc"), "h", "salts", F.lit(True).alias("old")))
-        wanted = written(asked.groupBy("doc").agg(F.collect_list(F.struct("h", "salts", "old")).alias("wanted")))
-        history = docs
-        for t in self.texts:
-            history = history.unionByName(t)
-        bits = sieve(wanted, "doc")
-        rows = window_rows(sieved(history, "doc", bits).join(wanted, "doc").select("doc", "text", "wanted"))
-        rows = written(rows)
-        compare = rows
-        if stored is not None:
-            compare = rows.unionByName(stored.join(hot.select("h", "salts"), "h").select("h", F.pmod("doc", "salts").alias("salt"), "salts", "doc", F.lit(True).alias("old"), "at", "w"))
-        one = written(decided(compare, parts))
-        two = decided(one.where("h is not null"), parts)
-        gone = one.where("h is null").select("doc", "w").unionByName(two.where("h is null").select("doc", "w")).groupBy("doc").agg(F.array_sort(F.flatten(F.collect_list("w"))).alias("gone"))
-        self.heads.append(self._run(keys.where("old is null").select("h", "doc")))
-        self.windows.append(self._run(rows.select("h", "doc", "at", "w")))
-        self.texts.append(docs)
-        self.shas.append(first)
-        if len(self.heads) > self.compact_at - 1:
-            self.compact()
-        return written(same.join(first, "sha").join(gone, "doc", "left").select("doc", "n_words", "sha", "gone", (F.col("doc") > F.col("first")).alias("whole")))
-
-    def compact(self) -> None:
-        """One run for all of the log: the first document of each key, each window row once."""
-        old = [*self.heads, *self.windows]
-        heads = self._run(self._known(self.heads).groupBy("h").agg(F.min("doc").alias("doc")))
-        windows = self._run(self._known(self.windows))
-        self.heads, self.windows = [heads], [windows]
-        for name in old:
-            self.spark.sql(f"DROP TABLE {name}")
-
-    def close(self) -> None:
-        for name in [*self.heads, *self.windows]:
-            self.spark.sql(f"DROP TABLE {name}")
-        self.heads, self.windows = [], []
-
-
-def kept_words(docs: DataFrame) -> DataFrame:
-    """docs: doc, text, gone. doc, n_words, n_removed, kept (the kept words, joined by a space)."""
+        kinds = told.groupBy("sha").agg(F.min("doc").alias("doc"))
+        for k, (_, run) in enumerate(self.runs["kinds"]):
+            kinds = kinds.join(self.spark.table(run).withColumnRenamed("doc", f"_o{k}"), "sha", "left")
+            kinds = kinds.select("sha", F.least("doc", F.coalesce(f"_o{k}", "doc")).alias("doc"))
+        self._run("kinds", kinds, "sha")
+        first = self.spark.table(self.runs["kinds"][-1][1]).withColumnRenamed("doc", "first")
+        known = written(told.join(first, "sha").select("doc", "n_words", "sha", (F.col("doc") > F.col("first")).alias("whole")))
+        lone = sieved(docs, "doc", sieve(known.where("not whole and n_words >= " + str(WINDOW)), "doc"))
+        earlier = [self.spark.table(t) for _, t in self.runs["windows"]]
+        self._run("windows", window_rows(lone, self.bits), "h")
+        rows = self.spark.table(self.runs["windows"][-1][1])
+        keys = rows.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("n"))
+        seen = F.lit(0)
+        for k, run in enumerate(earlier):
+            keys = keys.join(run.groupBy("h").agg(F.count("*").alias(f"_n{k}")), "h", "left")
+            seen = seen + F.coalesce(f"_n{k}", F.lit(0))
+        hot = keys.where((F.col("lo") < F.col("hi")) | (seen > 0))
+        hot = written(hot.select("h", F.ceil((F.col("n") + seen) / SALT_ROWS).cast("long").alias("salts")))
+        compare = rows.withColumn("old", F.lit(False))
+        for run in earlier:
+            compare = compare.unionByName(run.withColumn("old", F.lit(True)))
+        compare = compare.join(hot, "h").withColumn("salt", F.pmod(F.xxhash64("doc", "at"), "salts"))
+        added = {c: F.lit(None).cast(ty) for c, ty in (("n", "int"), ("s_doc", "long"), ("s_t", "long"), ("s_at", "int"))}
+        one = written(decided(compare.withColumns(added).select(NAMES), parts))
+        two = decided(one.where("n is null"), parts)
+        stretches = one.where("n > 0").unionByName(two.where("n > 0")).select("h", "doc", "t", "at", "n", "s_doc", "s_t", "s_at")
+        stretches = written(stretches)
+        self.compact("windows", "h")
+        self.compact("kinds", "sha")
+        return known, stretches
+
+    def drop(self) -> None:
+        for runs in self.runs.values():
+            for _, table in runs:
+                self.spark.sql(f"DROP TABLE {table}")
+        self.runs = {"windows": [], "kinds": []}
+
+
+def words_digest(words: list[bytes], at: int, n: int) -> bytes:
+    """Of the words that n windows from word `at` cover."""
+    return hashlib.sha256(b" ".join(words[at : at + n - 1 + WINDOW])).digest()
+
+
+def covered_digests(texts: DataFrame) -> DataFrame:
+    """doc, t, at, n, digest. texts: doc, t, text, asked array<struct<at, n>>."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for doc, text, gone in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = (text or "").encode().split()
+            out: list[list] = [[], [], [], [], []]
+            for doc, t, text, asked in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                words = text.encode().split()
+                for x in asked:
+                    for c, v in zip(out, (doc, t, x["at"], x["n"], words_digest(words, x["at"], x["n"])), strict=True):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["doc", "t", "at", "n", "digest"])
+
+    return texts.select("doc", "t", "text", "asked").mapInArrow(run, "doc long, t long, at int, n int, digest binary")
+
+
+def cut_words(texts: DataFrame) -> DataFrame:
+    """doc, t, sha (of the words), n_words, n_removed, kept (the kept words, joined by a space), failed (stretches whose words
+    are not those of their source; these stay). texts: doc, t, text, gone array<struct<at, n, h, digest>>; no digest: not verified."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in range(7)]
+            for doc, t, text, gone in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                words = text.encode().split()
+                failed = []
                 delta = np.zeros(len(words) + 1, np.int64)
-                np.add.at(delta, np.array(gone, np.int64), 1)
-                np.add.at(delta, np.array(gone, np.int64) + WINDOW, -1)
+                for x in gone:
+                    if x["digest"] is not None and words_digest(words, x["at"], x["n"]) != x["digest"]:
+                        failed.append({"h": x["h"], "at": x["at"], "n": x["n"]})
+                        continue
+                    delta[x["at"]] += 1
+                    delta[x["at"] + x["n"] - 1 + WINDOW] -= 1
                 left = np.cumsum(delta)[:-1] == 0
                 kept = b" ".join([w for w, k in zip(words, left.tolist(), strict=True) if k])
-                for c, x in zip(out, (doc, len(words), len(words) - int(left.sum()), kept.decode()), strict=True):
+                for c, x in zip(out, (doc, t, hashlib.sha256(b" ".join(words)).digest(), len(words), len(words) - int(left.sum()), kept.decode(), failed), strict=True):
                     c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())], names=["doc", "n_words", "n_removed", "kept"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(out, types, strict=True)], names=["doc", "t", "sha", "n_words", "n_removed", "kept", "failed"])
+
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("n", pa.int32())]))]
+    return texts.select("doc", "t", "text", "gone").mapInArrow(run, "doc long, t long, sha binary, n_words long, n_removed long, kept string, failed array<struct<h: long, at: int, n: int>>")
+
 
-    return docs.mapInArrow(run, "doc long, n_words long, n_removed long, kept string")
+def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted (doc, t, ...) with the texts of those rows; docs: doc (null: none), text."""
+    asked = wanted.withColumn("first", F.nullif("doc", F.lit(NO_ID))).withColumnRenamed("t", "sha")
+    found = fetched(docs, asked, text_digest(F.col("text"))).withColumnRenamed("sha", "t")
+    return found.withColumn("text", F.coalesce("text", F.lit("")))
 
 
-def dedup(docs: DataFrame, batches: int = 3, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Passes the table through the index in `batches` ranges of the id. Returns what the index tells of each
-    document, and the kept words of those that lose a part (not the whole)."""
+def removed(docs: DataFrame, stretches: DataFrame) -> DataFrame:
+    """Verifies the stretches on the words and cuts: doc, sha, n_words, n_removed, kept of the documents that lose a part.
+
+    docs: doc (null: none), text of the batch and of the documents before it; only the texts of sources and of cut
+    documents go further.
+    """
+    sources = stretches.select(F.col("s_doc").alias("doc"), F.col("s_t").alias("t"), F.col("s_at").alias("at"), "n").distinct()
+    asked = written(sources.groupBy("doc", "t").agg(F.collect_list(F.struct("at", "n")).alias("asked")))
+    sure = covered_digests(with_texts(docs, asked)).select(F.col("doc").alias("s_doc"), F.col("t").alias("s_t"), F.col("at").alias("s_at"), "n", "digest")
+    each = stretches.join(sure, ["s_doc", "s_t", "s_at", "n"]).groupBy("doc", "t").agg(F.collect_list(F.struct("at", "n", "h", "digest")).alias("gone"))
+    each = written(each)
+    cut = written(cut_words(with_texts(docs, each)))
+    failed = cut.where(F.size("failed") > 0).select("doc", "t", F.explode("failed").alias("x")).select("doc", "t", "x.*")
+    if failed.isEmpty():
+        return cut.drop("failed", "t").dropDuplicates(["doc", "sha"])
+    # two windows of one hash: all windows under those keys are told apart by their digests
+    keys = written(failed.select("h").distinct())
+    every = window_rows(docs.select(F.coalesce("doc", F.lit(NO_ID)).alias("doc"), "text")).select("h", "doc", "t", "at", F.size("w").alias("n"))
+    every = sieved(every, "h", sieve(keys, "h")).join(keys, "h")
+    single = every.select("doc", "t", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("at")).distinct()
+    asked = written(single.groupBy("doc", "t").agg(F.collect_list(F.struct("at", F.lit(1).alias("n"))).alias("asked")))
+    exact = written(covered_digests(with_texts(docs, asked)))
+    least = exact.groupBy("digest").agg(F.min("doc").alias("least"))
+    late = failed.select("doc", "t", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("at")).distinct()
+    found = exact.join(least, "digest").where("doc > least").join(late, ["doc", "t", "at"]).select("doc", "t", "at")
+    more = found.groupBy("doc", "t").agg(F.collect_list(F.struct("at", F.lit(1).alias("n"), F.lit(None).cast("long").alias("h"), F.lit(None).cast("binary").alias("digest"))).alias("more"))
+    again = each.join(failed.select("doc", "t").distinct(), ["doc", "t"], "left_semi").join(more, ["doc", "t"], "left")
+    again = written(again.select("doc", "t", F.concat("gone", F.coalesce("more", F.array().cast(more.schema["more"].dataType))).alias("gone")))
+    rest = cut.where(F.size("failed") == 0)
+    return written(rest.unionByName(cut_words(with_texts(docs, again))).drop("failed", "t").dropDuplicates(["doc", "sha"]))
+
+
+def dedup(docs: DataFrame, batches: int = 3, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """Passes the table through an index of its own in `batches` ranges of the id. Returns doc, n_words, sha, whole
+    of each row, and doc, sha, n_words, n_removed, kept of those that lose a part. The candidates of all batches are verified
+    together, in one reading of their texts."""
     spark = docs.sparkSession
-    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("doc"), F.col(text_col).alias("text"))
-    cuts = sorted(set(plain.stat.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01))) if batches > 1 else []
-    index, told, low = Index(spark), None, None
-    for high in [*[int(c) for c in cuts], None]:
-        batch = plain
-        if low is not None:
-            batch = batch.where(F.col("doc") > low)
-        if high is not None:
-            batch = batch.where(F.col("doc") <= high)
-        got = index.add(batch)
-        told, low = got if told is None else told.unionByName(got), high
-    index.close()
-    parted = told.where("gone is not null and not whole").select("doc", "gone").dropDuplicates(["doc"])
-    texts = sieved(plain, "doc", sieve(parted, "doc")).join(parted, "doc").select("doc", "text", "gone")
-    return told, kept_words(texts)
+    raw = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    cuts = sorted({int(c) for c in raw.stat.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)}) if batches > 1 else []
+    index, known, stretches, low = Index(spark, f"quire_index_{uuid.uuid4().hex}", bits), None, None, None
+    for high in [*cuts, None]:
+        inside = F.lit(True) if high is None else F.col("doc") <= high
+        inside = inside & (F.col("doc") > low) if low is not None else inside | F.col("doc").isNull()
+        told, found = index.match(raw.where(inside).select(F.coalesce("doc", F.lit(NO_ID)).alias("doc"), "text"))
+        known = told if known is None else known.unionByName(told)
+        stretches = found if stretches is None else stretches.unionByName(found)
+        low = high
+    index.drop()
+    return known, removed(raw, stretches)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    told, kept = dedup(documents(spark, sf_dir))
-    rest = told.where("gone is null or whole").select(
-        F.col("doc").alias("doc_id"), "n_words",
-        F.when(F.col("whole") & (F.col("n_words") >= WINDOW), F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("whole") & (F.col("n_words") >= WINDOW), F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.lower(F.hex("sha"))).alias("kept_sha256"),
+    known, cut = dedup(documents(spark, sf_dir))
+    gone = F.col("whole") & (F.col("n_words") >= WINDOW)
+    parted = cut.select("doc", "sha", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return known.join(parted, ["doc", "sha"], "left").select(
+        F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "n_words",
+        F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
     )
-    out = rest.unionByName(kept.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(FIRST)))

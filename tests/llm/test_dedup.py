@@ -72,6 +72,90 @@ def test_substring_dedup(spark, rows, folder, monkeypatch, salt):
     assert got == removed_words({r[0]: r[1] for r in rows})
 
 
+def removed_words_of_rows(data: list[tuple]) -> list[tuple]:
+    """As removed_words(), for rows that may share ids or have none (then before all others)."""
+    rank = [(d is not None, d or 0) for d, _ in data]
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in data]
+    first: dict[tuple, tuple] = {}
+    for k in sorted(range(len(data)), key=rank.__getitem__):
+        for i in range(len(split[k]) - 49):
+            first.setdefault(tuple(split[k][i : i + 50]), rank[k])
+    out = []
+    for (d, _), r, w in zip(data, rank, split):
+        keep = [True] * len(w)
+        for i in range(len(w) - 49):
+            if first[tuple(w[i : i + 50])] < r:
+                keep[i : i + 50] = [False] * 50
+        kept = [x for x, k in zip(w, keep) if k]
+        out.append((d, len(w), len(w) - len(kept), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
+    return out
+
+
+def by_id(rows) -> list[tuple]:
+    return sorted((tuple(r) for r in rows), key=lambda x: (x[0] is not None, x[0] or 0, *x[1:]))
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two different words that polynomial hashes modulo 2**64 can't tell apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def awkward_rows() -> list[tuple]:
+    rng = random.Random(12)
+    p, q, r = (words(rng, 80) for _ in range(3))
+    one, two = thue_morse(4096)
+    a, b = words(rng, 30), words(rng, 30)
+    data = [(None, p), (None, q + " " + p), (1, p + " one"), (2, q + " two"), (3, r), (3, p), (-1, r + " x"), (4, r), (4, r), (4, r.replace(" ", "\n")), (None, None), (5, "")]
+    data += [(10, f"{a} {one} {b}"), (11, f"{a} {two} {b}"), (12, f"{a} {one} {b} {a}")]
+    return data
+
+
+@pytest.mark.parametrize("bits", [substring_dedup.BITS, 1, 0])
+def test_substring_dedup_compares_words(spark, tmp_path, bits):
+    """Shared and missing ids, words that hash alike, and window hashes of so few bits that most candidates are false."""
+    ship(spark)
+    data = awkward_rows()
+    docs = spark.createDataFrame([(d, t) for d, t in data], "doc_id long, text string")
+    known, cut = substring_dedup.dedup(docs, bits=bits)
+    cut = {(r.doc, bytes(r.sha)): r for r in cut.collect()}
+    got = []
+    for r in known.collect():
+        c = cut.get((r.doc, bytes(r.sha)))
+        d = None if r.doc == substring_dedup.NO_ID else r.doc
+        if r.whole and r.n_words >= 50:
+            got.append((d, r.n_words, r.n_words, hashlib.sha256(b"").hexdigest()))
+        else:
+            got.append((d, r.n_words, c.n_removed if c else 0, hashlib.sha256(c.kept.encode()).hexdigest() if c else r.sha.hex()))
+    assert by_id(got) == by_id(removed_words_of_rows(data))
+    if bits == substring_dedup.BITS:
+        folder = saved(spark, tmp_path, [(d, t, "en", "s", 0) for d, t in data])
+        assert by_id(substring_dedup.op4_substring_dedup(spark, folder).collect()) == by_id(removed_words_of_rows(data))
+
+
+def test_substring_index_is_a_log(spark, rows):
+    """Batches go in one by one, like runs are merged, and another Index of the name goes on from the same runs."""
+    ship(spark)
+    name = "quire_test_log"
+    texts = {r[0]: r[1] for r in rows}
+    docs = spark.createDataFrame(list(texts.items()), "doc long, text string")
+    want, ids, sizes = removed_words(texts), sorted(texts), []
+    for k in range(0, len(ids), 4):
+        index = substring_dedup.Index(spark, name)
+        batch = docs.where(docs.doc.isin(ids[k : k + 4]))
+        known, stretches = index.match(batch)
+        cut = {r.doc: r.n_removed for r in substring_dedup.removed(docs, stretches).collect()}
+        for r in known.collect():
+            n = r.n_words if r.whole and r.n_words >= 50 else cut.get(r.doc, 0)
+            assert (r.n_words, n) == want[r.doc][:2], r.doc
+        sizes.append([n for n, _ in index.runs["windows"]])
+    index = substring_dedup.Index(spark, name)
+    assert [n for n, _ in index.runs["windows"]] == sizes[-1]
+    assert all(a >= 2 * b for run in sizes for a, b in zip(run, run[1:]))
+    index.drop()
+    assert not spark.catalog.listTables(pattern=name + "*")
+
+
 def shingles(text: str | None) -> frozenset:
     w = (text or "").encode().split()
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
