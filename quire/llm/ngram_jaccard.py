@@ -1,22 +1,25 @@
 """Join of near-equal texts: word 5-gram Jaccard similarity of THRESHOLD or more, with Bayesian candidate pruning.
 
-Equal texts are one class, represented by its least doc_id; only representatives are compared, so copies never
-multiply. Candidates: representatives are connected through equal band keys of their MinHash signatures (32 bands of
-5: a pair at 0.8 shares none with a chance of 3e-6), and all pairs within a connected set are candidates. Pairs stay
-inside numpy: a set is split into blocks, each pair of blocks is one group of rows, and what leaves it are counts and
-a spanning forest, never pairs. Signatures are compared 16 values at a time; after n values with m equal, a pair goes
-if the posterior chance (uniform prior) that its similarity reaches the threshold is below TOLERANCE. Whatever stays
-is verified on the exact shingle sets.
-
-Result: doc_id, class_id, n_links (other classes linked to its class), n_linked_docs (other documents, copies
-included), group_id (least doc_id of the connected group of links). Null counts as the empty text; texts without words
-have no links to other classes. A text under five words is one shingle. Rows of one doc_id count as separate copies;
-rows without one have no result.
-Ties in similarity at the threshold are links. An empty table gives no rows; extra columns are left out.
+Equal texts are one class; only one text of each is compared, so copies never multiply. Texts that share a band key of
+their MinHash signatures (32 bands of 5: a pair at 0.8 shares none with a chance of 3e-6) are candidates. Pairs stay
+inside numpy: texts are dealt to blocks bounded in number and bytes, and two blocks (or one with itself) are compared
+where a band key occurs in both. Sets that bands connect and that fit into one block share a block with others; a
+larger set has blocks of its own by the least first text of its members' bands, so near copies lie together. What leaves a
+comparison are counts and a spanning forest, never pairs. Signatures are compared 16 values at a time; after n values
+with m equal, a pair goes if the posterior chance (uniform prior) that its similarity reaches the threshold is below
+TOLERANCE. Whatever stays is verified on the exact sets of shingles: hashes only sort them, the words decide.
+
+Result, a row for each row of the table: doc_id, class_id (least doc_id of the rows with its text), n_links (other
+classes linked to its class), n_linked_docs (other rows, copies included), group_id (least doc_id of the connected group
+of links). Null counts as the empty text; texts without words have no links to other classes. A text under five words is
+one shingle. Every row stands for itself: rows that share a doc_id, or have none, keep their own texts' classes; an id of
+a class or group without any doc_id is null. Ties in similarity at the threshold are links. An empty table gives no
+rows; extra columns are left out.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -26,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import documents, partitions, sieve, sieved, slices, written
-from quire.llm.minhash import shingle_hashes, signatures
+from quire.llm.common import NO_ID, Words, documents, eight, eights, fetched, mix, partitions, prefix, slices, span_hash, written
+from quire.llm.minhash import SHINGLE, shingle_hashes, signatures
 from quire.operators.components import connected_components
 
 THRESHOLD, BANDS, ROWS = 0.8, 32, 5
 STEP, TOLERANCE = 16, 1e-6
-BLOCK, SMALL = 1000, 300  # texts in a block (a task holds two); texts of small sets that go together
+BLOCK, BLOCK_BYTES, SMALL = 1000, 1 << 21, 300  # texts and bytes in a block (a task holds two); texts of small sets together
 
 
 def least_matches(n: int, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> int:
@@ -48,8 +51,6 @@ def least_matches(n: int, threshold: float = THRESHOLD, tolerance: float = TOLER
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
     """One 64-bit key for each band (the band's number is part of it)."""
-    from quire.llm.common import mix
-
     bands = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
     key = np.zeros((len(sig), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for r in range(ROWS):
@@ -58,19 +59,72 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc, sha, keys (band keys; none for a text without words)."""
+    """doc, sha, n_bytes, keys (band keys; none for a text without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 hashes, first = shingle_hashes(texts)
                 keys = band_keys(signatures(hashes, first, BANDS * ROWS))
                 some = np.diff(first) > 0
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array([k if s else [] for k, s in zip(keys, some, strict=True)], pa.list_(pa.int64()))], names=["doc", "sha", "keys"])
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array([k if s else [] for k, s in zip(keys, some, strict=True)], pa.list_(pa.int64())),
+                ], names=["doc", "sha", "n_bytes", "keys"])
+
+    return docs.mapInArrow(run, "doc long, sha binary, n_bytes long, keys array<long>")
 
-    return docs.mapInArrow(run, "doc long, sha binary, keys array<long>")
+
+def word_numbers(words: Words, h: np.ndarray) -> np.ndarray:
+    """A number for each different word: by hash, if all words of one hash are the same bytes, else by the bytes."""
+    _, rep, number = np.unique(h, return_index=True, return_inverse=True)
+    other, n = rep[number], words.end - words.start
+    same = bool((n == n[other]).all())
+    loads, live, k = eights(words.data), np.arange(len(n)), 0
+    while same and len(live):
+        left = n[live] - k
+        same = bool((eight(loads, words.start[live] + k, left) == eight(loads, words.start[other[live]] + k, left)).all())
+        live = live[left > 8]
+        k += 8
+    if same:
+        return number
+    seen: dict[bytes, int] = {}
+    data = words.data.tobytes()
+    return np.array([seen.setdefault(data[a:b], len(seen)) for a, b in zip(words.start.tolist(), words.end.tolist(), strict=True)], np.int64)
+
+
+def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the different shingles of each text in one array, each text's first place (with the end), and the hash of
+    each number. Shingles of one number are the same words."""
+    words = Words(texts)
+    h = words.hashes()
+    if not len(h):
+        return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64), np.zeros(0, np.uint64)
+    word = word_numbers(words, h)
+    size = np.minimum(words.count, k)
+    n = words.count - size + (words.count > 0)
+    first = np.concatenate([[0], np.cumsum(n)])
+    text = np.repeat(np.arange(len(texts)), n)
+    at = words.first[:-1][text] + np.arange(first[-1]) - first[:-1][text]
+    own = size[text]
+    hashes = span_hash(prefix(h), at, at + own) ^ mix(own.astype(np.uint64))
+    distinct, rep, number = np.unique(hashes, return_index=True, return_inverse=True)
+    other = rep[number]
+    same = bool((own == own[other]).all())
+    for j in range(k):
+        inside = own > j
+        same = same and bool((word[at[inside] + j] == word[at[other[inside]] + j]).all())
+    if not same:  # one hash for two shingles: number them by their words
+        seen: dict[tuple, int] = {}
+        number = np.array([seen.setdefault(tuple(word[a : a + m].tolist()), len(seen)) for a, m in zip(at.tolist(), own.tolist(), strict=True)], np.int64)
+        distinct = np.zeros(len(seen), np.uint64)
+        distinct[number] = hashes
+    order = np.lexsort((number, text))
+    number, text = number[order], text[order]
+    new = np.ones(len(number), bool)
+    new[1:] = (number[1:] != number[:-1]) | (text[1:] != text[:-1])
+    number, text = number[new], text[new]
+    return number, np.searchsorted(text, np.arange(len(texts) + 1)), distinct
 
 
 def surviving(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,16 +142,8 @@ def surviving(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tup
 
 def linked(a: list[bytes], b: list[bytes] | None) -> Iterator[tuple[int, np.ndarray]]:
     """For each text of a, the numbers of the texts of b (later ones of a, if b is None) that it is linked to."""
-    hashes, first = shingle_hashes(a + (b or []))
-    sig = signatures(hashes, first, BANDS * ROWS)
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    _, ids = np.unique(hashes, return_inverse=True)
-    order = np.lexsort((ids, text))
-    ids, text = ids[order], text[order]
-    new = np.ones(len(ids), bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (text[1:] != text[:-1])
-    ids, text = ids[new], text[new]  # sets: each shingle once in a text
-    first = np.searchsorted(text, np.arange(len(first)))
+    ids, first, hashes = shingle_sets(a + (b or []))
+    sig = signatures(hashes[ids], first, BANDS * ROWS)
     size = np.diff(first)
     low = len(a) if b is not None else 0
     mark = np.zeros(int(ids.max()) + 1 if len(ids) else 1, bool)
@@ -152,44 +198,74 @@ def block_links(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc": docs[at], "root": docs[[find(x) for x in at.tolist()]] if len(at) else docs[:0], "links": links[at], "copies": copies[at]})
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, n_links, n_linked_docs, group_id of every row; see the module's text."""
-    spark = docs.sparkSession
-    parts = partitions(spark)
-    plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    told = written(keyed(plain))
-    classes = written(told.groupBy("sha").agg(F.min("doc").alias("class"), F.count("*").alias("copies")))
-    reps = told.join(classes, "sha").where(F.col("doc") == F.col("class")).dropDuplicates(["doc"])
-    bands = written(reps.select("doc", F.explode("keys").alias("key")))
-    shared = bands.groupBy("key").agg(F.min("doc").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
+def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs: doc, text. The rows (doc, sha) and the classes: sha, first (least doc), kind (number), copies, n_links,
+    n_linked_docs, group (the least kind of its group)."""
+    parts = partitions(docs.sparkSession)
+    told = written(keyed(docs))
+    kinds = told.groupBy("sha").agg(F.min("doc").alias("first"), F.count("*").alias("copies"), F.min("n_bytes").alias("n_bytes"))
+    kinds = written(kinds.withColumn("kind", F.monotonically_increasing_id()))
+    reps = told.join(kinds, "sha").where(F.col("doc").eqNullSafe(F.col("first"))).dropDuplicates(["sha"])
+    bands = written(reps.select("kind", F.explode("keys").alias("key")))
+    shared = bands.groupBy("key").agg(F.min("kind").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
     # a text is linked to the least of its bands' heads, and that head to the others: the same connected sets with
     # one link a text, and few links between heads
-    heads = bands.join(shared, "key").groupBy("doc").agg(F.min("head").alias("root"), F.collect_set("head").alias("heads"))
-    heads = written(heads)
+    hits = written(bands.join(shared, "key").select("kind", "key", "head"))
+    heads = written(hits.groupBy("kind").agg(F.min("head").alias("root"), F.collect_set("head").alias("heads")))
     between = heads.select("root", F.explode("heads").alias("head")).where("root <> head").distinct()
-    stars = heads.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(between.select(F.col("head").alias("a"), F.col("root").alias("b")))
-    sets = written(connected_components(stars))
-    blocks = sets.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = written(sets.join(blocks, "component").join(classes.select(F.col("class").alias("node"), "copies"), "node").select(F.col("node").alias("doc"), "component", "blocks", "copies", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")))
-    # sets of one block share tasks' calls: about SMALL texts each (more pairs are looked at, none is lost)
-    units = max(1, members.where("blocks = 1").count() // SMALL)
-    members = members.withColumn("component", F.when(F.col("blocks") == 1, -1 - F.pmod(F.xxhash64("component"), F.lit(units))).otherwise(F.col("component")))
-    texts = sieved(plain, "doc", sieve(members, "doc")).join(members, "doc").dropDuplicates(["doc"])
-    # each text goes to the pairs of blocks that hold its own
-    pairs = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "copies", "text")
-    found = written(pairs.repartition(parts, "component", "i", "j").groupBy("component", "i", "j").applyInPandas(block_links, "doc long, root long, links long, copies long"))
-    counts = found.groupBy("doc").agg(F.sum("links").alias("links"), F.sum("copies").alias("linked"))
+    stars = heads.select(F.col("kind").alias("a"), F.col("root").alias("b")).unionByName(between.select(F.col("head").alias("a"), F.col("root").alias("b")))
+    sets = connected_components(stars).withColumnRenamed("node", "kind")
+    members = written(sets.join(heads.select("kind", "root"), "kind").join(kinds, "kind"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_bytes") / BLOCK_BYTES)).alias("blocks")
+    large = members.groupBy("component").agg(blocks).where("blocks > 1").select("component", F.lit(True).alias("large"))
+    members = members.join(large, "component", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    small = members.where("not large").agg(F.count("*").alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("b")).first()
+    units = 1 + max(small.n // SMALL, small.b // BLOCK_BYTES)
+    within = members.where("large").groupBy("root").agg(blocks)
+    members = members.join(within, "root", "left")
+    # sets of one block share blocks (more pairs are looked at, none is lost)
+    own = F.xxhash64("root", F.pmod(F.xxhash64("kind"), "blocks"))
+    members = written(members.select("kind", "first", "sha", "copies", "large", F.when(F.col("large"), own).otherwise(F.pmod(F.xxhash64("component"), F.lit(units))).alias("block")))
+    # pairs of blocks: each with itself, and those of large sets that hold a common band key
+    meet = hits.join(members.where("large").select("kind", "block"), "kind").groupBy("key").agg(F.array_sort(F.collect_set("block")).alias("b")).where("size(b) > 1")
+    meet = meet.select(F.posexplode("b").alias("at", "i"), "b").select("i", F.explode(F.expr("slice(b, at + 2, size(b))")).alias("j")).distinct()
+    once = members.select(F.col("block").alias("i"), F.col("block").alias("j")).distinct()
+    meet = written(meet)
+    places = once.unionByName(meet).withColumn("block", F.col("i")).unionByName(meet.withColumn("block", F.col("j")))
+    texts = fetched(docs, members).select("block", F.col("kind").alias("doc"), "copies", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = texts.join(places, "block").repartition(parts, "i", "j")
+    found = written(pairs.groupBy("i", "j").applyInPandas(block_links, "doc long, root long, links long, copies long"))
+    counts = found.groupBy("doc").agg(F.sum("links").alias("n_links"), F.sum("copies").alias("linked"))
     groups = connected_components(found.where("doc <> root").select(F.col("doc").alias("a"), F.col("root").alias("b")))
-    each = classes.join(counts, classes["class"] == counts["doc"], "left").drop("doc").join(groups, F.col("class") == F.col("node"), "left")
-    each = each.select("sha", F.col("class").alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_linked_docs"), F.coalesce("component", "class").alias("group_id"))
-    return told.select(F.col("doc").alias(id_col), "sha").join(each, "sha").drop("sha")
+    each = kinds.join(counts.withColumnRenamed("doc", "kind"), "kind", "left").join(groups.withColumnRenamed("node", "kind"), "kind", "left")
+    each = each.select(
+        "sha", "first", "kind", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_linked_docs"), F.coalesce("component", "kind").alias("group"),
+    )
+    return told.select("doc", "sha"), written(each)
+
+
+def plain(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id, n_links, n_linked_docs, group_id of every row; see the module's text."""
+    rows, each = joined(plain(docs, id_col, text_col))
+    groups = each.groupBy("group").agg(F.min("first").alias("group_id"))
+    each = each.join(groups, "group").select("sha", F.col("first").alias("class_id"), "n_links", "n_linked_docs", "group_id")
+    return rows.withColumnRenamed("doc", id_col).join(each, "sha").drop("sha")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each group (that of the least id), columns as they were; rows without an id stay."""
-    groups = jaccard_join(docs, id_col, text_col).where(F.col(id_col) == F.col("group_id")).select(id_col).distinct()
-    kept = docs.join(groups, id_col, "left_semi")
-    return kept.dropDuplicates([id_col]).select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    """docs with one row of each group, columns as they were: that of the least id (rows without one come last), of these
+    the least digest of the text, of rows equal in both the least by all columns."""
+    _, each = joined(plain(docs, id_col, text_col))
+    least = F.min(F.struct(F.col("first").isNull(), F.col("first"), F.col("sha")))
+    kept = written(each.groupBy("group").agg(least.alias("k")).select(F.coalesce("k.first", F.lit(NO_ID)).alias("_id"), F.col("k.sha").alias("_sha")))
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    rows = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_sha": digest}).join(kept, ["_id", "_sha"], "left_semi")
+    return rows.groupBy("_id", "_sha").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,6 +178,79 @@ def test_jaccard_join(spark, rows, folder, monkeypatch, block):
     assert got[3].group_id == got[7].group_id == got[8].group_id
 
 
+def linked_rows(data: list[tuple]) -> list[tuple]:
+    """Every row's class, links, linked rows and group, by comparing all texts."""
+    kinds = sorted({t or "" for _, t in data})
+    sets = {t: shingles(t) for t in kinds}
+    ids = {t: min((d for d, u in data if (u or "") == t and d is not None), default=None) for t in kinds}
+    copies = {t: sum((u or "") == t for _, u in data) for t in kinds}
+    near = {t: {u for u in kinds if u != t and sets[t] and sets[u] and 10 * len(sets[t] & sets[u]) >= 8 * len(sets[t] | sets[u])} for t in kinds}
+    group: dict[str, set] = {}
+    for t in kinds:
+        todo, own = [t], {t}
+        while todo:
+            fresh = near[todo.pop()] - own
+            own |= fresh
+            todo += fresh
+        group[t] = own
+    low = lambda ts: min((ids[t] for t in ts if ids[t] is not None), default=None)
+    return [(d, ids[t or ""], len(near[t or ""]), sum(copies[u] for u in near[t or ""]) + copies[t or ""] - 1, low(group[t or ""])) for d, t in data]
+
+
+def all_by_value(rows) -> list[tuple]:
+    return sorted((tuple(r) for r in rows), key=lambda x: tuple((v is not None, v or 0) for v in x))
+
+
+@pytest.mark.parametrize("block,size", [(1000, 1 << 21), (3, 1 << 21), (1000, 600)])
+def test_jaccard_join_of_shared_and_missing_ids(spark, monkeypatch, block, size):
+    """Rows under one id, without an id, words that hash alike, a chain of near copies in blocks small in texts or bytes."""
+    ship(spark)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", block)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_BYTES", size)
+    rng = random.Random(21)
+    p, q = words(rng, 60), words(rng, 60)
+    data = [(5, p), (5, q), (6, p + " x"), (None, q + " y"), (None, p), (None, None), (7, " "), (8, "one two"), (9, "one  two"), (9, "one  two"), *zip((10, 11), thue_morse(4096))]
+    near = words(rng, 200).split()
+    for k in range(12):
+        near[16 * k] = f"w{k}"
+        data.append((100 + k, " ".join(near)))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    assert all_by_value(ngram_jaccard.jaccard_join(docs).collect()) == all_by_value(linked_rows(data))
+    kept = [tuple(r) for r in ngram_jaccard.one_of_each(docs).collect()]
+    assert all_by_value(kept) == all_by_value([(5, p), (5, q), (None, None), (7, " "), (8, "one two"), (10, data[10][1]), (11, data[11][1]), (100, data[12][1])])
+
+
+def test_jaccard_join_finds_every_near_pair(spark):
+    """Recall against all pairs of a table with many texts near the threshold, on both sides of it."""
+    ship(spark)
+    rng = random.Random(31)
+    data = []
+    for k in range(60):
+        base = words(rng, rng.randint(60, 160)).split()
+        data.append((10 * k, " ".join(base)))
+        for j in range(1, 6):
+            own = list(base)
+            for at in rng.sample(range(len(own)), max(1, round(len(own) * 0.0075 * j))):
+                own[at] = words(rng, 1)
+            data.append((10 * k + j, " ".join(own)))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got, want = all_by_value(ngram_jaccard.jaccard_join(docs).collect()), all_by_value(linked_rows(data))
+    assert sum(r[2] for r in want) > 300 and got == want
+
+
+def test_shingles_of_one_hash_are_told_apart(monkeypatch):
+    texts = [b"a b c d e f", b"a b c d e g", b"h"]
+    want = [set(), set(), set()]
+    for k, t in enumerate(texts):
+        want[k] = shingles(t.decode())
+    monkeypatch.setattr(ngram_jaccard, "span_hash", lambda p, a, b: np.zeros(len(a), np.uint64))
+    monkeypatch.setattr(ngram_jaccard.Words, "hashes", lambda self: np.zeros(len(self.start), np.uint64))
+    ids, first, _ = ngram_jaccard.shingle_sets(texts)
+    got = [set(ids[a:b].tolist()) for a, b in zip(first, first[1:])]
+    assert [len(x) for x in got] == [len(x) for x in want]
+    assert all(len(got[i] & got[j]) == len(want[i] & want[j]) for i in range(3) for j in range(3))
+
+
 def test_posterior_bound():
     assert [ngram_jaccard.least_matches(n) for n in (16, 160)] == sorted(ngram_jaccard.least_matches(n) for n in (16, 160))
     # a pair at the threshold survives all steps with near certainty
