@@ -7,7 +7,8 @@ hex. For near duplicates, bands of the signature are joined in Spark and the exa
 
 Null and empty texts, and texts of white space, have no shingle: the fingerprint is all f, alike to each other (1.0)
 and unlike any text with words (0.0). Equal texts have equal fingerprints. Texts go in whole. Rows with one doc_id
-follow each other by text. An empty table gives no rows; extra columns are left out.
+follow each other by their texts' hashes, rows without one come after all others likewise, and the first row follows the
+last; a lone row follows itself. Ids are whole numbers. An empty table gives no rows; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import CHUNK_BYTES, Words, documents, mix, partitions, prefix, slices, span_hash
 
 PERMS, SHINGLE = 128, 5
+BANDS, ROWS = 25, 5  # of the signature, for near duplicates
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 MULTIPLY = _RNG.integers(0, 1 << 63, 512, np.uint64) * np.uint64(2) + np.uint64(1)
 ADD = _RNG.integers(0, 1 << 63, 512, np.uint64)
@@ -71,6 +74,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perms: int = PERMS) -> DataFrame:
     """id and `signature` (array of 32-bit minima as long) of each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, text_col):
@@ -81,44 +85,59 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: class_id (least id with its text), n_links, n_linked_docs, group_id, by signature bands joined
-    in Spark and exact Jaccard similarity of 0.8 or more. Pairs never become rows: sets that bands connect are compared
-    in blocks, as the n-gram join does, so a group of thousands of near copies costs rows in proportion to its size."""
+    """One row for each row: class_id (least id with its text), n_links, n_linked_docs, group_id, by bands of these
+    signatures (BANDS of ROWS values; a pair at 0.8 shares none with a chance of 5e-5) joined in Spark and exact Jaccard
+    similarity of 0.8 or more. Texts whose bands meet are compared block by block, so pairs never become rows."""
     from quire.llm.ngram_jaccard import jaccard_join
 
-    return jaccard_join(docs, id_col, text_col)
+    return jaccard_join(docs, id_col, text_col, bands=BANDS, rows=ROWS, prune=False)
 
 
 def followed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """Rows dealt by ranges of the id, `_part` in descending order, each part's successor row repeated at its end.
+    """Rows in parts by descending id (rows without one last; of equal ids by hash and text), each part's successor row
+    repeated at its end: _nil, _down, _tie (the order), id, text, _to (the part), _extra.
 
-    The parts' edges are quantiles of the ids and their first rows one row a part, so what the driver holds grows
-    with the number of parts alone. The text moves once.
+    The parts' edges are quantiles of the ids. An id that holds several quantiles, or rows without one, has as many parts
+    of its own by the text's hash. Edges and first rows are one a part, so what the driver holds grows with the
+    number of parts alone. The text moves once.
     """
     spark = docs.sparkSession
     parts = max(1, partitions(spark))
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    edges = sorted(set(rows.stat.approxQuantile("id", [i / parts for i in range(1, parts)], 0.1 / parts))) if parts > 1 else []
-    if any(e != e for e in edges):
-        edges = []
-    part = sum((F.col("id") <= F.lit(e)).cast("int") for e in edges) if edges else F.lit(0)  # 0 holds the largest ids
-    rows = rows.withColumn("_part", part)
-    # the first row of each part: the greatest id, then the least text (by digest of all its bytes)
-    heads = rows.groupBy("_part").agg(F.max("id").alias("id")).collect()
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.select(F.isnull("id").cast("int").alias("_nil"), F.bitwise_not(F.coalesce("id", F.lit(0))).alias("_down"), F.xxhash64("text").alias("_tie"), "id", "text")
+    n = docs.agg(F.count("*").alias("all"), F.count(id_col).alias("ids")).first()
+    nil = -(-parts * (n["all"] - n.ids) // max(1, n["all"]))  # parts of the rows without an id
+    some = max(1, parts - nil)
+    edges = rows.stat.approxQuantile("id", [i / some for i in range(1, some)], 0.1 / some) if some > 1 and n.ids else []
+    edges = np.sort(np.array(edges, np.float64).astype(np.int64))
+
+    @F.pandas_udf("int")
+    def part(ids: pd.Series, tie: pd.Series) -> pd.Series:
+        x = ids.fillna(0).to_numpy().astype(np.int64)
+        low, high = np.searchsorted(edges, x, "left"), np.searchsorted(edges, x, "right")
+        share = (tie.to_numpy().astype(np.float64) + 2.0**63) / (2.0**64 + 2.0**12)
+        own = len(edges) - high + np.floor((high - low + 1) * share).astype(np.int64)
+        return pd.Series(np.where(ids.isna().to_numpy(), len(edges) + 1 + np.floor(max(1, nil) * share).astype(np.int64), own).astype(np.int32))
+
+    rows = rows.withColumn("_part", part("id", "_tie"))
+    first = F.min(F.struct("_nil", "_down", "_tie")).alias("_first")
+    heads = rows.groupBy("_part").agg(first).collect()
     full = sorted(h._part for h in heads)
     before = {p: full[k - 1] for k, p in enumerate(full)}  # the first follows the last
-    marks = spark.createDataFrame([(h._part, h.id, before[h._part]) for h in heads], f"_part int, id {rows.schema['id'].dataType.simpleString()}, _before int")
-    headed = rows.join(F.broadcast(marks), ["_part", "id"], "left")  # one row a part: bounded
-    own = headed.select("id", "text", F.col("_part").alias("_to"), F.lit(0).alias("_extra"))
-    extra = headed.where("_before is not null").select("id", "text", F.col("_before").alias("_to"), F.lit(1).alias("_extra"))
-    return own.unionByName(extra), len(edges) + 1
+    marks = spark.createDataFrame([(h._part, *h._first, before[h._part]) for h in heads], "_part int, _nil int, _down long, _tie long, _before int")
+    headed = rows.join(F.broadcast(marks), ["_part", "_nil", "_down", "_tie"], "left")  # one row a part: bounded
+    order = ["_nil", "_down", "_tie", "id", "text"]
+    to = F.array(F.struct(F.col("_part").alias("_to"), F.lit(0).alias("_extra")), F.struct(F.col("_before").alias("_to"), F.lit(1).alias("_extra")))
+    both = headed.select(*order, F.explode(F.when(F.isnull("_before"), F.slice(to, 1, 1)).otherwise(to)).alias("x"))
+    return both.select(*order, "x._to", "x._extra"), len(edges) + 1 + max(1, nil)
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of each text and of its edited text (its last third replaced by the start of the next text)."""
     rows, parts = followed(docs, id_col, text_col)
+    dealt = rows.repartitionById(parts, "_to").sortWithinPartitions("_to", "_extra", "_nil", "_down", "_tie", "text")
+    dealt = dealt.select("id", "text", "_to", "_extra")
     kind = docs.schema[id_col].dataType.simpleString()
-    dealt = rows.repartitionByRange(parts, "_to").sortWithinPartitions("_to", "_extra", F.desc("id"), "text")
 
     def table(ids: list, own: list[bytes], nexts: list[bytes]) -> pa.RecordBatch:
         chars = [t.decode("utf-8", "replace") for t in own]
@@ -133,7 +152,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         ], names=names)
 
     names = [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    id_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+    id_type = pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list = []
@@ -156,7 +175,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     yield table(ids[:-1], texts[:-1], texts[1:])
                     ids, texts, held = ids[-1:], texts[-1:], len(t)
 
-    return dealt.mapInArrow(run, f"`{id_col}` {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    out = dealt.mapInArrow(run, f"`{id_col}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return out.withColumn(id_col, F.col(id_col).cast(kind))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

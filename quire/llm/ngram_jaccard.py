@@ -49,23 +49,23 @@ def least_matches(n: int, threshold: float = THRESHOLD, tolerance: float = TOLER
     return n
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
+def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key for each band (the band's number is part of it)."""
-    bands = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
-    key = np.zeros((len(sig), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for r in range(ROWS):
-        key = mix((key ^ bands[:, :, r]) * np.uint64(0xD1342543DE82EF95))
+    values = sig.reshape(len(sig), bands, rows).astype(np.uint64)
+    key = np.zeros((len(sig), bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for r in range(rows):
+        key = mix((key ^ values[:, :, r]) * np.uint64(0xD1342543DE82EF95))
     return key.view(np.int64)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """doc, sha, n_bytes, keys (band keys; none for a text without words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 hashes, first = shingle_hashes(texts)
-                keys = band_keys(signatures(hashes, first, BANDS * ROWS))
+                keys = band_keys(signatures(hashes, first, bands * rows), bands, rows)
                 some = np.diff(first) > 0
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array([len(t) for t in texts], pa.int64()),
@@ -140,10 +140,10 @@ def surviving(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tup
     return i, j
 
 
-def linked(a: list[bytes], b: list[bytes] | None) -> Iterator[tuple[int, np.ndarray]]:
+def linked(a: list[bytes], b: list[bytes] | None, prune: bool = True) -> Iterator[tuple[int, np.ndarray]]:
     """For each text of a, the numbers of the texts of b (later ones of a, if b is None) that it is linked to."""
     ids, first, hashes = shingle_sets(a + (b or []))
-    sig = signatures(hashes[ids], first, BANDS * ROWS)
+    sig = signatures(hashes[ids], first, BANDS * ROWS) if prune else None
     size = np.diff(first)
     low = len(a) if b is not None else 0
     mark = np.zeros(int(ids.max()) + 1 if len(ids) else 1, bool)
@@ -151,7 +151,8 @@ def linked(a: list[bytes], b: list[bytes] | None) -> Iterator[tuple[int, np.ndar
         j = np.arange(low if b is not None else i + 1, len(size))
         near = (np.minimum(size[j], size[i]) >= THRESHOLD * np.maximum(size[j], size[i]) - 1e-9) & (size[j] > 0) & (size[i] > 0)
         j = j[near]
-        j = surviving(sig, sig, np.full(len(j), i), j)[1]
+        if prune:
+            j = surviving(sig, sig, np.full(len(j), i), j)[1]
         if not len(j):
             yield i, j
             continue
@@ -165,7 +166,7 @@ def linked(a: list[bytes], b: list[bytes] | None) -> Iterator[tuple[int, np.ndar
         yield i, j[both * 10 >= round(THRESHOLD * 10) * (size[i] + n - both)] - low
 
 
-def block_links(pdf: pd.DataFrame) -> pd.DataFrame:
+def block_links(pdf: pd.DataFrame, prune: bool = True) -> pd.DataFrame:
     """One pair of blocks (or one block with itself): doc, root, links, copies for each text in a link."""
     mixed = pdf["i"].iloc[0] != pdf["j"].iloc[0]
     pdf = pdf.sort_values(["block", "doc"])
@@ -183,7 +184,7 @@ def block_links(pdf: pd.DataFrame) -> pd.DataFrame:
         return x
 
     if n and m:
-        for i, j in linked([t.encode() for t in left["text"]], [t.encode() for t in right["text"]] if mixed else None):
+        for i, j in linked([t.encode() for t in left["text"]], [t.encode() for t in right["text"]] if mixed else None, prune):
             if len(j):
                 at = j + n if mixed else j
                 links[i] += len(at)
@@ -198,19 +199,19 @@ def block_links(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"doc": docs[at], "root": docs[[find(x) for x in at.tolist()]] if len(at) else docs[:0], "links": links[at], "copies": copies[at]})
 
 
-def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def joined(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, prune: bool = True) -> tuple[DataFrame, DataFrame]:
     """docs: doc, text. The rows (doc, sha) and the classes: sha, first (least doc), kind (number), copies, n_links,
     n_linked_docs, group (the least kind of its group)."""
     parts = partitions(docs.sparkSession)
-    told = written(keyed(docs))
+    told = written(keyed(docs, bands, rows))
     kinds = told.groupBy("sha").agg(F.min("doc").alias("first"), F.count("*").alias("copies"), F.min("n_bytes").alias("n_bytes"))
     kinds = written(kinds.withColumn("kind", F.monotonically_increasing_id()))
     reps = told.join(kinds, "sha").where(F.col("doc").eqNullSafe(F.col("first"))).dropDuplicates(["sha"])
-    bands = written(reps.select("kind", F.explode("keys").alias("key")))
-    shared = bands.groupBy("key").agg(F.min("kind").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
+    banded = written(reps.select("kind", F.explode("keys").alias("key")))
+    shared = banded.groupBy("key").agg(F.min("kind").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
     # a text is linked to the least of its bands' heads, and that head to the others: the same connected sets with
     # one link a text, and few links between heads
-    hits = written(bands.join(shared, "key").select("kind", "key", "head"))
+    hits = written(banded.join(shared, "key").select("kind", "key", "head"))
     heads = written(hits.groupBy("kind").agg(F.min("head").alias("root"), F.collect_set("head").alias("heads")))
     between = heads.select("root", F.explode("heads").alias("head")).where("root <> head").distinct()
     stars = heads.select(F.col("kind").alias("a"), F.col("root").alias("b")).unionByName(between.select(F.col("head").alias("a"), F.col("root").alias("b")))
@@ -234,7 +235,7 @@ def joined(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     places = once.unionByName(meet).withColumn("block", F.col("i")).unionByName(meet.withColumn("block", F.col("j")))
     texts = fetched(docs, members).select("block", F.col("kind").alias("doc"), "copies", F.coalesce("text", F.lit("")).alias("text"))
     pairs = texts.join(places, "block").repartition(parts, "i", "j")
-    found = written(pairs.groupBy("i", "j").applyInPandas(block_links, "doc long, root long, links long, copies long"))
+    found = written(pairs.groupBy("i", "j").applyInPandas(lambda pdf: block_links(pdf, prune), "doc long, root long, links long, copies long"))
     counts = found.groupBy("doc").agg(F.sum("links").alias("n_links"), F.sum("copies").alias("linked"))
     groups = connected_components(found.where("doc <> root").select(F.col("doc").alias("a"), F.col("root").alias("b")))
     each = kinds.join(counts.withColumnRenamed("doc", "kind"), "kind", "left").join(groups.withColumnRenamed("node", "kind"), "kind", "left")
@@ -249,12 +250,13 @@ def plain(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, n_links, n_linked_docs, group_id of every row; see the module's text."""
-    rows, each = joined(plain(docs, id_col, text_col))
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, prune: bool = True) -> DataFrame:
+    """doc_id, class_id, n_links, n_linked_docs, group_id of every row; see the module's text. Without pruning every pair of
+    texts in blocks that meet is verified."""
+    ids, each = joined(plain(docs, id_col, text_col), bands, rows, prune)
     groups = each.groupBy("group").agg(F.min("first").alias("group_id"))
     each = each.join(groups, "group").select("sha", F.col("first").alias("class_id"), "n_links", "n_linked_docs", "group_id")
-    return rows.withColumnRenamed("doc", id_col).join(each, "sha").drop("sha")
+    return ids.withColumnRenamed("doc", id_col).join(each, "sha").drop("sha")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
