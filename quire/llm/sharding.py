@@ -1,10 +1,12 @@
 """Best-fit-decreasing packing of indivisible groups into fixed-capacity shards.
 
-Groups (equal texts) of one size are interchangeable, so the packer works on the histogram of group sizes:
-k different sizes need at least k*k/2 bytes, so the histogram of a corpus of B bytes has at most sqrt(2B) rows
-(14 million at 100 TB, mostly far fewer) and may go to the driver. Sizes enter in decreasing order, each into
-the bin with the tightest remaining capacity that still holds it; an AVL tree ordered by (remaining, bin) finds
-that bin in O(log bins). Rows are then numbered and joined to the packed runs without any single-task step.
+Groups (equal texts) of one size are interchangeable, so the packer works on a histogram of group sizes. Sizes below
+EXACT bytes have an entry each, larger ones FINE entries for each doubling, packed as the greatest size in the entry:
+at most EXACT + 50 * FINE entries (60,000) go to the driver whatever the corpus, and no shard is off by more than one part
+in FINE of what its larger groups hold. Entries go in by decreasing size, each group into the bin with the tightest remaining
+capacity that still holds it; an AVL tree ordered by (remaining, bin) finds that bin in O(log bins). Rows are then
+numbered and joined to the packed runs without any single-task step; the rows of one huge group of copies are small
+(no text) and are split by the adaptive skew join.
 
 Nulls count as empty texts; empty texts form one group; ties in size are numbered by the group's digest, so the
 result does not depend on the order or partitioning of the input. Repeated rows share their text's shard. An
@@ -20,6 +22,7 @@ from pyspark.sql import types as T
 from quire.llm.common import documents, partitions, running_index, written
 
 OVERHEAD = 16
+EXACT, FINE = 1 << 13, 1 << 10
 
 
 class Bins:
@@ -114,7 +117,8 @@ def best_fit_decreasing(histogram: list[tuple[int, int]], capacity: int, most: i
 
 
 def even_packing(histogram: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int, int]]:
-    """Runs for exactly `shards` bins of near equal size: the least capacity for which best fit needs no more bins.
+    """Runs for exactly `shards` bins of near equal size: the capacity is halved down to one byte between a value for which
+    best fit needs more bins and the one that is taken.
 
     Groups larger than an even share go alone into the last bins; the others share what is left evenly.
     """
@@ -140,8 +144,6 @@ def even_packing(histogram: list[tuple[int, int]], shards: int) -> list[tuple[in
                 low, step = middle, step * 2
             else:
                 runs, high = found, middle
-                if (high - low) * 20_000 < high:
-                    break
         runs = runs or best_fit_decreasing(items, high, left) or []
     for k, (size, rank) in enumerate(alone):
         runs.append((size, rest.get(size, 0) + rank, rest.get(size, 0) + rank + 1, left + k))
@@ -157,8 +159,14 @@ def pack(docs: DataFrame, shards: int = 40, capacity: int | None = None, id_col:
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = written(docs.select(F.col(id_col), (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("group")))
-    groups = rows.groupBy("group").agg(F.sum("size").alias("gsize"))
-    histogram = [tuple(r) for r in groups.groupBy("gsize").count().collect()]
+    groups = rows.groupBy("group").agg(F.sum("size").alias("bytes"))
+    # the leading bits of the size: all of a small one
+    shift = F.greatest(F.lit(0), F.length(F.bin("bytes")) - FINE.bit_length())
+    entry = F.when(F.col("bytes") < EXACT, F.col("bytes")).otherwise(F.expr("bytes") - F.pmod("bytes", F.pow(F.lit(2), shift).cast("long")))
+    groups = written(groups.select("group", "bytes", entry.alias("entry")))
+    top = groups.groupBy("entry").agg(F.max("bytes").alias("gsize"), F.count("*").alias("count"))
+    histogram = [(r.gsize, r["count"]) for r in top.collect()]
+    groups = groups.join(F.broadcast(top.select("entry", "gsize")), "entry").select("group", "gsize")
     packed = best_fit_decreasing(histogram, capacity) if capacity else even_packing(histogram, shards)
     by_size: dict[int, list] = {}
     for size, _, upto, shard in sorted(packed):
