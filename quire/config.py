@@ -1,8 +1,9 @@
-"""Settings of a run. Dates are always given, never read from a clock, so runs repeat exactly."""
+"""Settings of a run. The pull date is given by the caller or the environment, never read from a clock, so runs repeat
+exactly; the default is that of the fixtures."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -24,8 +25,9 @@ class Config:
     search_first_year: int = 1991
     search_cap: int = 6000
     citation_cap: int = 500_000
+    citation_seconds: float = 2700.0
+    search_seconds: float = 1500.0
     mock: bool = False
-    extra: dict = field(default_factory=dict, hash=False)
 
     @property
     def pull_year(self) -> int:
@@ -33,7 +35,10 @@ class Config:
 
     @classmethod
     def from_env(cls, env: dict[str, str]) -> Config:
-        """From QUIRE_* variables: PULL_DATE, DATA_DIR, MAILTO, ONLY (comma list), ALLOW_SHRINK, MOCK."""
-        given = {k: env[f"QUIRE_{k.upper()}"] for k in ("pull_date", "data_dir", "mailto") if env.get(f"QUIRE_{k.upper()}")}
+        """From QUIRE_* variables: PULL_DATE, DATA_DIR, MAILTO, ONLY (comma list), ALLOW_SHRINK, MOCK; CITATION_CAP,
+        CITATION_MS, MIN_AGE_DAYS, SEARCH_CAP, SEARCH_MS (caps and budgets of the refresh jobs)."""
+        given: dict = {k: env[f"QUIRE_{k.upper()}"] for k in ("pull_date", "data_dir", "mailto") if env.get(f"QUIRE_{k.upper()}")}
+        given |= {k: int(env[f"QUIRE_{k.upper()}"]) for k in ("citation_cap", "min_age_days", "search_cap") if env.get(f"QUIRE_{k.upper()}")}
+        given |= {f"{k}_seconds": int(env[f"QUIRE_{k.upper()}_MS"]) / 1000 for k in ("citation", "search") if env.get(f"QUIRE_{k.upper()}_MS")}
         only = tuple(x.strip() for x in env.get("QUIRE_ONLY", "").split(",") if x.strip())
         return cls(**given, only=only, allow_shrink=env.get("QUIRE_ALLOW_SHRINK") == "1", mock=env.get("QUIRE_MOCK") == "1")

@@ -159,7 +159,7 @@ def acceptance(abstract: Column) -> Column:
     person = F.trim(F.when(comma > 0, F.substring(found, F.lit(1), comma - 1)).otherwise(found))
     rest = F.trim(F.when(comma > 0, F.substring(found, comma + 1, F.char_length(found))).otherwise(""))
     rest = F.trim(F.regexp_replace(F.element_at(F.split(rest, rf"\.{WS}"), 1), r"\.$", ""))
-    special = rf"(?i)^(.*?){WS}+for{WS}+the{WS}+(.*special{WS}+(?:issue|section).*)$"
+    special = rf"(?i)^(.*?){WS}+for{WS}+the{WS}+(.*(?:special{WS}+issue|special{WS}+section).*)$"  # fixed value
     is_special = person.rlike(special)
     body = F.when(is_special, F.trim(F.regexp_extract(person, special, 1))).otherwise(person)
     area = F.when(is_special, F.trim(F.regexp_extract(person, special, 2))).otherwise(rest)
@@ -168,6 +168,12 @@ def acceptance(abstract: Column) -> Column:
     return F.struct(F.when(good, text).otherwise("").alias("editor"), F.when(good, area).otherwise("").alias("area"))
 
 
+def first_or_scalar(x: Column) -> Column:
+    """A member that holds a string or an array of strings, read as text: the string, or the array's first element."""
+    listed = F.try_element_at(F.from_json(x, "array<string>"), F.lit(1))
+    return F.when(F.startswith(F.ltrim(x), F.lit("[")), listed).otherwise(x)
+
+
 def norm_area(x: Column) -> Column:
     plain = F.lower(F.trim(F.regexp_replace(F.regexp_replace(or_blank(x), "<[^>]+>", ""), rf"\.{WS}*$", "")))
     return F.when(plain.rlike("special issue on (?:the )?digital finance"), "special issue on the digital finance").otherwise(plain)
@@ -252,7 +258,9 @@ def surnames(names: Column) -> Column:
 
 
 PREFIX_LENGTH = 14
-FOLLOW_UPS = "comment|reply|replies|corrigend|errat|rejoinder|retract"  # fixed value
+#: What a separate follow-up's title adds, and titles before a person's name (fixed values).
+FOLLOW_UPS = "comment|repl(y|ies)|corrigend|errat|rejoinder|retract"
+HONORIFICS = "dr|prof(?:essor)?|mr|mrs|ms"
 
 
 def titles_match(a: Column, b: Column) -> Column:
@@ -282,7 +290,7 @@ def tail_segment(x: Column) -> Column:
 def clean_name(x: Column) -> Column:
     s = squeeze(F.regexp_replace(tail_segment(x), rf"(?i)^.*(?:history|editors?){WS}*:{WS}*", ""))
     s = F.regexp_replace(s, rf"(?i)^(?:and|with|by){WS}+", "")
-    s = F.regexp_replace(s, rf"(?i)^(?:dr|professor|prof|mrs|mr|ms)\.?{WS}+", "")
+    s = F.regexp_replace(s, rf"(?i)^(?:{HONORIFICS})\.?{WS}+", "")
     return F.trim(F.regexp_replace(s, "[.,;:]+$", ""))
 
 

@@ -34,7 +34,7 @@ def mode_and_variants(counts: DataFrame, group: str, value: str, n: str, first:
     """(group, mode, variants[]): values by frequency, ties by first occurrence."""
     item = F.struct((-F.col(n)).alias("o"), F.col(first).alias("f"), F.col(value).alias("v"))
     ranked = F.transform(F.array_sort(F.collect_list(item)), lambda s: s["v"])
-    return counts.groupBy(group).agg(ranked.alias("_v")).select(group, F.get("_v", F.lit(0)).alias("mode"), F.slice("_v", 2, 1_000_000).alias("variants"))
+    return counts.groupBy(group).agg(ranked.alias("_v")).select(group, F.get("_v", F.lit(0)).alias("mode"), F.slice("_v", F.lit(2), F.size("_v")).alias("variants"))
 
 
 def ordered_set(value, order):  # noqa: ANN001, ANN201

@@ -23,14 +23,15 @@ def search_queue(papers: DataFrame, cache: DataFrame, key: str, year: str, none:
     return due.orderBy(F.coalesce(version, F.lit(0)) != 0, prefix_int(F.col(year)).desc(), key).limit(cap)
 
 
-def counted(oa: Column, s2: Column, oa_done: Column, s2_done: Column, previous: Column) -> Column:
+def counted(oa: Column, s2: Column, oa_done: Column, s2_done: Column, previous: Column, previous_s2: Column | None = None) -> Column:
     """struct(c, s2): the larger count; the second source is named only if strictly larger. A larger earlier count
-    survives unless both lookups concluded. A count of 0 is null. A lookup that did not conclude has no count."""
+    survives, with its source, unless both lookups concluded. A count of 0 is null. A lookup that did not conclude has no count."""
     a = F.when(oa_done, F.coalesce(oa, F.lit(0))).otherwise(0)
     b = F.when(s2_done, F.coalesce(s2, F.lit(0))).otherwise(0)
     best = F.greatest(a, b)
     carried = (F.coalesce(previous, F.lit(0)) > best) & ~(oa_done & s2_done)
-    return F.struct(F.nullif(F.when(carried, previous).otherwise(best), F.lit(0)).alias("c"), (~carried & (b > a)).alias("s2"))
+    source = F.coalesce(previous_s2, F.lit(False)) if previous_s2 is not None else F.lit(False)
+    return F.struct(F.nullif(F.when(carried, previous).otherwise(best), F.lit(0)).alias("c"), F.when(carried, source).otherwise(b > a).alias("s2"))
 
 
 def stamp(found: DataFrame, requested: DataFrame, key: str, answered: Column) -> DataFrame:

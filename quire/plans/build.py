@@ -34,7 +34,7 @@ def map_works(works: DataFrame, journals: DataFrame, config: Config, fixups: Dat
     flags = journals.select(F.col("key").alias("jkey"), F.col("name").alias("journal"), "src_ord", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("editors", "seEditors", "aeEditors")])
     w = works.where("type is null or type in ('', 'journal-article')").join(flags, "jkey")
     people = F.filter(F.transform("author", lambda a: F.struct(T.author_name(a["given"], a["family"], a["name"]).alias("name"), T.orcid(a["ORCID"]).alias("orcid"))), lambda p: p["name"] != "")
-    places = F.array_distinct(F.filter(F.transform(F.flatten(F.transform("author", lambda a: F.coalesce(a["affiliation"], F.array()))), lambda x: T.strip_markup(x["name"])), lambda s: s != ""))
+    places = F.array_distinct(F.filter(F.transform(F.flatten(F.transform("author", lambda a: F.coalesce(a["affiliation"], F.array()))), lambda x: T.squeeze(x["name"])), lambda s: s != ""))
     none = F.array().cast("array<string>")
     first = w.select(
         "jkey", "journal", "src_ord", "ord", "editors", "seEditors", "aeEditors", T.strip_markup(F.try_element_at("title", F.lit(1))).alias("title"),
@@ -42,12 +42,13 @@ def map_works(works: DataFrame, journals: DataFrame, config: Config, fixups: Dat
         T.doi_key(F.col("DOI")).alias("doi_key"), *[T.or_blank(F.col(c)).alias(c) for c in ("volume", "issue", "page")],
         T.year_of(*[F.col(f"`{c}`.`date-parts`") for c in ("issued", "published-print", "published-online", "created")]).alias("year"),
         T.text_prefix(T.strip_markup(F.col("abstract")), config.abstract_limit).alias("abstract"),
-        F.col("group-title").alias("group_title"), F.try_element_at("subject", F.lit(1)).alias("subject"), T.assertion_editor(F.col("assertion")).alias("by_assertion"), T.positive(F.col("is-referenced-by-count")).alias("cited_by"),
+        T.first_or_scalar(F.col("group-title")).alias("group_title"), F.try_element_at("subject", F.lit(1)).alias("subject"), T.assertion_editor(F.col("assertion")).alias("by_assertion"), T.positive(F.col("is-referenced-by-count")).alias("cited_by"),
     ).where("title <> ''")
     if fixups is not None:
         first = overlay(first, fixups, "doi_key", fill=("volume", "issue", "page"), override=("year",))
     side = overrides if overrides is not None else first.select("doi_key").limit(0).select("doi_key", F.lit("").alias("editor"), F.lit("").alias("area"))
-    first = first.join(side.select("doi_key", F.col("editor").alias("o_editor"), F.col("area").alias("o_area")), "doi_key", "left")
+    given = F.concat(F.lit(T.ACCEPTED), F.regexp_replace(T.or_blank(F.col("editor")), r"\.+$", ""), F.lit("."))
+    first = first.join(side.select("doi_key", given.alias("o_editor"), F.col("area").alias("o_area")), "doi_key", "left")
     found = first.withColumn("_a", T.acceptance(F.col("abstract"))).withColumn("_e", T.parse_editors(F.col("abstract")))
     status = T.forthcoming_status(F.col("volume"), F.col("issue"), F.col("year"), config.pull_year)
     out = found.withColumn("status", status).select(
@@ -81,7 +82,7 @@ def with_fallback(fresh: DataFrame, committed: DataFrame, config: Config) -> Dat
 def apply_editors(papers: DataFrame, shared: DataFrame, own: DataFrame | None, journals: DataFrame) -> DataFrame:
     """Cached editors where the text had none, for journals that have the role; an own record hides a shared one."""
     cache = rows.overlay_all(shared, own, "doi_key") if own is not None else shared
-    flags = journals.select(F.col("key").alias("jkey"), F.coalesce("seEditors", F.lit(False)).alias("_se"), F.coalesce("aeEditors", F.lit(False)).alias("_ae"))
+    flags = journals.select(F.col("key").alias("jkey"), F.coalesce("seEditors", F.lit(False)).alias("_se"), (F.coalesce("seEditors", F.lit(False)) & F.coalesce("aeEditors", F.lit(False))).alias("_ae"))
     joined = papers.join(cache, "doi_key", "left").join(flags, "jkey", "left")
     filled = {c: F.when(F.col(flag), T.first_given(F.col(c), F.col(s))).otherwise(F.col(c)) for c, flag, s in (("senior_editor", "_se", "se"), ("associate_editor", "_ae", "ae"))}
     return joined.withColumns(filled).select(*papers.columns)
@@ -90,7 +91,10 @@ def apply_editors(papers: DataFrame, shared: DataFrame, own: DataFrame | None, j
 def append_supplement(papers: DataFrame, extra: DataFrame, journals: DataFrame, config: Config) -> DataFrame:
     """Advance papers from the supplement that no journal has yet, for journals that publish in advance."""
     dims = local(active(journals)).where(F.coalesce("aia", F.lit(False))).select(F.col("key").alias("jkey"), F.col("name").alias("journal"), "src_ord", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("seEditors", "aeEditors")])
-    named = extra.where("doi_key <> '' and coalesce(Title, '') <> ''").groupBy("doi_key").agg(F.first(F.struct(*[c for c in extra.columns if c != "doi_key"])).alias("r")).select("doi_key", "r.*")
+    # of entries with one DOI the first in the file counts (by their columns, where a table has no place)
+    rest = [c for c in extra.columns if c != "doi_key"]
+    first = F.min_by(F.struct(*rest), F.struct(*(["pos"] if "pos" in rest else rest))).alias("r")
+    named = extra.where("doi_key <> '' and coalesce(Title, '') <> ''").groupBy("doi_key").agg(first).select("doi_key", "r.*")
     new = named.join(papers.select("doi_key"), "doi_key", "left_anti").join(dims, "jkey")
     authors = T.list_split(F.col("Authors"), ",")
     blank = F.lit("")

@@ -33,8 +33,10 @@ def rehydrated(published: DataFrame, journals: DataFrame) -> DataFrame:
 
 
 def write_papers(papers: DataFrame, path: str) -> None:
-    """One partition a journal, sorted as published; only the journals written are replaced."""
-    ordered = papers.repartition("jkey").sortWithinPartitions("jkey", F.desc("pub_rank"), "doi_key", "ord")
+    """One folder a journal, sorted as published; only the journals written are replaced. Rows are dealt by ranges of
+    (journal, rank), so a large journal has several files, in order, and no task has to hold it."""
+    order = ["jkey", F.desc("pub_rank"), "doi_key", "ord"]
+    ordered = papers.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("jkey").parquet(path)
 
 

@@ -22,9 +22,9 @@ def concluded_counts(requests: DataFrame, first: DataFrame, second: DataFrame, c
     an answered key without a count is a concluded 0. A key that neither concluded keeps its state."""
     a = first.select("doi_key", F.col("c").alias("_oa"), F.col("done").alias("_od"))
     b = second.select("doi_key", F.col("c").alias("_s2"), F.col("done").alias("_sd"))
-    joined = requests.join(a, "doi_key", "left").join(b, "doi_key", "left").join(cache.select("doi_key", F.col("c").alias("_p")), "doi_key", "left")
+    joined = requests.join(a, "doi_key", "left").join(b, "doi_key", "left").join(cache.select("doi_key", F.col("c").alias("_p"), F.col("s2").alias("_ps")), "doi_key", "left")
     od, sd = (F.coalesce(c, F.lit(False)) for c in ("_od", "_sd"))
-    got = joined.where(od | sd).select("doi_key", state.counted(F.col("_oa"), F.col("_s2"), od, sd, F.col("_p")).alias("g"))
+    got = joined.where(od | sd).select("doi_key", state.counted(F.col("_oa"), F.col("_s2"), od, sd, F.col("_p"), F.col("_ps")).alias("g"))
     return rows.overlay_all(cache, got.select("doi_key", "g.c", F.lit(today).alias("t"), "g.s2"), "doi_key")
 
 
@@ -49,8 +49,11 @@ def preprint_requests(papers: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def found_by_doi(requests: DataFrame, works: DataFrame, answered: DataFrame) -> DataFrame:
-    """New cache rows from works (doi_key, hit): a usable link, or none for a key of an answered batch (batch)."""
-    links = works.select("doi_key", pick_preprint(matching.candidate_urls("hit", oa_url=True)).alias("l")).groupBy("doi_key").agg(F.first("l", ignorenulls=True).alias("l"))
+    """New cache rows from works (doi_key, hit; of several the first by `ord`, if they have one): a usable link, or none
+    for a key of an answered batch (batch)."""
+    order = F.col("ord") if "ord" in works.columns else F.col("l")
+    links = works.select("*", pick_preprint(matching.candidate_urls("hit", oa_url=True)).alias("l")).where("l is not null")
+    links = links.groupBy("doi_key").agg(F.min_by("l", order).alias("l"))
     found = links.select("doi_key", F.col("l.u").alias("u"), F.col("l.s").alias("s"))
     done = requests.join(answered.select("batch"), "batch", "left_semi").select("doi_key")
     stamped = state.stamp(found, done, "doi_key", F.lit(True))

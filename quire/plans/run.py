@@ -14,23 +14,18 @@ from quire.sources.shared import written
 def catalogue(spark: SparkSession, landing: str, config: Config, committed: DataFrame | None = None) -> dict[str, DataFrame]:
     """papers, registry, authors, affiliations, recent, manifest and meta from a landing folder.
 
-    The folder holds journals.json, works-<key>.json for each journal and, if there are any, fixups.json,
-    overrides.json, editors.json, supplement.json, preprints.json, citations.json and registry.json. A journal without
-    works keeps its committed papers.
+    The folder holds journals.json, works-<key>.json for each journal (or works-<key>.<issn>.<page>.json, a file a page)
+    and, if there are any, fixups.json, overrides.json, editors.json, own-editors.json, supplement.json, preprints.json,
+    citations.json and registry.json. A journal without works keeps its committed papers.
     """
     dims = json_docs.journals(spark, f"{landing}/journals.json")
-    scope = build.local(build.active(dims))
-    works = None
-    for r in scope.select("key").orderBy("src_ord").collect():  # one a journal
-        one = json_docs.works(spark, f"{landing}/works-{r.key}.json", r.key)
-        works = one if works is None else works.unionByName(one)
+    scope = build.local(build.active(dims, config.only))
+    works = json_docs.works_folder(spark, landing, scope)
     base = committed if committed is not None else spark.createDataFrame([], PAPER)
-    if works is None:
-        papers = base
-    else:
-        fresh = build.map_journals(works, scope, config, fixups=json_docs.fixups(spark, f"{landing}/fixups.json"), overrides=json_docs.overrides(spark, f"{landing}/overrides.json"))
-        papers = build.with_fallback(fresh.select(*PAPER_COLUMNS), base.select(*PAPER_COLUMNS), config)
-    papers = build.apply_editors(papers, json_docs.editors_cache(spark, f"{landing}/editors.json"), None, dims)
+    fresh = build.map_journals(works, scope, config, fixups=json_docs.fixups(spark, f"{landing}/fixups.json"), overrides=json_docs.overrides(spark, f"{landing}/overrides.json"))
+    papers = build.with_fallback(fresh.select(*PAPER_COLUMNS), base.select(*PAPER_COLUMNS), config)
+    shared, own = (json_docs.editors_cache(spark, f"{landing}/{name}.json") for name in ("editors", "own-editors"))
+    papers = build.apply_editors(papers, shared, own, dims)
     papers = build.append_supplement(papers, json_docs.supplement(spark, f"{landing}/supplement.json"), dims, config)
     papers = publish.drop_retired(papers, dims)
     papers = refresh.apply_preprints(papers, json_docs.preprint_cache(spark, f"{landing}/preprints.json"))

@@ -23,26 +23,48 @@ def wait_seconds(attempt: int, retry_after: float = 0.0) -> float:
     return max(retry_after, min(5.0 * 2 ** (attempt - 1), 60.0))
 
 
-def get_json(transport: Transport, url: str, tries: int = 5, timeout: float = 20.0, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """A GET that is repeated after 2, 4 ... 32 seconds on throttling, server errors and broken replies."""
+def get_json(transport: Transport, url: str, tries: int = 6, timeout: float = 20.0, sleep: Callable[[float], None] = time.sleep) -> dict:
+    """A GET that is repeated after 2, 4 ... 32 seconds whatever went wrong: an error of the transport, any status but
+    200, a broken reply."""
+    why: object = None
     for attempt in range(1, tries + 1):
-        status, retry_after, body = transport(url, timeout)
-        if status == 200:
-            try:
+        retry_after = 0.0
+        try:
+            status, retry_after, body = transport(url, timeout)
+            if status == 200:
                 return json.loads(body)
-            except ValueError:
-                pass
-        elif 400 <= status < 500 and status != 429:
-            raise LookupFailed(f"{status} {url}")
+            why = status
+        except Exception as e:  # noqa: BLE001 - transports raise what they like
+            why = e
         if attempt < tries:
-            sleep(max(retry_after, float(min(32, 2**attempt))))
-    raise LookupFailed(url)
+            sleep(max(retry_after, 2.0**attempt))
+    raise LookupFailed(f"{url}: {why}")
 
 
 def get_once(transport: Transport, url: str, timeout: float = 20.0) -> dict:
-    """One GET: {ok, status, retry_after, body}."""
-    status, retry_after, body = transport(url, timeout)
-    return {"ok": status == 200, "status": status, "retry_after": retry_after, "body": json.loads(body) if status == 200 else None}
+    """One GET: {ok, status, retry_after, body}; status 0 where there was no reply or a broken one."""
+    try:
+        status, retry_after, body = transport(url, timeout)
+        return {"ok": status == 200, "status": status, "retry_after": retry_after, "body": json.loads(body) if status == 200 else None}
+    except Exception:  # noqa: BLE001
+        return {"ok": False, "status": 0, "retry_after": 0.0, "body": None}
+
+
+def post_batch(transport: Callable[[str, float, str], tuple[int, float, str]], url: str, ids: Sequence[str], sleep: Callable[[float], None] = time.sleep) -> list | None:
+    """One POST of {"ids": [...]} with a positional reply; throttling is waited out once (5 to 30 seconds). None: failed."""
+    payload = json.dumps({"ids": list(ids)}, separators=(",", ":"))
+    for attempt in range(2):
+        try:
+            status, retry_after, body = transport(url, 30.0, payload)
+            if status == 200:
+                reply = json.loads(body)
+                return reply if isinstance(reply, list) else None
+        except Exception:  # noqa: BLE001
+            return None
+        if status != 429 or attempt:
+            return None
+        sleep(min(max(retry_after, 5.0), 30.0))
+    return None
 
 
 def pages(transport: Transport, base: str, filters: str, select: str, mailto: str = "", rows: int = 1000, sleep: Callable[[float], None] = time.sleep) -> Iterator[list[dict]]:
@@ -157,7 +179,27 @@ class WorksSource(DataSource):
         return WorksReader(self.options)
 
 
+#: Fields of a work that the build reads.
+FIELDS = (
+    "DOI,type,title,author,volume,issue,page,abstract,issued,published-print,published-online,created,group-title,subject,assertion,is-referenced-by-count"
+)
+
+
+def loaded(name: str) -> Callable:
+    """The function that "module:function" names, imported where it is needed."""
+    import importlib
+
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def paced(factor: float) -> Callable[[float], None]:
+    return lambda seconds: time.sleep(seconds * factor)
+
+
 class WorksReader(DataSourceReader):
+    """Pauses and repeats as get_json() and pages() do; the option `pace` scales the waits (0 in tests)."""
+
     def __init__(self, options: dict):
         self.options = dict(options)
 
@@ -165,11 +207,9 @@ class WorksReader(DataSourceReader):
         return [Slice(*x) for x in json.loads(self.options["plan"])]
 
     def read(self, partition: Slice) -> Iterator[tuple]:
-        import importlib
-
-        module, _, function = self.options["transport"].partition(":")
-        transport = getattr(importlib.import_module(module), function)
-        found = pages(transport, self.options.get("base", ""), f"issn:{partition.issn},type:journal-article", self.options.get("select", "DOI,title"), self.options.get("mailto", ""), sleep=lambda _: None)
+        o = self.options
+        sleep = paced(float(o.get("pace", "1")))
+        found = pages(loaded(o["transport"]), o.get("base", ""), f"issn:{partition.issn},type:journal-article", o.get("select", FIELDS), o.get("mailto", ""), sleep=sleep)
         try:
             for p, items in enumerate(found):
                 for i, item in enumerate(items):

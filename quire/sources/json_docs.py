@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.schemas import CITATIONS, COUNTS, EDITORS, ENVELOPE, FIXUPS, JOURNAL, OVERRIDES, PREPRINTS, SUPPLEMENT, WORK
@@ -35,12 +35,13 @@ def journals(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select(F.posexplode("a").alias("src_ord", "j")).select(F.col("src_ord").cast("long").alias("src_ord"), "j.*")
 
 
-def sidecar(spark: SparkSession, path: str, schema: str, key: str = "doi_key") -> DataFrame:
-    """An object of records by key as a table; a "map" member, if there is one, holds the records."""
+def sidecar(spark: SparkSession, path: str, schema: str, key: str = "doi_key", place: bool = False) -> DataFrame:
+    """An object of records by key as a table; a "map" member, if there is one, holds the records. place: with each
+    record's place in the file (pos)."""
     text = whole_text(spark, path)
     inner = F.coalesce(F.get_json_object("value", "$.map"), F.col("value"))
     parsed = text.select(F.from_json(inner, f"map<string,struct<{schema}>>").alias("m"))
-    return parsed.select(F.explode("m").alias("k", "v")).select(F.lower("k").alias(key), "v.*")
+    return parsed.select(F.posexplode("m").alias("pos", "k", "v")).select(F.lower("k").alias(key), *["pos"] * place, "v.*")
 
 
 def fixups(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +49,7 @@ def fixups(spark: SparkSession, path: str) -> DataFrame:
 
 
 def supplement(spark: SparkSession, path: str) -> DataFrame:
-    return sidecar(spark, path, SUPPLEMENT)
+    return sidecar(spark, path, SUPPLEMENT, place=True)
 
 
 def editors_cache(spark: SparkSession, path: str) -> DataFrame:
@@ -74,13 +75,47 @@ def registry(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     return parsed.select(F.explode("m").alias("reg_key", "d")).select("reg_key", F.col("d").try_cast("date").alias("first_seen")), first
 
 
+def place_of(issn: Column, page: Column, item: Column) -> Column:
+    return (issn.cast("long") * 10**12 + page.cast("long") * 10**6 + item).cast("long")
+
+
+def listed(value: Column) -> Column:
+    """The items of a reply {message: {items}} or of a bare array."""
+    wrapped = F.from_json(value, ENVELOPE)["message"]["items"]
+    return F.when(F.startswith(F.ltrim(value), F.lit("[")), F.from_json(value, f"array<struct<{WORK}>>")).otherwise(wrapped)
+
+
 def works(spark: SparkSession, path: str, jkey: str, issn_ord: int = 0, page_ord: int = 0) -> DataFrame:
-    """Items of a reply {message: {items}} or of a bare array, in order."""
-    text = whole_text(spark, path)
-    wrapped = F.from_json("value", ENVELOPE)["message"]["items"]
-    items = F.when(F.startswith(F.ltrim("value"), F.lit("[")), F.from_json("value", f"array<struct<{WORK}>>")).otherwise(wrapped)
-    place = F.lit(issn_ord) * 10**12 + F.lit(page_ord) * 10**6 + F.col("pos")
-    return text.select(F.posexplode(items).alias("pos", "work")).select(F.lit(jkey).alias("jkey"), place.cast("long").alias("ord"), "work.*")
+    """Items of one reply, in order."""
+    items = whole_text(spark, path).select(F.posexplode(listed(F.col("value"))).alias("pos", "work"))
+    return items.select(F.lit(jkey).alias("jkey"), place_of(F.lit(issn_ord), F.lit(page_ord), F.col("pos")).alias("ord"), "work.*")
+
+
+#: works-<journal>.json, or a page of one of its ISSNs: works-<journal>.<issn>.<page>.json (places from 0).
+WORKS_FILE = r"^works-(.+?)(?:\.(\d+)\.(\d+))?\.json$"
+
+
+def works_folder(spark: SparkSession, folder: str, journals: DataFrame) -> DataFrame:
+    """Items of all pulls of a folder in one scan, a task a file; the file's name gives journal, ISSN and page. Pulls of
+    several ISSNs are one list in their order. Files of other journals are left out."""
+    try:
+        text = spark.read.option("wholetext", True).option("pathGlobFilter", "works-*.json").text(folder).select("value", F.col("_metadata.file_name").alias("f"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        text = spark.createDataFrame([], "value string, f string")
+    name = F.url_decode(F.col("f"))
+    number = lambda g: F.coalesce(F.regexp_extract(name, WORKS_FILE, g).try_cast("int"), F.lit(0))
+    filed = text.select("value", F.regexp_extract(name, WORKS_FILE, 1).alias("jkey"), number(2).alias("issn"), number(3).alias("page"))
+    held = filed.join(journals.select(F.col("key").alias("jkey")), "jkey", "left_semi")
+    items = held.select("jkey", "issn", "page", F.posexplode(listed(F.col("value"))).alias("pos", "work"))
+    return items.select("jkey", place_of(F.col("issn"), F.col("page"), F.col("pos")).alias("ord"), "work.*")
+
+
+def pulled_works(raw: DataFrame) -> DataFrame:
+    """The rows of the paged source (jkey, issn_ord, page_ord, item_ord, body: one record each) as works."""
+    parsed = raw.select("jkey", place_of(F.col("issn_ord"), F.col("page_ord"), F.col("item_ord")).alias("ord"), F.from_json("body", WORK).alias("work"))
+    return parsed.select("jkey", "ord", "work.*")
 
 
 def positional_counts(spark: SparkSession, requested: list[str], reply: str) -> DataFrame:
@@ -91,11 +126,15 @@ def positional_counts(spark: SparkSession, requested: list[str], reply: str) ->
     return row.select(F.explode(zipped).alias("z")).where("z.k is not null").select(F.col("z.k").alias("doi_key"), F.col("z.v.citationCount").alias("c"))
 
 
-def manifest_papers(spark: SparkSession, manifest: DataFrame, data_dir: str, schema: str) -> DataFrame:
-    """Rows of all files that a manifest names; entries that live elsewhere (with a base) are left out."""
-    keys = [r.key for r in manifest.where("base is null or base = ''").select("key").orderBy("key").collect()]  # one a journal
-    out = None
-    for k in keys:
-        one = json_or_empty(spark, f"{data_dir}/papers-{k}.json", schema)
-        out = one if out is None else out.unionByName(one)
-    return out if out is not None else spark.createDataFrame([], schema)
+def manifest_papers(spark: SparkSession, manifest: DataFrame, data_dir: str, schema: str, everywhere: bool = False) -> DataFrame:
+    """Rows of all papers-<key>.json that a manifest names, in one scan; entries that live elsewhere (with a base) are
+    left out unless `everywhere`."""
+    try:
+        files = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").option("pathGlobFilter", "papers-*.json").json(data_dir)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    here = manifest if everywhere else manifest.where("base is null or base = ''")
+    key = F.regexp_extract(F.url_decode("_metadata.file_name"), r"^papers-(.+)\.json$", 1)
+    return files.withColumn("_key", key).join(here.select(F.col("key").alias("_key")), "_key", "left_semi").drop("_key")

@@ -11,10 +11,13 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset a local master (tests) gets a
+    temporary one; on a cluster, where executors could not see it, this is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return _LOCAL.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="quire-shared-"))
 
 

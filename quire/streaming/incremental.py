@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.schemas import REGISTRY
 from quire.operators.registry import register
 from quire.operators.rows import merge_recency
+from quire.sources.shared import written
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -20,19 +22,19 @@ def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def follow_registry(spark: SparkSession, landing: str, table: str, checkpoint: str, pull_date: str, influx: int = 250) -> StreamingQuery:
+def follow_registry(spark: SparkSession, landing: str, table: str, checkpoint: str, pull_date: str, influx: int = 250, first_run: bool = False) -> StreamingQuery:
     """New keys of a landing folder of (src_ord, reg_key, pos) files enter the registry, batch by batch. A batch writes
-    a folder of its own, so a repeated batch replaces what it wrote before and cannot add a key twice."""
+    a folder of its own, so a repeated batch replaces what it wrote before and cannot add a key twice. first_run: the
+    stream's first batch is a first run of the registry (only the newest of each source are news)."""
     source = spark.readStream.schema("src_ord long, reg_key string, pos long").parquet(landing)
 
     def upsert(batch: DataFrame, number: int) -> None:
         s = batch.sparkSession
         known = table_or_empty(s, f"{table}/batch=*", REGISTRY)
-        if number:
-            from pyspark.sql import functions as F
-
-            known = known.where(~F.input_file_name().contains(f"/batch={number}/"))
-        register(batch, known, pull_date, influx=influx).write.mode("overwrite").parquet(f"{table}/batch={number}")
+        # what this batch itself has written before it is repeated does not count
+        known = known.where(~F.input_file_name().contains(f"/batch={number}/"))
+        new = written(register(batch, known, pull_date, first_run=first_run and number == 0, influx=influx))
+        new.write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     return source.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

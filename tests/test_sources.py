@@ -57,7 +57,7 @@ def test_search_budget_breaker_and_failures():
 def test_paged_source(spark):
     spark.dataSource.register(http.WorksSource)
     plan = json.dumps([["a", 0, "1"], ["a", 1, "2"]])
-    df = spark.read.format("quire_works").option("plan", plan).option("transport", "tests.test_sources:transport").load()
+    df = spark.read.format("quire_works").option("plan", plan).option("transport", "tests.test_sources:transport").option("pace", "0").load()
     assert sorted((r.issn_ord, r.page_ord, json.loads(r.body)["DOI"]) for r in df.collect()) == [(0, 0, "10.1/0"), (0, 1, "10.1/1")]
 
 

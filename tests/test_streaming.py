@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 from quire.streaming.incremental import follow_counts, follow_registry
 
 
@@ -21,3 +23,34 @@ def test_count_stream(spark, tmp_path):
     spark.createDataFrame([("a", 9, 1), ("b", 1, 1)], ddl).coalesce(1).write.mode("append").parquet(landing)
     follow_counts(spark, landing, table, mark).awaitTermination()
     assert sorted((r.doi_key, r.c, r.t) for r in spark.read.parquet(f"{table}/v2").collect()) == [("a", 3, 2), ("b", 1, 1)]
+
+
+def repeated(mark: str, number: int) -> None:
+    """Takes back the commit of a batch: the next run repeats it."""
+    for name in (str(number), f".{number}.crc"):
+        (Path(mark) / "commits" / name).unlink(missing_ok=True)
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    landing, table, mark = (str(tmp_path / x) for x in ("in", "reg", "mark"))
+    ddl = "src_ord long, reg_key string, pos long"
+    spark.createDataFrame([(0, "a", 1), (0, "b", 2)], ddl).write.parquet(landing)
+    kept = []
+    for number in range(2):
+        for again in range(2):
+            follow_registry(spark, landing, table, mark, "2026-01-01", first_run=True).awaitTermination()
+            kept.append(sorted(map(str, spark.read.parquet(f"{table}/batch=*").collect())))
+            if not again:
+                repeated(mark, number)
+        spark.createDataFrame([(0, "b", 1), (1, "c", 2)], ddl).write.mode("append").parquet(landing)
+    assert kept[0] == kept[1] and kept[2] == kept[3] and (len(kept[1]), len(kept[3])) == (2, 3)
+
+
+def test_repeated_counts_change_nothing(spark, tmp_path):
+    landing, table, mark = (str(tmp_path / x) for x in ("in", "cnt", "mark"))
+    spark.createDataFrame([("a", 5, 1)], "doi_key string, c long, t int").coalesce(1).write.parquet(landing)
+    for again in range(2):
+        follow_counts(spark, landing, table, mark).awaitTermination()
+        assert [tuple(r) for r in spark.read.parquet(f"{table}/v1").collect()] == [("a", 5, 1)]
+        if not again:
+            repeated(mark, 0)
