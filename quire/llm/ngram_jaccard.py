@@ -4,7 +4,8 @@ Equal texts are one class; only one text of each is compared, so copies never mu
 their MinHash signatures (32 bands of 5: a pair at 0.8 shares none with a chance of 3e-6) are candidates. Pairs stay
 inside numpy: texts are dealt to blocks bounded in number and bytes, and two blocks (or one with itself) are compared
 where a band key occurs in both. Sets that bands connect and that fit into one block share a block with others; a
-larger set has blocks of its own by the least first text of its members' bands, so near copies lie together. What leaves a
+larger set has blocks of its own by the least first text of its members' bands, so near copies lie together. To count all links
+of N different near texts each of their blocks must meet each other one: a text moves N / BLOCK times. What leaves a
 comparison are counts and a spanning forest, never pairs. Signatures are compared 16 values at a time; after n values
 with m equal, a pair goes if the posterior chance (uniform prior) that its similarity reaches the threshold is below
 TOLERANCE. Whatever stays is verified on the exact sets of shingles: hashes only sort them, the words decide.
@@ -35,7 +36,7 @@ from quire.operators.components import connected_components
 
 THRESHOLD, BANDS, ROWS = 0.8, 32, 5
 STEP, TOLERANCE = 16, 1e-6
-BLOCK, BLOCK_BYTES, SMALL = 1000, 1 << 21, 300  # texts and bytes in a block (a task holds two); texts of small sets together
+BLOCK, BLOCK_BYTES, SMALL = 4000, 1 << 22, 300  # texts and bytes in a block (a task holds two); texts of small sets together
 
 
 def least_matches(n: int, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> int:
