@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def claims(rows: DataFrame, registry: DataFrame) -> DataFrame:
+    """Keys the registry does not hold, each with the first source that has it: reg_key, src_ord."""
+    return rows.join(registry.select("reg_key"), "reg_key", "left_anti").groupBy("reg_key").agg(F.min("src_ord").alias("src_ord"))
+
+
 def register(rows: DataFrame, registry: DataFrame, pull_date: str, first_run: bool = False, influx: int = 250, seeds: int = 3) -> DataFrame:
     """New registry rows (reg_key, first_seen) from `rows` (src_ord, reg_key, pos); pos is the order within a source.
 
@@ -13,9 +18,7 @@ def register(rows: DataFrame, registry: DataFrame, pull_date: str, first_run: bo
     on a first run, is being taken in: its first `seeds` places are news, the rest is known without a date. Repeats of
     a key within a source count towards both numbers, as the list does.
     """
-    fresh = rows.join(registry.select("reg_key"), "reg_key", "left_anti")
-    owner = fresh.groupBy("reg_key").agg(F.min("src_ord").alias("src_ord"))
-    claimed = fresh.join(owner, ["reg_key", "src_ord"])
+    claimed = rows.join(claims(rows, registry), ["reg_key", "src_ord"])
     size = claimed.groupBy("src_ord").agg(F.count("*").alias("_n"))
     ranked = claimed.groupBy("src_ord", "reg_key").agg(F.min("pos").alias("pos")).join(size, "src_ord")
     ranked = ranked.join(_least_positions(claimed, seeds), "src_ord", "left")

@@ -71,20 +71,6 @@ def lift_max_provenance(spark, sf_dir):  # noqa: ANN001, ANN201
     return rows.lift_max(s, c, "k", "cited", "source", "n", F.lit("cache")).drop("k")
 
 
-@query("""WITH a AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS p FROM conversations WHERE role = 'user'),
-b AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS p FROM conversations WHERE role <> 'user')
-SELECT a.conv_id, (a.p - 1)::INTEGER AS pos, a.text AS asked, b.text AS answered FROM a LEFT JOIN b USING (conv_id, p)""")
-def positional_zip(spark, sf_dir):  # noqa: ANN001, ANN201
-    def listed(cond, name):  # noqa: ANN001, ANN202
-        ordered = F.array_sort(F.collect_list(F.when(cond, F.struct("turn", "text"))))
-        return F.transform(ordered, lambda s: s["text"]).alias(name)
-
-    user = F.col("role") == "user"
-    grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(listed(user, "a"), listed(~user, "b"))
-    zipped = grouped.select("conv_id", F.posexplode(F.arrays_zip("a", "b")).alias("pos", "z"), F.size("a").alias("n"))
-    return zipped.where("pos < n").select("conv_id", "pos", F.col("z.a").alias("asked"), F.col("z.b").alias("answered"))
-
-
 @query("""SELECT doc_id, floor((row_number() OVER (ORDER BY doc_id) - 1) / 50)::BIGINT AS batch FROM (SELECT DISTINCT doc_id FROM documents)""")
 def batch_assign(spark, sf_dir):  # noqa: ANN001, ANN201
     keys = rows.distinct_first(table(spark, sf_dir, "documents"), "doc_id", "n_chars").select("doc_id")
@@ -110,25 +96,6 @@ def contains_either_way(spark, sf_dir):  # noqa: ANN001, ANN201
     return n.select("n_nationkey", "r_regionkey", matching.title_agrees(F.col("n_name"), F.substring("r_name", 1, 4)).alias("ok"))
 
 
-@query("""WITH a AS (SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS roles FROM conversations GROUP BY conv_id)
-SELECT conv_id, roles, CASE WHEN contains(roles, 'user') THEN 1 ELSE 0 END::INTEGER AS shared FROM a""")
-def ordered_union(spark, sf_dir):  # noqa: ANN001, ANN201
-    c = table(spark, sf_dir, "conversations")
-    parts = [c.where(cond).select("conv_id", "role") for cond in ("role = 'user'", "role <> 'user'")]
-    both = parts[0].unionByName(parts[1]).groupBy("conv_id").agg(F.array_sort(F.collect_set("role")).alias("r"))
-    return both.select("conv_id", F.array_join("r", ",").alias("roles"), F.size(F.array_intersect("r", F.array(F.lit("user")))).alias("shared"))
-
-
-@query("""SELECT l_orderkey, string_agg(n, ',' ORDER BY ln, n) AS pairs, count(*)::BIGINT AS n FROM
- (SELECT l_orderkey, l_linenumber AS ln, l_partkey || ':' || l_suppkey AS n FROM lineitem WHERE l_quantity > 1) GROUP BY l_orderkey""")
-def nested_author_pairs(spark, sf_dir):  # noqa: ANN001, ANN201
-    # authors without a name (quantity 1) go before names and identifiers are paired
-    item = F.struct("l_linenumber", F.concat_ws(":", "l_partkey", "l_suppkey").alias("n"), (F.col("l_quantity") > 1).alias("named"))
-    grouped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("a"))
-    named = grouped.select("l_orderkey", F.filter("a", lambda x: x["named"]).alias("a")).where(F.size("a") > 0)
-    return named.select("l_orderkey", F.array_join(F.transform("a", lambda x: x["n"]), ",").alias("pairs"), F.size("a").cast("long").alias("n"))
-
-
 @query("""WITH s AS (SELECT source, count(*) AS n FROM documents GROUP BY source), gone AS (SELECT source FROM s WHERE source IN ('src1', 'src2'))
 SELECT doc_id, source FROM documents WHERE source NOT IN (SELECT source FROM gone)""")
 def retired_drop(spark, sf_dir):  # noqa: ANN001, ANN201
@@ -145,3 +112,23 @@ def only_prune(spark, sf_dir):  # noqa: ANN001, ANN201
 
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("key"), F.lit(False).alias("retired"))
     return active(d, ("src3", "src5")).groupBy(F.col("key").alias("source")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH w AS (SELECT conv_id, role, unnest(string_split(lower(regexp_replace(text, '[^A-Za-z ]', '', 'g')), ' ')) AS s FROM conversations), a AS (SELECT DISTINCT conv_id, s FROM w WHERE role = 'user' AND length(s) >= 2), b AS (SELECT DISTINCT conv_id, s FROM w WHERE role <> 'user' AND length(s) >= 2),
+n AS (SELECT conv_id FROM conversations GROUP BY conv_id), x AS (SELECT conv_id, (SELECT count(*) FROM a WHERE a.conv_id = n.conv_id) AS na, (SELECT count(*) FROM b WHERE b.conv_id = n.conv_id) AS nb, (SELECT count(*) FROM a JOIN b USING (conv_id, s) WHERE a.conv_id = n.conv_id) AS m FROM n)
+SELECT conv_id, m::BIGINT AS shared, (na > 0 AND nb > 0 AND m >= least(2, na, nb)) AS enough FROM x""")
+def shared_surnames(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The words of either side of a conversation as people's last names: what they share, and whether that is enough."""
+    c = table(spark, sf_dir, "conversations").withColumn("w", F.split(F.lower(F.regexp_replace("text", "[^A-Za-z ]", "")), " "))
+    side = lambda cond, n: F.flatten(F.collect_list(F.when(cond, F.col("w")))).alias(n)
+    user = F.col("role") == "user"
+    both = c.groupBy("conv_id").agg(side(user, "a"), side(~user, "b")).select("conv_id", T.surnames(F.col("a")).alias("a"), T.surnames(F.col("b")).alias("b"))
+    return both.select("conv_id", F.size(F.array_intersect("a", "b")).cast("long").alias("shared"), matching.enough_shared(F.col("a"), F.col("b")).alias("enough"))
+
+
+@query("""WITH x AS (SELECT o_orderkey, year(o_orderdate) AS mine, CASE WHEN o_custkey % 7 > 0 THEN 1980 + o_custkey % 25 END AS theirs, o_orderkey % 2 = 0 AS exact FROM orders)
+SELECT o_orderkey, coalesce(theirs BETWEEN mine - CASE WHEN exact THEN 12 ELSE 6 END AND mine + 1, TRUE) AS ok FROM x""")
+def plausible_years(spark, sf_dir):  # noqa: ANN001, ANN201
+    kind = F.when(F.col("o_orderkey") % 2 == 0, "exact").otherwise("prefix")
+    theirs = F.when(F.col("o_custkey") % 7 > 0, (F.col("o_custkey") % 25 + 1980).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", matching.plausible_year(kind, F.year("o_orderdate"), theirs).alias("ok"))

@@ -38,37 +38,26 @@ def pair_histogram_guard(spark, sf_dir):  # noqa: ANN001, ANN201
     return entities.pair_guard(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), "l_orderkey", "l_partkey")
 
 
-EDGES = "SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem WHERE l_quantity = 50"
-LABELS = f"""e AS ({EDGES}), s AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e), r(node, seen) AS (SELECT a, a FROM s UNION SELECT r.node, s.b FROM r JOIN s ON r.seen = s.a),
-labels_ AS (SELECT node, min(seen) AS component FROM r GROUP BY node)"""
+ROUNDS = 14  # of least labels in the SQL: more than the components of orders and parts are wide
+LABELS = """e AS (SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b FROM lineitem), s AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e), l0 AS (SELECT a AS node, a AS l FROM s GROUP BY a), """ + ", ".join(
+    f"l{k} AS (SELECT s.a AS node, least(min(x.l), any_value(y.l)) AS l FROM s JOIN l{k - 1} x ON s.b = x.node JOIN l{k - 1} y ON s.a = y.node GROUP BY s.a)" for k in range(1, ROUNDS + 1)
+) + f", labels_ AS (SELECT node, l AS component FROM l{ROUNDS})"
 
 
 def edges(li):  # noqa: ANN001, ANN201
     return li.select(F.concat(F.lit("o"), "l_orderkey").alias("a"), F.concat(F.lit("p"), "l_partkey").alias("b")).distinct()
 
 
-@query(f"WITH RECURSIVE {LABELS} SELECT node, component FROM labels_")
+@query(f"WITH {LABELS} SELECT node, component FROM labels_")
 def connected_components(spark, sf_dir):  # noqa: ANN001, ANN201
-    return components(edges(table(spark, sf_dir, "lineitem").where("l_quantity = 50")))
-
-
-@query()
-def connected_components_whole(spark, sf_dir):  # noqa: ANN001, ANN201
-    """connected_components over every order line; a recursive SQL can't be run on them, a test has a union-find."""
     return components(edges(table(spark, sf_dir, "lineitem")))
 
 
-@query(f"""WITH RECURSIVE {LABELS}, m AS (SELECT component, p_name AS name, l_orderkey AS o, p_type AS area FROM lineitem JOIN labels_ ON node = 'p' || l_partkey JOIN part ON l_partkey = p_partkey WHERE l_quantity = 50),
+@query(f"""WITH {LABELS}, m AS (SELECT component, p_name AS name, l_orderkey AS o, p_type AS area FROM lineitem JOIN labels_ ON node = 'p' || l_partkey JOIN part ON l_partkey = p_partkey),
 n AS (SELECT component, name, count(*) AS n, min(o) AS f FROM m GROUP BY ALL), g AS (SELECT component, list(name ORDER BY n DESC, f, name) AS names, sum(n)::BIGINT AS papers FROM n GROUP BY component),
 a AS (SELECT component, count(DISTINCT area)::BIGINT AS areas FROM m GROUP BY component)
 SELECT component, names[1] AS author, papers, areas, array_to_string(names[2:], '|') AS variants FROM g JOIN a USING (component)""")
 def component_rollup(spark, sf_dir):  # noqa: ANN001, ANN201
-    return rolled_up(table(spark, sf_dir, "lineitem").where("l_quantity = 50"), table(spark, sf_dir, "part"))
-
-
-@query()
-def component_rollup_whole(spark, sf_dir):  # noqa: ANN001, ANN201
-    """component_rollup over every order line, without SQL as connected_components_whole."""
     return rolled_up(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
 
 
@@ -147,9 +136,3 @@ def coverage_counts(spark, sf_dir):  # noqa: ANN001, ANN201
     return coverage(table(spark, sf_dir, "documents").select("doc_id"), cache, "doc_id", "found")
 
 
-@query("""SELECT source, count(*)::BIGINT AS n, sum(n_chars)::BIGINT AS chars FROM documents WHERE source NOT IN ('src7') GROUP BY source""")
-def manifest_scan(spark, sf_dir):  # noqa: ANN001, ANN201
-    d = table(spark, sf_dir, "documents")
-    manifest = d.select(F.col("source").alias("key")).distinct().withColumn("base", F.when(F.col("key") == "src7", "elsewhere"))
-    held = manifest.where(T.or_blank(F.col("base")) == "").select(F.col("key").alias("source"))
-    return d.join(held, "source", "left_semi").groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))

@@ -83,21 +83,6 @@ def strip_middle_initial(spark, sf_dir):  # noqa: ANN001, ANN201
     return table(spark, sf_dir, "part").select("p_partkey", full.alias("full_name")).withColumn("short", T.without_initials(F.col("full_name")))
 
 
-NOTES = (
-    "History: Dr. Ram D. Gopal, Senior Editor; Dr. Hong Xu, Associate Editor.",
-    "History: Puneet Manchanda served as the senior editor.",
-    "Senior Editor: Ann Lee and Bo Chen. Associate Editor: Cy Diaz.",
-    "The paper was received in May. K. Sudhir served as the senior editor and Jo Roe served as associate editor.",
-    "",
-)
-
-
-@query()
-def split_plausible_names(spark, sf_dir):  # noqa: ANN001, ANN201
-    notes = F.array(*[F.lit(n) for n in NOTES])
-    return table(spark, sf_dir, "documents").select("doc_id", T.parse_editors(F.get(notes, (F.col("doc_id") % len(NOTES)).cast("int"))).alias("e")).select("doc_id", "e.se", "e.ae")
-
-
 @query("""WITH d AS (SELECT doc_id, source, CASE WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN 'the committee' ELSE 'Ann ' || upper(substr(source, 1, 1)) || 'o' END AS who FROM documents)
 SELECT doc_id, CASE WHEN doc_id % 4 < 2 THEN '' ELSE 'This paper was accepted by ' || who || ', ' || source || '.' END AS editor, CASE WHEN doc_id % 4 < 2 THEN '' ELSE source END AS area FROM d""")
 def accepted_by(spark, sf_dir):  # noqa: ANN001, ANN201
@@ -115,22 +100,3 @@ def text_prefix(spark, sf_dir):  # noqa: ANN001, ANN201
 @query("""SELECT event_id, CASE WHEN value > 0 THEN value END AS value FROM events""")
 def positive_count(spark, sf_dir):  # noqa: ANN001, ANN201
     return table(spark, sf_dir, "events").select("event_id", T.positive(F.col("value")).alias("value"))
-
-
-@query("""WITH l AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]+)"', 1) AS h FROM pages)
-SELECT page_id, len(list_filter(list_concat([url], h), lambda u: u <> ''))::BIGINT AS n, array_to_string(list_filter(list_concat([url], h), lambda u: u <> ''), ' ') AS urls FROM l""")
-def candidate_urls(spark, sf_dir):  # noqa: ANN001, ANN201
-    links = F.filter(F.concat(F.array("url"), F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))), lambda u: u != "")
-    return table(spark, sf_dir, "pages").select("page_id", links.alias("l")).select("page_id", F.size("l").cast("long").alias("n"), F.array_join("l", " ").alias("urls"))
-
-
-@query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract(props, '$.k') IS NOT NULL""")
-def json_sidecar(spark, sf_dir):  # noqa: ANN001, ANN201
-    m = F.from_json("props", "map<string,bigint>")
-    return table(spark, sf_dir, "events").select("event_id", F.explode(m).alias("name", "k")).where("name = 'k' and k is not null").select("event_id", "k")
-
-
-@query("""SELECT event_id, event_type FROM events WHERE (nullif(event_type, 'view') IS NULL OR nullif(event_type, 'view') IN ('', 'click')) AND trim(event_type) <> ''""")
-def null_tolerant_filter(spark, sf_dir):  # noqa: ANN001, ANN201
-    kind = F.nullif(F.col("event_type"), F.lit("view"))
-    return table(spark, sf_dir, "events").where(kind.isNull() | kind.isin("", "click")).where(T.squeeze(F.col("event_type")) != "").select("event_id", "event_type")

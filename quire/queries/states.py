@@ -17,16 +17,6 @@ def onboarding_seed(spark, sf_dir):  # noqa: ANN001, ANN201
     return registry.register(d, known, "2026-07-23", influx=30)
 
 
-@query("""WITH k AS (SELECT CAST(user_id AS VARCHAR) AS reg_key, event_type, count(*) AS n FROM events GROUP BY ALL), o AS (SELECT reg_key, min(event_type) AS owner FROM k GROUP BY reg_key)
-SELECT owner, count(*)::BIGINT AS claimed FROM o GROUP BY owner""")
-def cross_source_claim(spark, sf_dir):  # noqa: ANN001, ANN201
-    ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("src_ord"), F.col("user_id").cast("string").alias("reg_key"), F.col("event_id").alias("pos"))
-    empty = spark.createDataFrame([], "reg_key string")
-    claimed = registry.register(ev, empty, "2026-07-23", first_run=True, seeds=0)
-    owner = ev.groupBy("reg_key").agg(F.min("src_ord").alias("owner"))
-    return claimed.join(owner, "reg_key").groupBy("owner").agg(F.count("*").alias("claimed"))
-
-
 CACHES = "a AS (SELECT user_id AS k, max(CAST(value AS BIGINT)) AS c, max(CAST(ts AS DATE) - DATE '1970-01-01')::INTEGER AS t FROM events WHERE event_id % 2 = 0 GROUP BY user_id), b AS (SELECT user_id AS k, max(CAST(value AS BIGINT)) AS c, max(CAST(ts AS DATE) - DATE '1970-01-01')::INTEGER AS t FROM events WHERE event_id % 2 = 1 GROUP BY user_id)"
 
 
@@ -47,18 +37,29 @@ def merge_recency(spark, sf_dir):  # noqa: ANN001, ANN201
     return rows.merge_recency(a, b, "k", "t", "c")
 
 
-@query(f"""WITH {CACHES}, x AS (SELECT k, CASE WHEN k % 3 = 0 THEN 'u' || k END AS u, t FROM a WHERE k % 5 > 0), y AS (SELECT k, CASE WHEN k % 2 = 0 THEN 'v' || k END AS u, t FROM b)
+#: The two halves of the events by user, type and day: many keys are in one half only.
+HALVES = """h AS (SELECT event_id % 2 AS half, user_id || '|' || event_type || '|' || (CAST(ts AS DATE) - DATE '1970-01-01') AS k, max(CAST(round(value) AS BIGINT)) AS c, max(event_id) AS t FROM events GROUP BY ALL),
+a AS (SELECT k, c, t FROM h WHERE half = 0), b AS (SELECT k, c, t FROM h WHERE half = 1)"""
+
+
+def halves(spark, sf_dir):  # noqa: ANN001, ANN201
+    ev = table(spark, sf_dir, "events")
+    key = F.concat_ws("|", "user_id", "event_type", F.unix_date(F.col("ts").cast("date")).cast("string")).alias("k")
+    return [ev.where(F.col("event_id") % 2 == r).groupBy(key).agg(F.max(F.round("value").cast("long")).alias("c"), F.max("event_id").alias("t")) for r in (0, 1)]
+
+
+@query(f"""WITH {HALVES}, x AS (SELECT k, CASE WHEN c % 3 = 0 THEN 'u' || c END AS u, t FROM a), y AS (SELECT k, CASE WHEN c % 2 = 0 THEN 'v' || c END AS u, t FROM b)
 SELECT k, CASE WHEN x.u IS NOT NULL THEN x.u WHEN y.k IS NOT NULL THEN y.u ELSE x.u END AS u, CASE WHEN x.u IS NOT NULL THEN x.t WHEN y.k IS NOT NULL THEN y.t ELSE x.t END AS t FROM x FULL JOIN y USING (k)""")
 def merge_found_wins(spark, sf_dir):  # noqa: ANN001, ANN201
-    a, b = caches(spark, sf_dir)
-    name = lambda p, m: F.when(F.col("k") % m == 0, F.concat(F.lit(p), F.col("k")))
-    return rows.merge_found_wins(a.where(F.col("k") % 5 > 0).select("k", name("u", 3).alias("u"), "t"), b.select("k", name("v", 2).alias("u"), "t"), "k", "u")
+    a, b = halves(spark, sf_dir)
+    name = lambda p, m: F.when(F.col("c") % m == 0, F.concat(F.lit(p), F.col("c")))
+    return rows.merge_found_wins(a.select("k", name("u", 3).alias("u"), "t"), b.select("k", name("v", 2).alias("u"), "t"), "k", "u")
 
 
-@query(f"""WITH {CACHES} SELECT k, CASE WHEN b.k IS NOT NULL THEN b.c ELSE a.c END AS c, CASE WHEN b.k IS NOT NULL THEN b.t ELSE a.t END AS t FROM (SELECT * FROM a WHERE k % 2 = 0) a FULL JOIN (SELECT * FROM b WHERE k % 3 = 0) b USING (k)""")
+@query(f"""WITH {HALVES} SELECT k, CASE WHEN b.k IS NOT NULL THEN b.c ELSE a.c END AS c, CASE WHEN b.k IS NOT NULL THEN b.t ELSE a.t END AS t FROM a FULL JOIN b USING (k)""")
 def record_overlay(spark, sf_dir):  # noqa: ANN001, ANN201
-    a, b = caches(spark, sf_dir)
-    return rows.overlay_all(a.where("k % 2 = 0"), b.where("k % 3 = 0"), "k")
+    a, b = halves(spark, sf_dir)
+    return rows.overlay_all(a, b, "k")
 
 
 @query("""WITH x AS (SELECT d.doc_id, n_chars AS p, l.quality AS a, l.toxic AS b, d.doc_id % 2 = 0 AS od, d.doc_id % 3 = 0 AS sd FROM documents d LEFT JOIN labels l USING (doc_id)),
@@ -98,12 +99,6 @@ def shrink_guard_fallback(spark, sf_dir):  # noqa: ANN001, ANN201
     return rows.shrink_guard(fresh, d.withColumn("origin", F.lit("committed")), "source")
 
 
-@query("""WITH c AS (SELECT user_id, max(CAST(ts AS DATE) - DATE '1970-01-01')::INTEGER AS t FROM events GROUP BY user_id) SELECT user_id, t, (t > 11000) AS fresh FROM c""")
-def registry_state(spark, sf_dir):  # noqa: ANN001, ANN201
-    day = F.unix_date(F.col("ts").cast("date"))
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max(day).alias("t")).withColumn("fresh", F.col("t") > 11000)
-
-
 @query("""SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN 'u' || d.doc_id END AS u, (coalesce(l.toxic, 0) <> 1) AS none FROM documents d LEFT JOIN labels l USING (doc_id) WHERE d.doc_id % 7 > 0""")
 def stamped_misses(spark, sf_dir):  # noqa: ANN001, ANN201
     found = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id", F.concat(F.lit("u"), "doc_id").alias("u"))

@@ -24,7 +24,7 @@ def test_whole_components_and_rollup(spark, tmp_path):
         a, b = sorted((find(up, f"o{o}"), find(up, f"p{p}")))
         up[b] = a
     queries = entry.queries()
-    got = {r.node: r.component for r in queries["connected_components_whole"](spark, str(tmp_path)).collect()}
+    got = {r.node: r.component for r in queries["connected_components"](spark, str(tmp_path)).collect()}
     assert got == {x: find(up, x) for x in up} and got["p2"] == "o1"
     named = {p: (n, t) for p, n, t in parts}
     want = {}
@@ -35,6 +35,6 @@ def test_whole_components_and_rollup(spark, tmp_path):
             first[name] = min(o, first.get(name, o))
         order = sorted(n, key=lambda x: (-n[x], first[x], x))
         want[root] = (order[0], len(mine), len({x[1] for x, _ in mine}), "|".join(order[1:]))
-    rolled = queries["component_rollup_whole"](spark, str(tmp_path)).collect()
+    rolled = queries["component_rollup"](spark, str(tmp_path)).collect()
     assert {r.component: (r.author, r.papers, r.areas, r.variants) for r in rolled} == want
     assert sum(r.papers for r in rolled) == len(lines)
