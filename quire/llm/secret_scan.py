@@ -1,14 +1,17 @@
 """Secrets: fixed patterns, and a randomness test battery over other long tokens.
 
 Base kinds (always kept): assign, access, hex. Candidates of the battery are runs of 20 or more characters of
-[A-Za-z0-9+/_-] with their = padding, so a value joined to its name by = is a candidate of its own. For each, the encoding is inferred from the characters present (hex, base32, lower-case
-alphanumeric, base64 and base64url), which fixes the alphabet that a random token would be drawn from. Three tests look for departures
-from randomness: chi-squared uniformity over the alphabet, Wald-Wolfowitz runs about the alphabet's middle, and the
-lag-one serial correlation. A token that a test rejects at REJECT is ordinary. For one that passes, the p-value under
-the opposite hypothesis (ordinary text: characters drawn with the frequencies of prose and identifiers) is the chance
-of a chi-squared value that small; longer tokens can reach smaller ones. Benjamini-Hochberg control at FDR runs over
-these p-values in classes of length, each class weighted by the power its length gives. The step-up needs counts
-only: a histogram of length class by p-value, of fixed size, gathered from all documents.
+[A-Za-z0-9+/_-] with their = padding, so a value joined to its name by = is a candidate of its own. For each, the
+encoding is inferred from the characters present (hex, base32, lower-case alphanumeric, base64 and base64url), which
+fixes the alphabet that a random token would be drawn from. Three tests look for departures from randomness: chi-squared
+uniformity over the alphabet, Wald-Wolfowitz runs about the alphabet's middle, and the lag-one serial correlation. A token
+that one of them rejects at REJECT is ordinary. One that passes gets three p-values under the opposite hypothesis,
+ordinary text: characters with the frequencies of prose and identifiers, the next one of the same class (letters of one
+case, digits, marks) with a chance of STAY at least. They are the chances of a chi-squared value that small, of as many
+runs of classes, and of a serial correlation that low. The three depend on each other; they are combined by their
+Cauchy combination, whose tail holds under any dependence. Longer tokens can reach smaller values. Benjamini-Hochberg
+control at FDR runs over the combined p-values in classes of length, each class weighted by the power its length
+gives. The step-up needs counts only: a histogram of length class by p-value, of fixed size, gathered from all documents.
 
 Null texts are empty; the empty text has no spans and the digest of an empty string. Texts are scanned whole. Spans
 are in code points, end exclusive. The patterns do not overlap within a kind; a battery token that overlaps a base
@@ -35,7 +38,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # a run of 16 or more; a shorter one
 HEX = re.compile(r"[0-9a-f]{32,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?")  # = as padding only: up to 6 of base32
 HINTS = ("passw", "secret", "token", "api")
-FDR, REJECT = 0.01, 1e-4
+FDR, REJECT, STAY = 0.01, 1e-4, 0.8
 LENGTHS = (20, 24, 32, 40, 48, 64, 96, 128, 1 << 60)  # upper edges of the length classes
 STEPS = 200  # of the p-value histogram: steps of a quarter in -log10 p
 ALPHABETS = (
@@ -57,18 +60,44 @@ def ordinary(alphabet: str) -> list[float]:
     return [s / sum(share) for s in share]
 
 
-MODELS = [(name, {c: i for i, c in enumerate(letters)}, ordinary(letters)) for name, letters in ALPHABETS]
+def class_of(c: str) -> int:
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+
+
+def persistence(alphabet: str, shares: list[float]) -> tuple[float, float]:
+    """Of ordinary text: the chance that the next character is of another class, and the lag-one serial correlation of
+    places in the alphabet (the part of their variance between classes, times how long classes last)."""
+    of = [class_of(c) for c in alphabet]
+    weight = [sum(q for q, k in zip(shares, of, strict=True) if k == c) for c in range(4)]
+    alone = 1 - sum(w * w for w in weight)  # chance of a change of class among independent characters
+    change = min(alone, 1 - STAY)
+    if not alone:
+        return 0.0, 0.0
+    mean = sum(q * i for i, q in enumerate(shares))
+    total = sum(q * (i - mean) ** 2 for i, q in enumerate(shares))
+    centre = [sum(q * i for i, (q, k) in enumerate(zip(shares, of, strict=True)) if k == c) / weight[c] if weight[c] else mean for c in range(4)]
+    return change, (1 - change / alone) * sum(w * (m - mean) ** 2 for w, m in zip(weight, centre, strict=True)) / total
+
+
+MODELS = [(name, {c: i for i, c in enumerate(letters)}, ordinary(letters), persistence(letters, ordinary(letters))) for name, letters in ALPHABETS]
 
 
 def normal_below(z: float) -> float:
+    """The chance that a normal value is above z."""
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def combined(ps: list[float]) -> float:
+    """The Cauchy combination of p-values, of whatever dependence."""
+    t = sum(1 / (math.pi * p) if p < 1e-9 else math.tan((0.5 - min(p, 0.99)) * math.pi) for p in ps) / len(ps)
+    return 1 / (math.pi * t) if t > 1e9 else 0.5 - math.atan(t) / math.pi
+
+
 def battery(token: str) -> tuple[str, float] | None:
-    """The inferred encoding and the p-value under ordinary text, or None where a test rejects randomness."""
+    """The inferred encoding and the combined p-value under ordinary text, or None where a test rejects randomness."""
     body = token.rstrip("=")
     n, present = len(body), set(body)
-    name, places, shares = next((m for m in MODELS if present <= m[1].keys()), (None, None, None))
+    name, places, shares, lasting = next((m for m in MODELS if present <= m[1].keys()), (None, None, None, None))
     if name is None or n < LENGTHS[0] or (not any(c.isdigit() for c in present) and len({c.isupper() for c in present if c.isalpha()}) < 2):
         return None  # one case of letters alone is a word in any language
     k, counts = len(places), Counter(body)
@@ -95,7 +124,13 @@ def battery(token: str) -> tuple[str, float] | None:
     two, three = sum(q * q for q in shares), sum(q**3 for q in shares)
     mean = k * (1 + (n - 1) * two) - n
     sd = k * math.sqrt(max(1e-9, 2 * (two - two * two) + 4 * (n - 1) * (three - two * two)) * (n - 1) / n)
-    return name, max(1e-50, normal_below((mean - chi) / sd))
+    change, expected = lasting
+    switches = sum(class_of(a) != class_of(b) for a, b in zip(body, body[1:], strict=False))
+    ps = [normal_below((mean - chi) / sd)]
+    if change:  # an alphabet of one class tells nothing by these two
+        ps.append(normal_below((switches - 0.5 - (n - 1) * change) / math.sqrt((n - 1) * change * (1 - change))))
+        ps.append(normal_below((expected - serial) * math.sqrt(n / (1 - expected * expected))))
+    return name, max(1e-50, combined([max(p, 1e-60) for p in ps]))
 
 
 def length_class(n: int) -> int:

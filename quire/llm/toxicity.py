@@ -11,8 +11,10 @@ the word's learned weight, turned by the factors of the state it is met in; a cl
 word without a clause. A document's features (sums and maxima of clause weights by kind, share of such clauses) go
 through a logistic function.
 
-Weights come from labels: of words and word beginnings in at most SAMPLE labelled rows (by hash order,
-so no property of a row decides), and of the features on the same rows. Held-out rows (crc32 of the id's digits
+Weights come from labels: of words and word beginnings in at most SAMPLE labelled rows (by hash order, so no property of
+a row decides), and of the features on the same rows. Every word whose likelihood ratio is significant is kept; one that
+in most of its toxic rows comes after a word of intention is a harmful verb, the others are insults. The factors of
+target, negation, report and strength are fixed (FACTOR); how much they matter is learned with the features. Held-out rows (crc32 of the id's digits
 divisible by five) never take part. The seed lists are English; other languages' words are learned.
 
 Null and empty texts have no clause: their score is the intercept's. Repeated rows have equal scores; extra columns are
@@ -32,8 +34,8 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import documents, slices, written
 
-#: Rows of label 0 and 1 that are learned from, and learned words kept: bounds on what the driver holds.
-SAMPLE, LEXICON = (12_000, 4_000), 2000
+#: Rows of label 0 and 1 that are learned from: a bound on what the driver holds.
+SAMPLE = (12_000, 4_000)
 LEAST_G = 30.0  # of the likelihood-ratio statistic for a learned word: chance words of a large vocabulary stay below
 #: Seed words of the classes (fixed values).
 INSULT = "idiot moron stupid loser scum trash clown pathetic worthless disgusting dumb fool jerk garbage filthy vermin imbecile coward liar creep".split()
@@ -105,20 +107,21 @@ CERTAIN = 3.0  # weight of a word that alone tells much
 
 
 class Lexicon(dict):
-    """word -> (class, weight), with learned words and word beginnings; remembers what it has looked up."""
+    """word -> (class, weight), with learned words and word beginnings (those in `harm` are harmful verbs, the others
+    insults); remembers what it has looked up."""
 
-    def __init__(self, learned: dict[str, float]):
+    def __init__(self, learned: dict[str, float], harm: frozenset[str] = frozenset()):
         super().__init__()
-        self.learned = learned
+        self.learned, self.harm = learned, harm
         self.sizes = sorted({len(k) - 1 for k in learned if k.endswith("*")})
 
     def __missing__(self, word: str) -> tuple[int, float]:
         if len(self) > 400_000:
             self.clear()
-        weight = self.learned.get(word)
-        if weight is None:
-            weight = max((self.learned.get(word[:n] + "*", 0.0) for n in self.sizes if len(word) > n), default=0.0)
-        kind = SEEDS.get(word, W_INSULT if weight else OTHER)
+        own = [word] if word in self.learned else [k for n in self.sizes if len(word) > n and (k := word[:n] + "*") in self.learned]
+        best = max(own, key=self.learned.__getitem__, default=None)
+        weight = self.learned[best] if best else 0.0
+        kind = SEEDS.get(word, (W_HARM if best in self.harm else W_INSULT) if weight else OTHER)
         found = (kind, weight or (SEED_WEIGHT if kind in (W_INSULT, W_HARM) else 0.0))
         self[word] = found
         return found
@@ -135,18 +138,20 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     if not any(k[1] for k in kinds):
         return [0.0] * len(FEATURES)
     clauses, matched = 0, 0
+    worded = False  # whether the clause has any word: a row of marks opens none
     n = total = strongest = targeted = turned = threats = certain = 0.0
     different = set()
     state, clause = 0, 0.0
     for token, (kind, weight) in zip([*tokens, CLAUSE_END], [*kinds, (OTHER, 0.0)], strict=True):
         if token == CLAUSE_END:
-            clauses += 1
+            clauses += worded
             matched += clause > 0
             strongest = max(strongest, clause)
-            state, clause = 0, 0.0
+            state, clause, worded = 0, 0.0, False
             continue
         if not token:
             continue
+        worded = worded or token != QUOTE
         symbol = W_QUOTE if token == QUOTE else kind
         out = OUT[state][symbol]
         state = NEXT[state][symbol]
@@ -180,30 +185,42 @@ def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> D
     return written(docs.select(id_col, text_col).join(F.broadcast(picked), id_col).select(F.col(text_col).alias("text"), "y"))
 
 
-def learn_words(sample: DataFrame) -> dict[str, float]:
-    """Weights of words and beginnings ("abcd*") that mark toxic rows: log odds of their document frequencies."""
+def after_intent(tokens: list[str]) -> set[str]:
+    """The words that come right after a word of intention, or one word later."""
+    words = [t for t in tokens if t and t not in (CLAUSE_END, QUOTE)]
+    marked = [SEEDS.get(w) == W_INTENT for w in words]
+    return {w for k, w in enumerate(words) if any(marked[max(0, k - 2) : k])}
+
+
+def learn_words(sample: DataFrame) -> tuple[dict[str, float], frozenset[str]]:
+    """Weights of words and beginnings ("abcd*") that mark toxic rows, by log odds of their document frequencies, and
+    those of them that mostly follow a word of intention. As many as the rows of the bounded sample make significant."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
+        seen: tuple[Counter, Counter, Counter] = (Counter(), Counter(), Counter())
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 for t, y in zip(texts, part.column(1).to_pylist(), strict=True):
-                    own = {w for w in words_of(t.decode("utf-8", "replace")) if len(w) >= 3}
-                    seen[y].update(own | {w[:n] + "*" for w in own for n in (3, 4, 5, 6) if len(w) > n and w not in SEEDS})
-        for y in (0, 1):
+                    tokens = words_of(t.decode("utf-8", "replace"))
+                    parted = lambda ws: ws | {w[:n] + "*" for w in ws for n in (3, 4, 5, 6) if len(w) > n and w not in SEEDS}
+                    seen[y].update(parted({w for w in tokens if len(w) >= 3}))
+                    if y == 1:
+                        seen[2].update(parted({w for w in after_intent(tokens) if len(w) >= 3}))
+        for y in (0, 1, 2):
             if seen[y]:
                 yield pa.RecordBatch.from_pydict({"w": list(seen[y]), "y": [y] * len(seen[y]), "n": list(seen[y].values())})
 
     size = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     if not size.get(0) or not size.get(1):
-        return {}
-    df = sample.mapInArrow(run, "w string, y long, n long").groupBy("w").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b"))
+        return {}, frozenset()
+    count = lambda y, name: F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0)).alias(name)
+    df = sample.mapInArrow(run, "w string, y long, n long").groupBy("w").agg(count(1, "a"), count(0, "b"), count(2, "c"))
     odds = F.log(((F.col("a") + 0.5) / (size[1] + 1)) / ((F.col("b") + 0.5) / (size[0] + 1)))
     share = size[1] / (size[0] + size[1])
     both = F.col("a") + F.col("b")
     g = 2 * (F.col("a") * F.log(F.col("a") / (both * share)) + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / (both * (1 - share)))).otherwise(0.0))
-    rows = df.where("a > 0").withColumn("o", odds).where("o > 1.8").where(g > LEAST_G).orderBy(F.desc("a"), "w").limit(LEXICON).collect()
-    return {r.w: min(6.0, r.o) for r in rows}
+    rows = df.where("a > 0").withColumn("o", odds).where("o > 1.8").where(g > LEAST_G).collect()
+    return {r.w: min(6.0, r.o) for r in rows}, frozenset(r.w for r in rows if 2 * r.c > r.a)
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -221,8 +238,8 @@ def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, learned: dict[str, float], weights: np.ndarray):
-        self.learned, self.weights = learned, weights
+    def __init__(self, learned: dict[str, float], weights: np.ndarray, harm: frozenset[str] = frozenset()):
+        self.learned, self.weights, self.harm = learned, weights, harm
 
     def score(self, found: list[float]) -> float:
         z = float(np.dot(self.weights[:-1], found) + self.weights[-1])
@@ -234,10 +251,10 @@ DEFAULT = np.array([0.5, 0.5, 0.5, 0.5, -1.0, 1.0, 1.0, 1.0, 1.0, 0.5, -3.0])
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     sample = sampled(docs, labels, id_col, text_col)
-    learned = learn_words(sample)
+    learned, harm = learn_words(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(learned)
+        lexicon = Lexicon(learned, harm)
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([pa.array([features(t.decode("utf-8", "replace"), lexicon) for t in texts], pa.list_(pa.float64())), part.column(1).cast(pa.int64())], names=["x", "y"])
@@ -245,8 +262,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = sample.mapInArrow(run, "x array<double>, y long").collect()  # at most sum(SAMPLE) rows of ten numbers
     y = np.array([r.y for r in rows])
     if len(set(y.tolist())) < 2:
-        return Model(learned, DEFAULT)
-    return Model(learned, fit(np.array([r.x for r in rows]), y))
+        return Model(learned, DEFAULT, harm)
+    return Model(learned, fit(np.array([r.x for r in rows]), y), harm)
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -254,7 +271,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str
     keep = [c for c in keep or docs.columns if c not in ("score", "n_matches", "predicted")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(model.learned)
+        lexicon = Lexicon(model.learned, model.harm)
         for batch in batches:
             for part, texts in slices(batch, text_col):
                 found = [features(t.decode("utf-8", "replace"), lexicon) for t in texts]
