@@ -10,8 +10,8 @@ the others. Candidates are then verified: the words of each candidate stretch an
 SHA-256. A stretch that fails (two different windows of one hash) is settled by digests of the single windows
 under its key.
 
-When the newest runs of the log are of like size they are compacted into one, which keeps one row, that of the least
-document, of rows with equal hashes. So a document's rows are rewritten a number of times logarithmic in the number of
+Before a batch goes in, the newest runs are compacted into one while they are of like size; of rows with equal hashes the
+one of the least document stays. So a document's rows are rewritten a number of times logarithmic in the number of
 batches. The log stays in the catalogue under its name until drop(); another Index of that name goes on from there.
 
 Documents with the same word sequence as an earlier one are decided whole. Keys with many rows are dealt in salted
@@ -170,12 +170,13 @@ class Index:
             rows = spark.sql(f"SHOW TBLPROPERTIES {t} ('quire.rows')").first()[1]
             self.runs[t.split("__")[1]].append((int(rows), t))
 
-    def _run(self, kind: str, df: DataFrame, key: str) -> None:
-        """df as the newest run: bucketed by key, sorted, one file a bucket, in the warehouse that executors share."""
+    def _run(self, kind: str, df: DataFrame, key: str, dealt: bool = False) -> None:
+        """df as the newest run: bucketed by key, sorted, one file a bucket, in the warehouse that executors share.
+        dealt: its rows have been dealt by the key already."""
         parts = partitions(self.spark)
         number = 1 + max((int(t.split("__")[2]) for r in self.runs.values() for _, t in r), default=-1)
         table = f"{self.name}__{kind}__{number:08d}__{uuid.uuid4().hex[:8]}"
-        df.repartition(parts, key).write.bucketBy(parts, key).sortBy(key).format("parquet").saveAsTable(table)
+        (df if dealt else df.repartition(parts, key)).write.bucketBy(parts, key).sortBy(key).format("parquet").saveAsTable(table)
         rows = self.spark.table(table).count()
         self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quire.rows' = '{rows}')")
         self.runs[kind].append((rows, table))
@@ -184,13 +185,14 @@ class Index:
         """Merges the newest runs while they are of like size (the older under twice the newer)."""
         runs = self.runs[kind]
         while len(runs) > 1 and runs[-2][0] < 2 * runs[-1][0]:
-            both = self.spark.table(runs[-2][1]).unionByName(self.spark.table(runs[-1][1]))
+            # dealt anew for certain: a union of bucketed tables passes for one by key, and isn't
+            both = self.spark.table(runs[-2][1]).unionByName(self.spark.table(runs[-1][1])).repartition(partitions(self.spark), key)
             if kind == "windows":
                 both = both.groupBy("h", "w").agg(F.min(F.struct("doc", "t", "at")).alias("s")).select("h", "s.*", "w")
             else:
                 both = both.groupBy("sha").agg(F.min("doc").alias("doc"))
             old = [runs.pop()[1], runs.pop()[1]]
-            self._run(kind, both, key)
+            self._run(kind, both, key, dealt=True)
             for t in old:
                 self.spark.sql(f"DROP TABLE {t}")
 
@@ -198,6 +200,8 @@ class Index:
         """docs: doc (not null), text. Returns what is known of each row (doc, n_words, sha, whole: an earlier document
         has the same words) and the candidate stretches: h, doc, t, at, n, s_doc, s_t, s_at."""
         parts = partitions(self.spark)
+        self.compact("windows", "h")
+        self.compact("kinds", "sha")
         told = written(digests(docs))
         kinds = told.groupBy("sha").agg(F.min("doc").alias("doc"))
         for k, (_, run) in enumerate(self.runs["kinds"]):
@@ -217,18 +221,15 @@ class Index:
             seen = seen + F.coalesce(f"_n{k}", F.lit(0))
         hot = keys.where((F.col("lo") < F.col("hi")) | (seen > 0))
         hot = written(hot.select("h", F.ceil((F.col("n") + seen) / SALT_ROWS).cast("long").alias("salts")))
-        compare = rows.withColumn("old", F.lit(False))
-        for run in earlier:
-            compare = compare.unionByName(run.withColumn("old", F.lit(True)))
-        compare = compare.join(hot, "h").withColumn("salt", F.pmod(F.xxhash64("doc", "at"), "salts"))
+        compare = rows.join(hot, "h").withColumn("old", F.lit(False))
+        for run in earlier:  # each merge-joined by itself, so that no run is dealt anew
+            compare = compare.unionByName(run.join(hot, "h").withColumn("old", F.lit(True)))
+        compare = compare.withColumn("salt", F.pmod(F.xxhash64("doc", "at"), "salts"))
         added = {c: F.lit(None).cast(ty) for c, ty in (("n", "int"), ("s_doc", "long"), ("s_t", "long"), ("s_at", "int"))}
         one = written(decided(compare.withColumns(added).select(NAMES), parts))
         two = decided(one.where("n is null"), parts)
         stretches = one.where("n > 0").unionByName(two.where("n > 0")).select("h", "doc", "t", "at", "n", "s_doc", "s_t", "s_at")
-        stretches = written(stretches)
-        self.compact("windows", "h")
-        self.compact("kinds", "sha")
-        return known, stretches
+        return known, written(stretches)
 
     def drop(self) -> None:
         for runs in self.runs.values():

@@ -151,7 +151,11 @@ def test_substring_index_is_a_log(spark, rows):
         sizes.append([n for n, _ in index.runs["windows"]])
     index = substring_dedup.Index(spark, name)
     assert [n for n, _ in index.runs["windows"]] == sizes[-1]
-    assert all(a >= 2 * b for run in sizes for a, b in zip(run, run[1:]))
+    index.compact("windows", "h")
+    oldest = spark.table(index.runs["windows"][0][1])
+    assert oldest.count() == oldest.select("h", "w").distinct().count() and len(index.runs["windows"]) < len(sizes)
+    sizes.append([n for n, _ in index.runs["windows"]])
+    assert all(a >= 2 * b for run in sizes for a, b in zip(run[:-1], run[1:-1])) and all(a >= 2 * b for a, b in zip(sizes[-1], sizes[-1][1:]))
     index.drop()
     assert not spark.catalog.listTables(pattern=name + "*")
 
