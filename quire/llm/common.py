@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +60,12 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
     pa.default_memory_pool().release_unused()
 
 
+def shielded(docs: DataFrame, taken: tuple[str, ...], apply: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """apply(docs) with the columns of docs alone, as they were, also those whose names `apply` uses for its own."""
+    own = {c: f"_own_{k}" for k, c in enumerate(docs.columns) if c.lower() in taken}
+    return apply(docs.withColumnsRenamed(own)).select(*[F.col(own.get(c, f"`{c}`")).alias(c) for c in docs.columns])
+
+
 SIEVE_BITS = 1 << 26
 
 

@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import Words, documents, mix, slices
+from quire.llm.common import Words, documents, mix, shielded, slices
 from quire.sources.shared import written
 
 WINDOW, SHORTEST, MIN_EQUAL = 12, 5, 0.8
@@ -224,7 +224,7 @@ def contamination(docs: DataFrame, bench: DataFrame, text_col: str = "text", ite
     """The columns `keep` of docs (all by default) with n_hits, items (benchmark ids that overlap), matched_words
     (words of the document within an overlap), spans (item:first:end in words, comma-joined), contaminated."""
     spark = docs.sparkSession
-    keep = [c for c in keep or docs.columns if c not in RESULTS]
+    keep = [c for c in keep or docs.columns if c.lower() not in (*RESULTS, "found")]
     source = docs.select(*keep, *([] if text_col in keep else [text_col]))
     table = blocks(bench, item_col, item_text)
     first, second = next(table, None), next(table, None)
@@ -285,7 +285,7 @@ def scanned(source: DataFrame, shared: Broadcast, text_col: str, keep: list[str]
 
 def clean(docs: DataFrame, bench: DataFrame, text_col: str = "text") -> DataFrame:
     """docs without the contaminated rows, columns as they were."""
-    return contamination(docs, bench, text_col).where(~F.col("contaminated")).select(*docs.columns)
+    return shielded(docs, (*RESULTS, "found"), lambda d: contamination(d, bench, text_col).where(~F.col("contaminated")))
 
 
 def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -265,10 +265,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     the least digest of the text, of rows equal in both the least by all columns."""
     _, each = joined(plain(docs, id_col, text_col))
     least = F.min(F.struct(F.col("first").isNull(), F.col("first"), F.col("sha")))
-    kept = written(each.groupBy("group").agg(least.alias("k")).select(F.coalesce("k.first", F.lit(NO_ID)).alias("_id"), F.col("k.sha").alias("_sha")))
+    kept = written(each.groupBy("group").agg(least.alias("k")).select(F.coalesce("k.first", F.lit(NO_ID)).alias("__id"), F.col("k.sha").alias("__sha")))
     digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
-    rows = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "_sha": digest}).join(kept, ["_id", "_sha"], "left_semi")
-    return rows.groupBy("_id", "_sha").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    rows = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), "__sha": digest}).join(kept, ["__id", "__sha"], "left_semi")
+    return rows.groupBy("__id", "__sha").agg(F.min(F.struct(*[f"`{c}`" for c in docs.columns])).alias("__row")).select("__row.*")
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -268,7 +268,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` (all by default) with score, n_matches and predicted."""
-    keep = [c for c in keep or docs.columns if c not in ("score", "n_matches", "predicted")]
+    keep = [c for c in keep or docs.columns if c.lower() not in ("score", "n_matches", "predicted")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.learned, model.harm)

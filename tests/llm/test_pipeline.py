@@ -55,3 +55,44 @@ def test_pipeline_against_plain_steps(spark, tmp_path):
 
 def test_stages():
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "ngram_jaccard", "decontamination", "secrets", "bpe"] and pipeline.ORACLE_SQL is None
+
+
+def awkward(spark, rows):
+    """documents with columns named as those that the operators make."""
+    from pyspark.sql import functions as F
+
+    from tests.llm.helpers import SCHEMA
+
+    names = ("score", "Predicted", "n_matches", "n_hits", "found", "items", "spans", "kind", "first", "sha", "doc", "block", "group", "h", "n_tokens", "ids")
+    return spark.createDataFrame(rows, SCHEMA).withColumns({n: F.concat(F.lit(f"{n} of "), F.coalesce("doc_id", F.lit(-1))) for n in names})
+
+
+def test_stages_keep_awkward_rows_and_columns(spark, tmp_path):
+    """Missing and shared ids, null, empty, repeated and very long texts, and columns of the operators' names."""
+    from quire.sources.shipping import ship
+
+    ship(spark)
+    rng = random.Random(13)
+    long = words(rng, 60_000)
+    rows = [(None, None, None, None, None), (None, "some text here", None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "another text there", "en", "s", 5), (2, "a third one " * 9, "en", "s", 5), (3, long, "en", "s", 9), (4, long + " tail", "en", "s", 9)]
+    docs = awkward(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "text some here or there in the item")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    want = {"toxicity": len(rows), "ngram_jaccard": 5, "decontamination": len(rows), "secrets": len(rows), "bpe": len(rows)}
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        got = out.collect()
+        assert len(got) == want[name], name
+        if name != "bpe":
+            assert out.dtypes == docs.dtypes
+            mine = {str(r.asDict() | {"n_chars": 0}) for r in docs.collect()}
+            assert {str(r.asDict() | {"n_chars": 0}) for r in got} <= mine, name
+    assert pipeline.run(spark, str(tmp_path)).count() == 5
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    awkward(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert pipeline.run(spark, str(tmp_path)).count() == 0
