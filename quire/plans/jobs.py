@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from quire.config import Config
 from quire.functions.schemas import SEARCH_HIT
 from quire.operators import matching, rows
 from quire.plans import publish, refresh
-from quire.sources import lookups
+from quire.sources import files, lookups
 from quire.sources.shared import written
 
 CITATION_CACHE = "doi_key string, c long, t int, s2 boolean"
@@ -39,14 +38,8 @@ class Services:
 
 
 def newest(spark: SparkSession, folder: str, schema: str) -> tuple[DataFrame, int]:
-    """The last version of a cache (none: empty) and its number."""
-    try:
-        versions = spark.read.option("recursiveFileLookup", True).format("binaryFile").option("pathGlobFilter", "_SUCCESS").load(folder).select(F.regexp_extract("path", r"/v(\d+)/", 1).cast("int").alias("v"))
-        last = versions.agg(F.max("v")).first()[0] or 0
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = 0
+    """The last finished version of a cache (none: empty) and its number."""
+    last = max(files.versions(spark, folder), default=0)
     return (spark.read.schema(schema).parquet(f"{folder}/v{last}") if last else spark.createDataFrame([], schema)), last
 
 
@@ -62,13 +55,13 @@ def citation_sweep(spark: SparkSession, data: str, today: int, config: Config, s
         cache = rows.merge_recency(cache, merge, "doi_key", "t", "c")
     if not apply_only:
         asked = refresh.citation_requests(papers, cache, today, config)
-        by_key = lookups.by_key(due_batches(asked, 50), services.get, services.works, "doi,cited_by_count", config.mailto, services.streams, services.pace)
+        by_key = lookups.by_key(due_batches(asked, 50), services.get, services.works, "doi,cited_by_count", config.mailto, services.streams, services.pace, config.citation_seconds)
         first = written(by_key.select("doi_key", F.get_json_object("body", "$.cited_by_count").cast("long").alias("c"), "done"))
-        second = written(lookups.counts_by_post(due_batches(asked, 500), services.post, services.counts, services.streams, services.pace))
+        second = written(lookups.counts_by_post(due_batches(asked, 500), services.post, services.counts, services.streams, services.pace, config.citation_seconds))
         cache = refresh.concluded_counts(asked, first, second, cache, today)
     cache = written(cache)
     publish.write_papers(refresh.apply_citations(papers, cache), f"{data}/papers")
-    cache.write.parquet(f"{data}/citations/v{last + 1}")
+    cache.write.mode("overwrite").parquet(f"{data}/citations/v{last + 1}")
     return refresh.stale(papers, cache, today, config)
 
 
@@ -81,23 +74,23 @@ def preprint_backfill(spark: SparkSession, data: str, config: Config, services:
         cache = rows.merge_found_wins(cache, merge, "doi_key", "url")
     if not apply_only:
         asked = written(refresh.preprint_requests(papers, cache))
-        replies = written(lookups.by_key(asked, services.get, services.works, "doi,open_access,best_oa_location,locations", config.mailto, services.streams, services.pace))
+        replies = written(lookups.by_key(asked, services.get, services.works, "doi,open_access,best_oa_location,locations", config.mailto, services.streams, services.pace, config.search_seconds))
         found = replies.where("body is not null").select("doi_key", F.from_json("body", SEARCH_HIT).alias("hit"))
         cache = written(rows.overlay_all(cache, refresh.found_by_doi(asked, found, replies.where("done").select("batch").distinct()), "doi_key"))
         due = written(refresh.title_requests(papers, cache, config))
         numbered = due_batches(due.select("doi_key", "query"), 200)
-        titled = written(lookups.by_title(numbered, "open", services.get, services.works, config.mailto, services.streams, services.pace))
+        titled = written(lookups.by_title(numbered, "open", services.get, services.works, config.mailto, services.streams, services.pace, config.search_seconds))
         hits = titled.select("doi_key", F.posexplode("hits").alias("ord", "h")).select("doi_key", "ord", F.from_json("h", SEARCH_HIT).alias("hit"))
         matched = matching.match_hits(due, hits).select("doi_key")
         unmatched = numbered.join(matched.unionByName(titled.where("not done").select("doi_key")), "doi_key", "left_anti")
-        registered = written(lookups.by_title(unmatched, "registry", services.get, services.registry, config.mailto, services.streams, services.pace))
+        registered = written(lookups.by_title(unmatched, "registry", services.get, services.registry, config.mailto, services.streams, services.pace, config.search_seconds))
         works = registered.select("doi_key", F.posexplode("hits").alias("ord", "h")).select("doi_key", "ord", F.from_json("h", WORK_HIT).alias("hit"))
         failed = titled.where("not done").select("doi_key").unionByName(registered.where("not done").select("doi_key"))
         cache = rows.overlay_all(cache, refresh.found_by_title(due, hits, works, failed, config), "doi_key")
     cache = written(cache)
     done = written(refresh.apply_preprints(papers, cache))
     publish.write_papers(done, f"{data}/papers")
-    cache.write.parquet(f"{data}/preprints/v{last + 1}")
+    cache.write.mode("overwrite").parquet(f"{data}/preprints/v{last + 1}")
     linked, backlog = done.where("preprint is not null").count(), refresh.title_requests(papers, cache, config).count()
     return spark.createDataFrame([(linked, backlog)], "linked long, backlog long")
 

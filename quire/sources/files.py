@@ -22,3 +22,14 @@ def write_document(df: DataFrame, path: str) -> None:
     """A bounded, ordered table as one minified JSON array; equal data give equal bytes. Null members are left out."""
     rows = [json.loads(r[0]) for r in df.selectExpr("to_json(struct(*))").collect()]
     write_text(df.sparkSession, path, json.dumps(rows, ensure_ascii=False, separators=(",", ":")))
+
+
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the finished versions (v1, v2 ...) of a table in a folder, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()]
+    found = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()]
+    return sorted(n for n in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v{n}/_SUCCESS")))

@@ -1,13 +1,15 @@
 """Lookups by key and by title as DataFrames: requests in, replies out, a batch of requests a group.
 
 Transports are named "module:function" and imported by the tasks. Requests are dealt to `streams` tasks, so that many
-calls run side by side at most; each task paces itself and gives up after several failures in a row. A request that was
-not answered comes back with done = false, which is not the same as an answer without a result.
+calls run side by side at most; each task paces itself and stops after several failures in a row, or after `seconds`. A
+request that was not answered comes back with done = false, which is not the same as an answer without a result.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import time
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -38,6 +40,11 @@ def batches_of(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFra
         yield int(held["batch"].iloc[0]), held
 
 
+def stopped(breaker: Breaker, end: float) -> bool:
+    """Whether a task calls no more: too many failures in a row, or its time is up. The rest is left to the next run."""
+    return breaker.failures >= breaker.most or time.monotonic() > end
+
+
 def asked(call, breaker: Breaker, sleep) -> dict | None:  # noqa: ANN001
     """The reply's body; throttling and errors are waited out while the breaker holds. None: not answered."""
     while True:
@@ -53,15 +60,16 @@ def asked(call, breaker: Breaker, sleep) -> dict | None:  # noqa: ANN001
         sleep(wait_seconds(breaker.failures, reply["retry_after"]) if throttled else 2.0)
 
 
-def by_key(requests: DataFrame, transport: str, base: str, select: str, mailto: str = "", streams: int = 1, pace: float = 1.0) -> DataFrame:
+def by_key(requests: DataFrame, transport: str, base: str, select: str, mailto: str = "", streams: int = 1, pace: float = 1.0, seconds: float = math.inf) -> DataFrame:
     """requests (batch, doi_key) -> (batch, doi_key, done, body): one GET a batch; body is the record found (JSON) or null."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         send, sleep, breaker = loaded(transport), paced(pace), Breaker(6)
+        end = time.monotonic() + seconds
         for number, own in batches_of(frames):
             keys = own["doi_key"].tolist()
             url = f"{base}?filter=doi:{'|'.join(keys)}&per-page={len(keys)}&select={select}" + (f"&mailto={quote(mailto, safe='')}" if mailto else "")
-            body = None if breaker.failures >= breaker.most else asked(lambda u=url: get_once(send, u), breaker, sleep)
+            body = None if stopped(breaker, end) else asked(lambda u=url: get_once(send, u), breaker, sleep)
             found: dict[str, str] = {}
             for record in (body or {}).get("results") or []:
                 doi = str(record.get("doi") or "").lower()
@@ -74,14 +82,15 @@ def by_key(requests: DataFrame, transport: str, base: str, select: str, mailto:
     return in_batches(requests.select("batch", "doi_key"), streams).mapInPandas(run, "batch long, doi_key string, done boolean, body string")
 
 
-def counts_by_post(requests: DataFrame, transport: str, url: str, streams: int = 1, pace: float = 1.0) -> DataFrame:
+def counts_by_post(requests: DataFrame, transport: str, url: str, streams: int = 1, pace: float = 1.0, seconds: float = math.inf) -> DataFrame:
     """requests (batch, doi_key) -> (doi_key, c, done): one POST a batch, the reply in the order of the request."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         send, sleep, breaker = loaded(transport), paced(pace), Breaker(4)
+        end = time.monotonic() + seconds
         for _, own in batches_of(frames):
             keys = own["doi_key"].tolist()
-            reply = post_batch(send, url, [f"DOI:{k}" for k in keys], sleep) if breaker.failures < breaker.most else None
+            reply = post_batch(send, url, [f"DOI:{k}" for k in keys], sleep) if not stopped(breaker, end) else None
             breaker.record(reply is not None)
             slots = [*(reply or []), *[None] * len(keys)][: len(keys)]
             counts = [r.get("citationCount") if isinstance(r, dict) else None for r in slots]
@@ -98,19 +107,20 @@ ENGINES = {
 }
 
 
-def by_title(requests: DataFrame, engine: str, transport: str, base: str, mailto: str = "", streams: int = 1, pace: float = 1.0) -> DataFrame:
+def by_title(requests: DataFrame, engine: str, transport: str, base: str, mailto: str = "", streams: int = 1, pace: float = 1.0, seconds: float = math.inf) -> DataFrame:
     """requests (batch, doi_key, query) -> (doi_key, done, hits array<string>): one GET a request with a query."""
     tail, path = ENGINES[engine]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         send, sleep, breaker = loaded(transport), paced(pace), Breaker(6)
+        end = time.monotonic() + seconds
         for _, own in batches_of(frames):
             done, hits = [], []
             for query in own["query"].tolist():
                 body: dict | None = {}
                 if query:
                     url = f"{base}?{tail.format(q=quote(query, safe=''))}" + (f"&mailto={quote(mailto, safe='')}" if mailto else "")
-                    body = None if breaker.failures >= breaker.most else asked(lambda u=url: get_once(send, u), breaker, sleep)
+                    body = None if stopped(breaker, end) else asked(lambda u=url: get_once(send, u), breaker, sleep)
                     sleep(PAUSE)
                 found: object = body
                 for step in path:
