@@ -33,3 +33,9 @@ def versions(spark: SparkSession, folder: str) -> list[int]:
     names = [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()]
     found = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()]
     return sorted(n for n in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v{n}/_SUCCESS")))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A folder with all it holds, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quire.functions.schemas import REGISTRY
 from quire.operators.registry import register
 from quire.operators.rows import merge_recency
+from quire.sources import files
 from quire.sources.shared import written
 
 
@@ -41,12 +42,13 @@ def follow_registry(spark: SparkSession, landing: str, table: str, checkpoint: s
 
 def follow_counts(spark: SparkSession, landing: str, table: str, checkpoint: str) -> StreamingQuery:
     """Citation counts (doi_key, c, t) of a landing folder are merged into versions of the cache: later t, then larger
-    c. Version n+1 is made of version n and batch n, so a repeated batch gives the same version."""
+    c. Version n+1 is made of version n and batch n, so a repeated batch gives the same version; older ones go."""
     schema = "doi_key string, c long, t int"
     source = spark.readStream.schema(schema).parquet(landing)
 
     def merge(batch: DataFrame, number: int) -> None:
         current = table_or_empty(batch.sparkSession, f"{table}/v{number}", schema)
         merge_recency(current, batch, "doi_key", "t", "c").write.mode("overwrite").parquet(f"{table}/v{number + 1}")
+        files.remove(batch.sparkSession, f"{table}/v{number - 1}")
 
     return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

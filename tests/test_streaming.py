@@ -54,3 +54,12 @@ def test_repeated_counts_change_nothing(spark, tmp_path):
         assert [tuple(r) for r in spark.read.parquet(f"{table}/v1").collect()] == [("a", 5, 1)]
         if not again:
             repeated(mark, 0)
+
+
+def test_old_versions_go(spark, tmp_path):
+    landing, table, mark = (str(tmp_path / x) for x in ("in", "cnt", "mark"))
+    for n in range(3):
+        spark.createDataFrame([("a", n, n)], "doi_key string, c long, t int").coalesce(1).write.mode("append").parquet(landing)
+        follow_counts(spark, landing, table, mark).awaitTermination()
+    assert sorted(p.name for p in Path(table).iterdir()) == ["v2", "v3"]
+    assert [tuple(r) for r in spark.read.parquet(f"{table}/v3").collect()] == [("a", 2, 2)]
