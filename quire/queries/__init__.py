@@ -25,4 +25,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from quire.queries import joins, records, rollups, scalars, states  # noqa: E402, F401
+from quire.queries import joins, records, rollups, scalars, states, streams  # noqa: E402, F401
