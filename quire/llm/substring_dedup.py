@@ -333,14 +333,16 @@ def dedup(docs: DataFrame, batches: int = 3, id_col: str = "doc_id", text_col: s
     raw = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     cuts = sorted({int(c) for c in raw.stat.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)}) if batches > 1 else []
     index, known, stretches, low = Index(spark, f"quire_index_{uuid.uuid4().hex}", bits), None, None, None
-    for high in [*cuts, None]:
-        inside = F.lit(True) if high is None else F.col("doc") <= high
-        inside = inside & (F.col("doc") > low) if low is not None else inside | F.col("doc").isNull()
-        told, found = index.match(raw.where(inside).select(F.coalesce("doc", F.lit(NO_ID)).alias("doc"), "text"))
-        known = told if known is None else known.unionByName(told)
-        stretches = found if stretches is None else stretches.unionByName(found)
-        low = high
-    index.drop()
+    try:
+        for high in [*cuts, None]:
+            inside = F.lit(True) if high is None else F.col("doc") <= high
+            inside = inside & (F.col("doc") > low) if low is not None else inside | F.col("doc").isNull()
+            told, found = index.match(raw.where(inside).select(F.coalesce("doc", F.lit(NO_ID)).alias("doc"), "text"))
+            known = told if known is None else known.unionByName(told)
+            stretches = found if stretches is None else stretches.unionByName(found)
+            low = high
+    finally:
+        index.drop()
     return known, removed(raw, stretches)
 
 
