@@ -32,7 +32,7 @@ from quire.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 200, 100
 WINDOWS = LENGTH - GRAM + 1
-SALT_ROWS = 20_000  # stretches under one key in a group
+SALT_ROWS = 2_000  # stretches under one key in a group: about a shard
 SHARD_BYTES = 1 << 19
 BREAK = 255  # between stretches; no byte of UTF-8 text plus one
 
