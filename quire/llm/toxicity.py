@@ -51,7 +51,8 @@ NEAR = 4  # words that a negation or an intensifier reaches
 SEED_WEIGHT = 3.0
 CLAUSE_END, QUOTE = "\x01", "\x02"
 #: Characters: clause ends, quotation marks, letters; what else stands between words.
-_MARKS = str.maketrans({c: f" {CLAUSE_END} " for c in ".!?;:\n\r…"} | {c: f" {QUOTE} " for c in '"“”«»„'} | {c: None for c in "'’"} | {c: " " for c in ",()[]{}<>|/\\*_#~-\t=+&%$@0123456789"})
+_MARKS = {c: f" {CLAUSE_END} " for c in ".!?;:\n\r…"} | {c: f" {QUOTE} " for c in '"“”«»„'} | {c: "" for c in "'’"} | {c: " " for c in ",()[]{}<>|/\\*_#~-\t=+&%$@0123456789"}
+_MARKED = frozenset(_MARKS)
 
 
 class Transducer:
@@ -128,7 +129,10 @@ class Lexicon(dict):
 
 
 def words_of(text: str) -> list[str]:
-    return text.lower().translate(_MARKS).split(" ")
+    text = text.lower()
+    for c in _MARKED.intersection(text):  # only those that occur: a table for every character takes ten times as long
+        text = text.replace(c, _MARKS[c])
+    return text.split(" ")
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
