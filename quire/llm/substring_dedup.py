@@ -26,6 +26,7 @@ order of doc_id. An empty table gives no rows; extra columns are left out.
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -159,11 +160,20 @@ def decided(rows: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(run, GROUPED)
 
 
+def warehouse_is_default(spark: SparkSession) -> bool:
+    """Whether the warehouse is the folder that Spark takes where none is named."""
+    scheme, _, path = spark.conf.get("spark.sql.warehouse.dir").rpartition(":")
+    return scheme in ("", "file") and os.path.normpath(path) == os.path.join(os.getcwd(), "spark-warehouse")
+
+
 class Index:
     """A named log of runs. match() takes the next batch into it and tells which stretches may have been seen."""
 
     def __init__(self, spark: SparkSession, name: str, bits: int = BITS):
-        """Goes on with the runs of that name in the catalogue, if there are any."""
+        """Goes on with the runs of that name in the catalogue, if there are any. The runs lie in the warehouse; on a
+        cluster its folder must have been named, since the default is a folder of the driver alone."""
+        if not spark.conf.get("spark.master", "").startswith("local") and warehouse_is_default(spark):
+            raise ValueError("spark.sql.warehouse.dir must name a folder that all executors share")
         self.spark, self.name, self.bits = spark, name, bits
         self.runs: dict[str, list[tuple[int, str]]] = {"windows": [], "kinds": []}  # (rows, table), oldest first
         for t in sorted(x.name for x in spark.catalog.listTables(pattern=f"{name}__*")):
@@ -181,12 +191,17 @@ class Index:
         self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quire.rows' = '{rows}')")
         self.runs[kind].append((rows, table))
 
+    def _plain(self, table: str) -> DataFrame:
+        """A run's files without its buckets. A union of bucketed tables passes for one that is dealt by the key, so that
+        Spark leaves out the repartition after it; a union of plain files doesn't."""
+        place = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()[1]
+        return self.spark.read.schema(self.spark.table(table).schema).parquet(place)
+
     def compact(self, kind: str, key: str) -> None:
         """Merges the newest runs while they are of like size (the older under twice the newer)."""
         runs = self.runs[kind]
         while len(runs) > 1 and runs[-2][0] < 2 * runs[-1][0]:
-            # dealt anew for certain: a union of bucketed tables passes for one by key, and isn't
-            both = self.spark.table(runs[-2][1]).unionByName(self.spark.table(runs[-1][1])).repartition(partitions(self.spark), key)
+            both = self._plain(runs[-2][1]).unionByName(self._plain(runs[-1][1])).repartition(partitions(self.spark), key)
             if kind == "windows":
                 both = both.groupBy("h", "w").agg(F.min(F.struct("doc", "t", "at")).alias("s")).select("h", "s.*", "w")
             else:

@@ -44,8 +44,8 @@ def removed_bytes(texts: dict) -> dict:
 @pytest.mark.parametrize("salt", [20_000, 1])
 def test_suffix_array_dedup(spark, rows, folder, monkeypatch, salt):
     monkeypatch.setattr(suffix_dedup, "SALT_ROWS", salt)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.op3_suffix_array_dedup(spark, folder).collect()}
-    assert got == removed_bytes({r[0]: r[1] for r in rows})
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.op3_suffix_array_dedup(spark, folder).collect()]
+    assert sorted(got) == sorted((d, *x) for d, x in removed_bytes({r[0]: r[1] for r in rows}).items())
 
 
 def removed_words(texts: dict) -> dict:
@@ -68,8 +68,46 @@ def removed_words(texts: dict) -> dict:
 @pytest.mark.parametrize("salt", [20_000, 1])
 def test_substring_dedup(spark, rows, folder, monkeypatch, salt):
     monkeypatch.setattr(substring_dedup, "SALT_ROWS", salt)
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.op4_substring_dedup(spark, folder).collect()}
-    assert got == removed_words({r[0]: r[1] for r in rows})
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.op4_substring_dedup(spark, folder).collect()]
+    assert sorted(got) == sorted((d, *x) for d, x in removed_words({r[0]: r[1] for r in rows}).items())
+
+
+@pytest.mark.parametrize("parts", [1, 8, 40])
+def test_merged_runs_hold_each_key_once(spark, parts):
+    """The same words in each of four batches, counted as rows, whatever the number of partitions."""
+    ship(spark)
+    rng = random.Random(parts)
+    passage, whole = words(rng, 90), words(rng, 70)
+    data = [(k, whole if k % 3 == 0 else f"{words(rng, 5)} {passage} {words(rng, 60)}") for k in range(16)]
+    docs = spark.createDataFrame(data, "doc long, text string")
+    index, got = substring_dedup.Index(spark, f"quire_test_merge_{parts}"), []
+    merges = 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        for k in range(0, 16, 4):
+            known, stretches = index.match(docs.where(docs.doc.between(k, k + 3)))
+            cut = {r.doc: r for r in substring_dedup.removed(docs, stretches).collect()}
+            for r in known.collect():
+                n = r.n_words if r.whole and r.n_words >= 50 else cut[r.doc].n_removed if r.doc in cut else 0
+                got.append((r.doc, r.n_words, n))
+            for kind, key in (("kinds", ["sha"]), ("windows", ["h", "w"])):
+                before_merge = {t for _, t in index.runs[kind]}
+                index.compact(kind, key[0])
+                for n, merged in index.runs[kind]:
+                    if merged not in before_merge:
+                        run = spark.table(merged)
+                        assert run.count() == run.select(*key).distinct().count() == n
+                        merges += 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        index.drop()
+    assert sorted(got) == sorted((d, *x[:2]) for d, x in removed_words(dict(data)).items())
+    assert merges >= 4
+
+
+def test_warehouse_must_be_named(spark):
+    assert not substring_dedup.warehouse_is_default(spark)
 
 
 def removed_words_of_rows(data: list[tuple]) -> list[tuple]:
@@ -118,7 +156,9 @@ def test_substring_dedup_compares_words(spark, tmp_path, bits):
     data = awkward_rows()
     docs = spark.createDataFrame([(d, t) for d, t in data], "doc_id long, text string")
     known, cut = substring_dedup.dedup(docs, bits=bits)
-    cut = {(r.doc, bytes(r.sha)): r for r in cut.collect()}
+    rows = cut.collect()
+    cut = {(r.doc, bytes(r.sha)): r for r in rows}
+    assert len(cut) == len(rows)
     got = []
     for r in known.collect():
         c = cut.get((r.doc, bytes(r.sha)))
@@ -144,8 +184,11 @@ def test_substring_index_is_a_log(spark, rows):
         index = substring_dedup.Index(spark, name)
         batch = docs.where(docs.doc.isin(ids[k : k + 4]))
         known, stretches = index.match(batch)
-        cut = {r.doc: r.n_removed for r in substring_dedup.removed(docs, stretches).collect()}
-        for r in known.collect():
+        rows_cut = substring_dedup.removed(docs, stretches).collect()
+        cut = {r.doc: r.n_removed for r in rows_cut}
+        known = known.collect()
+        assert len(cut) == len(rows_cut) and len(known) == len(ids[k : k + 4])
+        for r in known:
             n = r.n_words if r.whole and r.n_words >= 50 else cut.get(r.doc, 0)
             assert (r.n_words, n) == want[r.doc][:2], r.doc
         sizes.append([n for n, _ in index.runs["windows"]])
@@ -168,7 +211,9 @@ def shingles(text: str | None) -> frozenset:
 @pytest.mark.parametrize("block", [1000, 2])
 def test_jaccard_join(spark, rows, folder, monkeypatch, block):
     monkeypatch.setattr(ngram_jaccard, "BLOCK", block)
-    got = {r.doc_id: r for r in ngram_jaccard.op5_ngram_jaccard(spark, folder).collect()}
+    found = ngram_jaccard.op5_ngram_jaccard(spark, folder).collect()
+    got = {r.doc_id: r for r in found}
+    assert len(found) == len(rows)
     first: dict[str, int] = {}
     for d, t, *_ in rows:
         first.setdefault(t or "", d)
