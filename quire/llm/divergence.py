@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import documents, partitions, written
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # the longest runs of all other characters: what lies between them are TERM's matches
 MIN_DOCS, TOP = 10, 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,10 +38,11 @@ def ascii_lower(text: Column) -> Column:
 def term_counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, n (occurrences), docs (documents with it)."""
     text, lang, source = (F.coalesce(c, F.lit("")).alias(c) for c in ("text", "lang", "source"))
-    found = docs.select(text, lang, source).select("lang", "source", F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(TERM), F.lit(0)).alias("t"))
+    found = docs.select(text, lang, source).select("lang", "source", F.split(ascii_lower(F.col("text")), BETWEEN).alias("t"))
     both = F.array(F.struct(F.lit(1).alias("n"), F.lit(0).alias("docs"), F.col("t")), F.struct(F.lit(0).alias("n"), F.lit(1).alias("docs"), F.array_distinct("t").alias("t")))
     each = found.select("lang", "source", F.explode(both).alias("x")).select("lang", "source", "x.n", "x.docs", F.explode("x.t").alias("term"))
-    return each.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # a text that begins or ends between terms has an empty piece there
+    return each.where("term <> ''").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(count: str, total: str) -> Column:
