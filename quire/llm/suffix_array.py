@@ -168,11 +168,27 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     return induced(lms)
 
 
+FAR = 256  # symbols after which common prefixes are compared one by one
+
+
+def shared(text: np.ndarray, a: int, b: int) -> int:
+    """How many symbols are the same from two places on."""
+    most, done, step = len(text) - max(a, b), 0, FAR
+    while done < most:
+        step = min(2 * step, most - done)
+        unlike = text[a + done : a + done + step] != text[b + done : b + done + step]
+        at = int(unlike.argmax())
+        if unlike[at]:
+            return done + at
+        done += step
+    return most
+
+
 def common_prefixes(text: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(phi, plcp): for each place its predecessor in the array (-1 for the first) and their common prefix.
 
     A place whose predecessor's left neighbour has the same symbol shares all but one symbol of the place before it;
-    only the others are compared, eight symbols at a time, and the rest follows from them.
+    only the others are compared, eight symbols at a time and far ones in doubled steps, and the rest follows from them.
     """
     n = len(text)
     phi = np.full(n, -1, np.int64)
@@ -203,6 +219,10 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.nd
         live = live[same]
         length[live] = np.minimum(d + 8, n - np.maximum(live, phi[live]))
         d += 8
+        if d >= FAR:  # few are left, and these may go on for long: one by one, in pieces of doubled length
+            for i in live.tolist():
+                length[i] = d + shared(text, i + d, int(phi[i]) + d)
+            break
     head = np.where(plain, -1, place)
     head = np.maximum.accumulate(head)
     return phi, np.maximum(0, length[head] - (place - head))

@@ -12,7 +12,8 @@ stretches are dealt in salted groups; what a group cannot decide goes on, one 20
 each different string, to groups by key and string. So no task gathers a hot key.
 
 Null is the empty text; texts under 200 bytes keep all. A long text is cut nowhere: keys and stretches are
-those of the whole. Every row stands for itself, whatever ids others have: rows that share a doc_id, and rows without
+those of the whole. A stretch of over PIECE_BYTES (a periodic text has one key all along) goes in pieces that share 199
+bytes, so that each string starts in one of them, dealt to different groups. Every row stands for itself, whatever ids others have: rows that share a doc_id, and rows without
 one, remove each other's strings like any others, and each gets a result of its own. Extra columns are left out; an
 empty table gives no rows.
 """
@@ -34,6 +35,7 @@ LENGTH, GRAM = 200, 100
 WINDOWS = LENGTH - GRAM + 1
 SALT_ROWS = 2_000  # stretches under one key in a group: about a shard
 SHARD_BYTES = 1 << 19
+PIECE_BYTES = 1 << 16  # starts of a stretch that go in one row
 BREAK = 255  # between stretches; no byte of UTF-8 text plus one
 
 
@@ -65,7 +67,7 @@ def occurrences(data: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc, n_bytes, sha, keys (with repeats)."""
+    """doc, n_bytes, sha, keys (each with its number of places)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,7 +104,8 @@ def stretches(docs: DataFrame) -> DataFrame:
                     edge = np.flatnonzero(np.diff(keys, prepend=keys[0] ^ 1))
                     for s, e in zip(edge.tolist(), [*edge[1:].tolist(), len(keys)], strict=True):
                         if (salts := asked.get(int(keys[s]))) is not None:
-                            out.append((int(keys[s]), (doc + s) % salts, salts, doc, s, text[s : e - 1 + LENGTH]))
+                            for k, a in enumerate(range(s, e, PIECE_BYTES)):
+                                out.append((int(keys[s]), (doc + s + k) % salts, salts, doc, a, text[a : min(e, a + PIECE_BYTES) - 1 + LENGTH]))
                 if out:
                     yield packed(out)
 

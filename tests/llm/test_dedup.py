@@ -356,6 +356,31 @@ def test_suffix_array_dedup_of_shared_and_missing_ids(spark, tmp_path):
     assert sorted((tuple(x) for x in got), key=key) == sorted(((d, *want[k]) for k, (d, _) in enumerate(data)), key=key)
 
 
+@pytest.mark.parametrize("salt", [2_000, 50])
+def test_suffix_array_dedup_of_long_periodic_texts(spark, tmp_path, monkeypatch, salt):
+    """Texts whose stretches are longer than a row may be: the period spans the places where they are split."""
+    ship(spark)
+    monkeypatch.setattr(suffix_dedup, "SALT_ROWS", salt)
+    rng = random.Random(6)
+    line, other = "0123456789abcdef\n", words(rng, 40)
+    texts = [line * 12_000, "xyz" + line * 9_000 + words(rng, 300), "ab" * 70_000, words(rng, 2000), "q" * 199 + "r" * 70_300, (other + " ") * 400, "é" * 50_000]
+    assert min(map(len, texts[:3])) > 2 * suffix_dedup.PIECE_BYTES
+    rows = [(k, t, "en", "s", 0) for k, t in enumerate(texts)]
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.op3_suffix_array_dedup(spark, saved(spark, tmp_path, rows)).collect()]
+    assert sorted(got) == sorted((d, *x) for d, x in removed_bytes(dict(enumerate(texts))).items())
+
+
+def test_common_prefixes_of_periods():
+    """Long common prefixes are compared in doubled steps: the same lengths as symbol by symbol, and fast."""
+    for raw in (b"ab" * 700, b"x" * 900 + b"y" + b"x" * 900, bytes(random.Random(2).choice(b"ab") for _ in range(300)) * 4):
+        text = np.append(np.frombuffer(raw, np.uint8).astype(np.int64) + 1, 0)
+        sa = suffix_array.suffix_array(text, 256)
+        plcp = suffix_array.common_prefixes(text, sa)[1]
+        for i, (a, b) in enumerate(zip(sa[:-1].tolist(), sa[1:].tolist()), 1):
+            n = next((k for k in range(len(text) - max(a, b)) if text[a + k] != text[b + k]), len(text) - max(a, b))
+            assert plcp[sa[i]] == n
+
+
 def test_empty_tables(spark, tmp_path):
     ship(spark)
     folder = saved(spark, tmp_path, [])
