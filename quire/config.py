@@ -27,6 +27,8 @@ class Config:
     citation_cap: int = 500_000
     citation_seconds: float = 2700.0
     search_seconds: float = 1500.0
+    citation_flush: int = 100  # batches of 50 keys after which counts are saved
+    search_flush: int = 200  # title searches after which links are saved
     mock: bool = False
 
     @property

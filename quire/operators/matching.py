@@ -68,6 +68,50 @@ def match_titles(left: DataFrame, right: DataFrame) -> DataFrame:
     return blocked(left, "l").join(blocked(right, "r"), "block").withColumn("kind", kind).where("kind <> ''").select("l_id", "r_id", "kind")
 
 
+def _by_rarity(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their names (n) in one order, the rarest first."""
+    each = [df.select("id", F.explode("n").alias("name")) for df in (left, right)]
+    often = each[0].unionByName(each[1]).groupBy("name").agg(F.count("*").alias("often"))
+    out = []
+    for df, names in zip((left, right), each, strict=True):
+        placed = names.join(often, "name").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("often", "name"))).alias("_o"))
+        out.append(df.drop("n").join(placed, "id").withColumn("n", F.transform("_o", lambda x: x["name"])).drop("_o"))
+    return out[0], out[1]
+
+
+def match_corpora(papers: DataFrame, works: DataFrame) -> DataFrame:
+    """(id, work, kind) for papers (id, title, year, authors) against a whole corpus of works (id, ord, title, year, authors):
+    of the works that match a paper by title, surnames and year, the one with the least `ord`, then the least id.
+
+    Titles meet by their first characters, as in match_titles(), and within such a block by a surname, so that a title
+    thousands of works begin with is not compared with all of them. Two lists of several names must share two, so
+    all but the most frequent name of each are enough to meet by (of two shared ones, one is among them on either side);
+    a list of one name meets the others by any name. Nothing that matches is lost; the rules decide on what meets.
+    """
+    def ready(df: DataFrame, *more: str) -> DataFrame:
+        t = match_norm(F.col("title"))
+        held = df.select("id", *more, t.alias("t"), F.substring(t, 1, PREFIX_LENGTH).alias("block"), F.col("year").try_cast("int").alias("y"), surnames(F.col("authors")).alias("n"))
+        return held.where("block <> '' and size(n) > 0")
+
+    def meeting(df: DataFrame, alone: tuple[str, ...], together: tuple[str, ...], p: str) -> DataFrame:
+        """A row for each way (way, name) to meet. `together`: for lists of several names the ways by all but the last
+        name, and by any."""
+        rare = F.transform(F.slice("n", F.lit(1), F.size("n") - 1), lambda x: F.struct(F.lit(together[0]).alias("way"), x.alias("name")))
+        every = F.transform("n", lambda x: F.struct(F.lit(together[1]).alias("way"), x.alias("name")))
+        one = F.array(*[F.struct(F.lit(w).alias("way"), F.get("n", F.lit(0)).alias("name")) for w in alone])
+        ways = F.explode(F.when(F.size("n") == 1, one).otherwise(F.concat(rare, every))).alias("w")
+        own = [F.col(c).alias(f"{p}_{c}") for c in df.columns if c != "block"]
+        return df.select("block", *own, ways).select("block", "w.way", "w.name", *[f"{p}_{c}" for c in df.columns if c != "block"])
+
+    left, right = _by_rarity(ready(papers), ready(works, "ord"))
+    # several-several: both by the rare names; a single name of the right meets any of the left ("s"), one of the left any of the right ("t")
+    met = meeting(left, ("t",), ("m", "s"), "l").join(meeting(right, ("s", "t"), ("m", "t"), "r"), ["block", "way", "name"])
+    kind = titles_match(F.col("l_t"), F.col("r_t"))
+    fits = met.withColumn("kind", kind).where((F.col("kind") != "") & enough_shared(F.col("l_n"), F.col("r_n")) & plausible_year(F.col("kind"), F.col("l_y"), F.col("r_y")))
+    first = fits.groupBy(F.col("l_id").alias("id")).agg(F.min(F.struct("r_ord", "r_id", "kind")).alias("m"))
+    return first.select("id", F.col("m.r_id").alias("work"), F.col("m.kind").alias("kind"))
+
+
 def title_agrees(given: Column, registered: Column) -> Column:
     """Journal titles are equal, or one holds the other (an empty registered title agrees)."""
     a, b = journal_norm(given), journal_norm(registered)

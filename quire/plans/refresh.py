@@ -17,15 +17,20 @@ def citation_requests(papers: DataFrame, cache: DataFrame, today: int, config: C
     return state.ttl_queue(keyed, cache, "doi_key", "t", "o", today, config.min_age_days, config.citation_cap).select("doi_key")
 
 
-def concluded_counts(requests: DataFrame, first: DataFrame, second: DataFrame, cache: DataFrame, today: int) -> DataFrame:
-    """The cache after two lookups. Replies are (doi_key, c, done): done tells that the lookup was answered for the key;
-    an answered key without a count is a concluded 0. A key that neither concluded keeps its state."""
+def concluded(requests: DataFrame, first: DataFrame, second: DataFrame, cache: DataFrame, today: int) -> DataFrame:
+    """New cache rows from two lookups. Replies are (doi_key, c, done): done tells that the lookup was answered for the key;
+    an answered key without a count is a concluded 0. A key that neither concluded has no row."""
     a = first.select("doi_key", F.col("c").alias("_oa"), F.col("done").alias("_od"))
     b = second.select("doi_key", F.col("c").alias("_s2"), F.col("done").alias("_sd"))
     joined = requests.join(a, "doi_key", "left").join(b, "doi_key", "left").join(cache.select("doi_key", F.col("c").alias("_p"), F.col("s2").alias("_ps")), "doi_key", "left")
     od, sd = (F.coalesce(c, F.lit(False)) for c in ("_od", "_sd"))
     got = joined.where(od | sd).select("doi_key", state.counted(F.col("_oa"), F.col("_s2"), od, sd, F.col("_p"), F.col("_ps")).alias("g"))
-    return rows.overlay_all(cache, got.select("doi_key", "g.c", F.lit(today).alias("t"), "g.s2"), "doi_key")
+    return got.select("doi_key", "g.c", F.lit(today).alias("t"), "g.s2")
+
+
+def concluded_counts(requests: DataFrame, first: DataFrame, second: DataFrame, cache: DataFrame, today: int) -> DataFrame:
+    """The cache after two lookups, see concluded()."""
+    return rows.overlay_all(cache, concluded(requests, first, second, cache, today), "doi_key")
 
 
 def apply_citations(papers: DataFrame, cache: DataFrame) -> DataFrame:
@@ -83,4 +88,4 @@ def stale(papers: DataFrame, cache: DataFrame, today: int, config: Config) -> Da
     return keys.agg(F.count("*").alias("total"), F.count_if(old).alias("stale"))
 
 
-__all__ = ["apply_citations", "apply_preprints", "citation_requests", "concluded_counts", "found_by_doi", "found_by_title", "preprint_from_doi", "preprint_requests", "stale", "title_requests"]
+__all__ = ["apply_citations", "apply_preprints", "citation_requests", "concluded", "concluded_counts", "found_by_doi", "found_by_title", "preprint_from_doi", "preprint_requests", "stale", "title_requests"]

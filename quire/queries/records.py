@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from quire.config import Config
 from quire.functions import text as T
-from quire.functions.schemas import PAPER, PAPER_COLUMNS, SEARCH_HIT, WORK
+from quire.functions.schemas import PAPER, PAPER_COLUMNS, SEARCH_HIT, WORK, WORK_HIT
 from quire.operators import entities, matching, rows
 from quire.plans import build, jobs, publish
 from quire.queries import query, table
 from quire.sources import files, json_docs, lookups
-from quire.sources.http import WorksSource
+from quire.sources.dumps import Dumps
 from quire.sources.shared import shared_dir, written
 
 CONFIG = Config()
@@ -186,43 +186,55 @@ def positional_zip(spark, sf_dir):  # noqa: ANN001, ANN201
     return json_docs.positional_counts(spark, [r.n_name for r in n], json.dumps([{"citationCount": r.n_nationkey} if r.n_nationkey % 3 else None for r in n]))
 
 
-GET, POST = "quire.sources.offline:get", "quire.sources.offline:post"
-
-
 def asked(spark, sf_dir, size):  # noqa: ANN001, ANN201
     keys = table(spark, sf_dir, "documents").select(F.concat(F.lit("10.1/"), "doc_id").alias("doi_key"))
     return rows.numbered_batches(keys, ["doi_key"], size)
 
 
+def number(key="doi_key"):  # noqa: ANN001, ANN201
+    """The document's number in a key."""
+    return F.substring_index(key, "/", -1).cast("long")
+
+
 @query("""SELECT '10.1/' || doc_id AS doi_key, CASE WHEN doc_id % 3 > 0 THEN doc_id END::BIGINT AS c, TRUE AS done FROM documents""")
 def keyed_lookup(spark, sf_dir):  # noqa: ANN001, ANN201
-    """Fifty keys a call; a key that an answered call lacks has no count."""
-    got = lookups.by_key(asked(spark, sf_dir, 50), GET, "https://works", "doi,cited_by_count", streams=8, pace=0.0)
+    """Fifty keys a call: the kept replies of all calls, read as records; a key that an answered call lacks has no count."""
+    requests = written(asked(spark, sf_dir, 50))
+    record = F.when(number() % 3 > 0, F.struct(F.concat(F.lit("https://doi.org/"), "doi_key").alias("doi"), number().alias("cited_by_count")))
+    replies = requests.groupBy("batch").agg(F.to_json(F.struct(F.collect_list(record).alias("results"))).alias("body")).withColumn("done", F.lit(True))
+    got = lookups.records(requests, replies)
     return got.select("doi_key", F.get_json_object("body", "$.cited_by_count").cast("long").alias("c"), "done")
 
 
 @query("""SELECT '10.1/' || doc_id AS doi_key, CASE WHEN doc_id % 4 > 0 THEN 2 * doc_id END::BIGINT AS c, TRUE AS done FROM documents""")
 def batch_post_lookup(spark, sf_dir):  # noqa: ANN001, ANN201
-    return lookups.counts_by_post(asked(spark, sf_dir, 500), POST, "https://counts", streams=8, pace=0.0)
+    """Five hundred keys a call: kept positional replies, read beside their requests."""
+    batches = written(lookups.batched_keys(asked(spark, sf_dir, 500)))
+    slot = F.transform("keys", lambda k: F.when(number(k) % 4 > 0, F.struct((2 * number(k)).alias("citationCount"))))
+    return lookups.slots(batches, batches.select("batch", F.lit(True).alias("done"), F.to_json(slot).alias("body")))
 
 
 @query("""SELECT r_name AS jkey, issn_ord, page_ord, item_ord, '10.1/' || issn || '-' || page_ord || '-' || item_ord AS doi FROM (SELECT r_name, unnest([0, 1]) AS issn_ord, r_regionkey FROM region), (SELECT unnest([0, 1]) AS page_ord), (SELECT unnest([0, 1, 2]) AS item_ord),
  LATERAL (SELECT CASE WHEN issn_ord = 0 THEN CAST(1000 + r_regionkey AS VARCHAR) ELSE CASE WHEN r_regionkey % 2 = 0 THEN '9' ELSE '2' END || r_regionkey END AS issn) WHERE NOT starts_with(issn, '9')""")
 def paged_pull(spark, sf_dir):  # noqa: ANN001, ANN201
-    """Pages of two ISSNs a journal through the data source; a second ISSN that fails is passed over."""
-    spark.dataSource.register(WorksSource)
-    r = table(spark, sf_dir, "region").orderBy("r_regionkey").collect()
-    plan = [[x.r_name, i, f"{1000 + x.r_regionkey}" if i == 0 else f"{'92'[x.r_regionkey % 2]}{x.r_regionkey}"] for x in r for i in (0, 1)]
-    raw = spark.read.format("quire_works").option("plan", json.dumps(plan)).option("transport", GET).option("pace", "0").load()
-    return raw.select("jkey", "issn_ord", "page_ord", "item_ord", F.get_json_object("body", "$.DOI").alias("doi"))
+    """Kept pages of two ISSNs a journal: a pull ends at its empty page; a second ISSN without a reply is passed over."""
+    r = F.col("r_regionkey").cast("string")
+    pulls = table(spark, sf_dir, "region").select(F.col("r_name").alias("jkey"), F.col("r_regionkey").alias("n"), F.explode(F.array(F.lit(0), F.lit(1))).alias("issn_ord"), F.concat(F.lit("100"), r).alias("i0"), F.concat(F.when(F.col("r_regionkey") % 2 == 0, "9").otherwise("2"), r).alias("i1"))
+    pages = pulls.select("jkey", "issn_ord", F.when(F.col("issn_ord") == 0, F.col("i0")).otherwise(F.col("i1")).alias("issn"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("page_ord"))
+    item = lambda i: F.struct(F.concat(F.lit("10.1/"), "issn", F.lit("-"), F.col("page_ord").cast("string"), F.lit("-"), i.cast("string")).alias("DOI"))
+    items = F.when(F.col("page_ord") == 2, F.array().cast("array<struct<DOI: string>>")).otherwise(F.transform(F.sequence(F.lit(0), F.lit(2)), item))
+    kept = pages.select("jkey", "issn_ord", "page_ord", (~F.col("issn").startswith("9")).alias("done"), F.to_json(F.struct(F.struct(items.alias("items")).alias("message"))).alias("body"))
+    return json_docs.page_items(kept).select("jkey", "issn_ord", "page_ord", "item_ord", F.get_json_object("body", "$.DOI").alias("doi"))
 
 
 @query("""SELECT n_name AS key, CASE WHEN n_nationkey % 5 = 0 THEN 'no ISSN' WHEN n_nationkey % 4 = 0 THEN 'no journal for ISSN ' || n_nationkey || ' (HTTP 404)' WHEN n_nationkey % 2 = 1 THEN 'title mismatch' END AS warning FROM nation""")
 def issn_check(spark, sf_dir):  # noqa: ANN001, ANN201
-    """Registered titles by first ISSN against the journals' names; warnings only."""
+    """Registered titles by first ISSN, from the registry's dump, against the journals' names; warnings only."""
     n = F.col("n_nationkey")
-    dims = table(spark, sf_dir, "nation").select(F.col("n_name").alias("key"), F.when(n % 2 == 0, F.concat(F.lit("Journal "), n.cast("string"))).otherwise("Elsewhere").alias("name"), F.when(n % 5 > 0, F.array(n.cast("string"))).otherwise(F.array().cast("array<string>")).alias("issns"), F.lit(False).alias("retired"))
-    return jobs.issn_check(dims, jobs.Services(GET, POST, pace=0.0), CONFIG).select("key", "warning")
+    nations = table(spark, sf_dir, "nation")
+    dims = nations.select(F.col("n_name").alias("key"), F.when(n % 2 == 0, F.concat(F.lit("Journal "), n.cast("string"))).otherwise("Elsewhere").alias("name"), F.when(n % 5 > 0, F.array(n.cast("string"))).otherwise(F.array().cast("array<string>")).alias("issns"), F.lit(False).alias("retired"))
+    registered = nations.where(n % 4 > 0).select(n.cast("string").alias("issn"), F.concat(F.lit("The Journal "), n.cast("string")).alias("title"))
+    return jobs.issn_check(dims, Dumps(works=nations, journals=registered), CONFIG).select("key", "warning")
 
 
 def searched_papers(spark, sf_dir):  # noqa: ANN001, ANN201
@@ -234,27 +246,71 @@ def searched_papers(spark, sf_dir):  # noqa: ANN001, ANN201
 FOUND = "CASE WHEN doc_id % 3 = 0 THEN 'https://papers.ssrn.com/sol3/papers.cfm?abstract_id=' || doc_id END"
 
 
+def open_hits(spark, sf_dir):  # noqa: ANN001, ANN201
+    """(doi_key, ord, hit): two hits of each title search. The first is by other people; the second, in capitals, matches
+    where it is there (documents divisible by 3)."""
+    k = F.col("doc_id")
+    p = table(spark, sf_dir, "documents").select(k, F.concat(F.lit("10.1/"), k).alias("doi_key"), F.concat(F.lit("Paper "), k, F.lit(" on the order of things")).alias("title"), F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (k % 3 + 1).cast("int")).alias("l"))
+    person = lambda name: F.array(F.struct(F.struct(name.alias("display_name")).alias("author")))
+    place = F.array(F.struct(F.lit("https://arxiv.org/abs/1").alias("landing_page_url")))
+    none = F.array().cast("array<struct<landing_page_url: string>>")
+    hit = lambda doi, title, year, who, places: F.struct(doi.alias("doi"), title.alias("title"), F.lit(year).alias("publication_year"), who.alias("authorships"), places.alias("locations"))
+    other = hit(F.lit(None).cast("string"), F.col("title"), 2020, person(F.lit("Zoe Quux")), place)
+    match = hit(F.concat(F.lit("10.2139/ssrn."), k), F.upper("title"), 2019, person(F.concat(F.lit("Ann L. Lee"), "l")), none)
+    return p.select("doi_key", k, F.posexplode(F.when(k % 3 == 0, F.array(other, match)).otherwise(F.array(other))).alias("ord", "hit"))
+
+
+def registry_works(spark, sf_dir):  # noqa: ANN001, ANN201
+    """(doi_key, work): the registry's work of each document divisible by 5; where by 10 it is many years too late."""
+    k = F.col("doc_id")
+    year = F.when(k % 10 == 0, 2035).otherwise(2020)
+    family = F.concat(F.lit("Lee"), F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (k % 3 + 1).cast("int")))
+    work = F.struct(F.concat(F.lit("10.2139/ssrn."), k).alias("DOI"), F.array(F.concat(F.lit("Paper "), k, F.lit(" on the order of things"))).alias("title"), F.array(F.struct(F.lit("Ann").alias("given"), family.alias("family"))).alias("author"), F.struct(F.array(F.array(year)).alias("date-parts")).alias("issued"))
+    return table(spark, sf_dir, "documents").where(k % 5 == 0).select(F.concat(F.lit("10.1/"), k).alias("doi_key"), k, work.alias("work"))
+
+
 @query("""SELECT '10.1/' || doc_id AS doi_key, 'https://papers.ssrn.com/sol3/papers.cfm?abstract_id=' || doc_id AS u, 'ssrn' AS s, 'exact' AS kind FROM documents WHERE doc_id % 3 = 0""")
 def title_search(spark, sf_dir):  # noqa: ANN001, ANN201
-    """The first hit of a search whose title, surnames and year agree; a hit by others is passed over. One shared name is
-    enough only where a list has no more."""
+    """Kept replies of a title search: the first hit whose title, surnames and year agree; a hit by others is passed over.
+    One shared name is enough only where a list has no more."""
     p = written(searched_papers(spark, sf_dir))
-    asked_ = rows.numbered_batches(p.select("doi_key", T.sanitised_query(F.col("title")).alias("query")), ["doi_key"], 200)
-    got = lookups.by_title(asked_, "open", GET, "https://works", streams=8, pace=0.0)
+    replies = open_hits(spark, sf_dir).groupBy("doi_key", "doc_id").agg(F.array_sort(F.collect_list(F.struct("ord", "hit"))).alias("h"))
+    replies = replies.select("doi_key", F.col("doc_id").alias("call"), F.to_json(F.struct(F.transform("h", lambda x: x["hit"]).alias("results"))).alias("body"))
+    got = lookups.hits(replies, replies.select(F.col("call").alias("batch"), F.lit(True).alias("done"), "body"), "open")
     hits = got.select("doi_key", F.posexplode("hits").alias("ord", "h")).select("doi_key", "ord", F.from_json("h", SEARCH_HIT).alias("hit"))
     return matching.match_hits(p, hits)
 
 
 @query("""SELECT '10.1/' || doc_id AS doi_key, 'https://papers.ssrn.com/sol3/papers.cfm?abstract_id=' || doc_id AS u, 'ssrn' AS s, 'exact' AS kind FROM documents WHERE doc_id % 5 = 0 AND doc_id % 10 <> 0""")
 def registry_search(spark, sf_dir):  # noqa: ANN001, ANN201
-    """The second engine: family names, links by DOI only, and a year after the paper's is too late."""
+    """Kept replies of the second engine: family names, links by DOI only, and a year after the paper's is too late."""
     p = written(searched_papers(spark, sf_dir))
-    asked_ = rows.numbered_batches(p.select("doi_key", T.sanitised_query(F.col("title")).alias("query")), ["doi_key"], 200)
-    got = lookups.by_title(asked_, "registry", GET, "https://registry", streams=8, pace=0.0)
-    works = got.select("doi_key", F.posexplode("hits").alias("ord", "h")).select("doi_key", "ord", F.from_json("h", jobs.WORK_HIT).alias("hit"))
+    replies = registry_works(spark, sf_dir).select("doi_key", F.col("doc_id").alias("call"), F.to_json(F.struct(F.struct(F.array("work").alias("items")).alias("message"))).alias("body"))
+    got = lookups.hits(replies, replies.select(F.col("call").alias("batch"), F.lit(True).alias("done"), "body"), "registry")
+    works = got.select("doi_key", F.posexplode("hits").alias("ord", "h")).select("doi_key", "ord", F.from_json("h", WORK_HIT).alias("hit"))
     return matching.match_works(p, works)
 
 
+LOW_L, LOW_R = "2010 + doc_id % 20", "2012 + doc_id % 7"
+
+
+@query(f"""WITH x AS (SELECT doc_id AS k, doc_id // 24 AS t, [chr((97 + doc_id % 5)::INTEGER), chr((102 + doc_id % 3)::INTEGER)] AS two, doc_id % 7 = 0 AS lone, {LOW_L} AS ly, {LOW_R} AS ry FROM documents),
+l AS (SELECT k, t, CASE WHEN lone THEN two[:1] ELSE two END AS n, ly AS y, k % 12 = 0 AS longer FROM x WHERE k % 2 = 0), r AS (SELECT k, t, CASE WHEN lone THEN two[:1] ELSE two END AS n, ry AS y FROM x WHERE k % 2 = 1),
+m AS (SELECT l.k, r.k AS w, l.longer FROM l JOIN r ON l.t = r.t WHERE len(list_intersect(l.n, r.n)) >= least(2, len(l.n), len(r.n)) AND r.y BETWEEN l.y - CASE WHEN l.longer THEN 6 ELSE 12 END AND l.y + 1)
+SELECT k AS id, min(w) AS work, CASE WHEN any_value(longer) THEN 'prefix' ELSE 'exact' END AS kind FROM m GROUP BY k""")
+def corpus_match(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Papers against a whole corpus of works: titles by their first characters (some papers have a subtitle more), surnames by
+    the rarer ones of each list, years in a window; of several works the first."""
+    k = F.col("doc_id")
+    letter = lambda a, n: F.concat(F.lit("Ann Lee"), F.chr((F.lit(a) + k % n).cast("int")))
+    two = F.array(letter(97, 5), letter(102, 3))
+    title = F.concat(F.lit("The order of things number "), F.floor(k / 24).cast("string"), F.lit(" explained"))
+    d = table(spark, sf_dir, "documents").select(k.alias("id"), title.alias("t"), F.when(k % 7 == 0, F.slice(two, 1, 1)).otherwise(two).alias("authors"), (k % 20 + 2010).cast("string").alias("ly"), (k % 7 + 2012).cast("string").alias("ry"))
+    papers = d.where("id % 2 = 0").select("id", F.when(F.col("id") % 12 == 0, F.concat("t", F.lit(": at length"))).otherwise(F.col("t")).alias("title"), F.col("ly").alias("year"), "authors")
+    works = d.where("id % 2 = 1").select("id", F.col("id").alias("ord"), F.upper("t").alias("title"), F.col("ry").alias("year"), "authors")
+    return matching.match_corpora(papers, works)
+
+
 @query("""SELECT page_id, len(u)::BIGINT AS n, array_to_string(u, ' ') AS urls FROM (SELECT page_id, list_filter(list_concat(list_concat([url, ''], h), [h[1], url]), lambda x: coalesce(x, '') <> '') AS u FROM (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]+)"', 1) AS h FROM pages))""")
 def candidate_urls(spark, sf_dir):  # noqa: ANN001, ANN201
     """A hit's addresses in order, from hits made of each page's links."""
@@ -339,6 +395,20 @@ def published_order(spark, sf_dir):  # noqa: ANN001, ANN201
     return placed.select("jkey", F.posexplode("a").alias("p", "x")).select("jkey", F.col("x.doi_key").alias("doi_key"), (F.col("p") + 1).cast("long").alias("place"))
 
 
+def dumps_of(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The services' dumps: a record of each document that is not divisible by 3, with its count and (odd ones) links; the
+    works that title searches find; counts of the second source; the registry's works."""
+    k = F.col("doc_id")
+    d = table(spark, sf_dir, "documents").select(k).distinct()
+    address = F.struct(F.concat(F.lit("https://papers.ssrn.com/x?id="), k).alias("landing_page_url"), F.concat(F.lit("https://arxiv.org/pdf/"), k, F.lit("v2.pdf")).alias("pdf_url"))
+    record = F.struct(F.concat(F.lit("https://doi.org/10.1/"), k).alias("doi"), k.alias("cited_by_count"), F.when(k % 2 == 1, F.array(address)).alias("locations"))
+    keyed = d.where(k % 3 > 0).select((3 * k).alias("ord"), F.to_json(record).alias("body"))
+    found = open_hits(spark, sf_dir).dropDuplicates(["doc_id", "ord"]).select((3 * k + 1 + F.col("ord")).alias("ord"), F.to_json("hit").alias("body"))
+    counts = d.where(k % 4 > 0).select(F.concat(F.lit("10.1/"), k).alias("doi_key"), (2 * k).alias("c"))
+    registered = registry_works(spark, sf_dir).dropDuplicates(["doc_id"]).select(k.alias("ord"), F.to_json("work").alias("body"))
+    return Dumps(written(keyed.unionByName(found)), counts, registered)
+
+
 def dois(spark, sf_dir):  # noqa: ANN001, ANN201
     """Papers without a count or link, one a document."""
     p = searched_papers(spark, sf_dir)
@@ -352,7 +422,7 @@ def citation_sweep(spark, sf_dir):  # noqa: ANN001, ANN201
     """The whole job: queue, two lookups, cache, papers rewritten, and what is still stale."""
     data = folder(spark)
     publish.write_papers(dois(spark, sf_dir), f"{data}/papers")
-    left = jobs.citation_sweep(spark, data, 20_000, CONFIG, jobs.Services(GET, POST, streams=8, pace=0.0)).first()
+    left = jobs.citation_sweep(spark, data, 20_000, CONFIG, dumps_of(spark, sf_dir)).first()
     return spark.read.parquet(f"{data}/papers").select("doi_key", "cited_by", "cited_src", F.lit(left.total).alias("total"), F.lit(left.stale).alias("stale"))
 
 
@@ -363,5 +433,5 @@ def preprint_backfill(spark, sf_dir):  # noqa: ANN001, ANN201
     data = folder(spark)
     publish.write_papers(dois(spark, sf_dir), f"{data}/papers")
     config = Config(search_cap=100_000)
-    left = jobs.preprint_backfill(spark, data, config, jobs.Services(GET, POST, streams=8, pace=0.0)).first()
+    left = jobs.preprint_backfill(spark, data, config, dumps_of(spark, sf_dir)).first()
     return spark.read.parquet(f"{data}/papers").select("doi_key", "preprint", "preprint_src", F.lit(left.backlog).alias("backlog"))

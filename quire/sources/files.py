@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,3 +40,28 @@ def remove(spark: SparkSession, path: str) -> None:
     """A folder with all it holds, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder, in order; none if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """A file of that name, whole from the moment it is there; False if there is one already."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{target.getParent()}/.{uuid.uuid4().hex}")
+    write_text(spark, draft.toString(), text)
+    done = not fs.exists(target) and fs.rename(draft, target)
+    if not done:
+        fs.delete(draft, False)
+    return done
+
+
+def set_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Sets when a file was last changed, where the store keeps such times."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(target, millis, -1)

@@ -118,6 +118,19 @@ def pulled_works(raw: DataFrame) -> DataFrame:
     return parsed.select("jkey", "ord", "work.*")
 
 
+def page_items(pages: DataFrame) -> DataFrame:
+    """Items (jkey, issn_ord, page_ord, item_ord, body) of pages (jkey, issn_ord, page_ord, done, body) kept from pulls by
+    ISSN. A pull ends at its first empty or unanswered page. Unanswered pages of a journal's first ISSN are an error,
+    of a later one they only end it."""
+    read = pages.withColumn("_items", F.when(F.col("done"), F.coalesce(F.from_json("body", "message struct<items: array<string>>")["message"]["items"], F.array().cast("array<string>"))))
+    ends = read.where("not done or size(_items) = 0").groupBy("jkey", "issn_ord").agg(F.min(F.struct("page_ord", "done")).alias("_end"))
+    joined = read.join(ends, ["jkey", "issn_ord"], "left")
+    broken = (F.col("issn_ord") == 0) & ~F.coalesce(F.col("_end.done"), F.lit(True))
+    checked = joined.withColumn("_items", F.when(broken, F.raise_error(F.concat(F.lit("no reply for the first ISSN of "), "jkey")).cast("array<string>")).otherwise(F.col("_items")))
+    kept = checked.where(F.col("page_ord") < F.coalesce("_end.page_ord", F.lit(1 << 30)))
+    return kept.select("jkey", "issn_ord", "page_ord", F.posexplode("_items").alias("item_ord", "body"))
+
+
 def positional_counts(spark: SparkSession, requested: list[str], reply: str) -> DataFrame:
     """A positional batch reply, one slot a requested key: (doi_key, answered count or null)."""
     row = spark.createDataFrame([(requested, reply)], "keys array<string>, reply string")

@@ -1,4 +1,4 @@
-"""An API that answers from the requests themselves: the transports of runs without a network.
+"""An API that answers from the requests themselves: the transports of the tests.
 
 Keys are 10.1/<n>. Which keys are known, their counts, links and titles follow from n, so every reply can be foretold.
 """

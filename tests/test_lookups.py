@@ -8,7 +8,7 @@ from quire.plans import jobs, publish
 from quire.sources import http, lookups
 from quire.sources.http import Breaker
 
-GET, POST = "quire.sources.offline:get", "quire.sources.offline:post"
+GET, POST = "tests.offline:get", "tests.offline:post"
 
 
 def down(url, timeout, payload=None):
