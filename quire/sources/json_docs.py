@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.schemas import CITATIONS, COUNTS, EDITORS, ENVELOPE, FIXUPS, JOURNAL, OVERRIDES, PREPRINTS, SUPPLEMENT, WORK
+from quire.sources import ranges
 
 
 def json_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -37,11 +38,21 @@ def journals(spark: SparkSession, path: str) -> DataFrame:
 
 def sidecar(spark: SparkSession, path: str, schema: str, key: str = "doi_key", place: bool = False) -> DataFrame:
     """An object of records by key as a table; a "map" member, if there is one, holds the records. place: with each
-    record's place in the file (pos)."""
-    text = whole_text(spark, path)
+    record's place in the file (pos).
+
+    A document in minified form is read by byte ranges, several tasks a file; others are read whole.
+    """
+    out = lambda df: df.select(F.lower("k").alias(key), *[F.col("pos").cast("long").alias("pos")] * place, "v.*")
     inner = F.coalesce(F.get_json_object("value", "$.map"), F.col("value"))
-    parsed = text.select(F.from_json(inner, f"map<string,struct<{schema}>>").alias("m"))
-    return parsed.select(F.posexplode("m").alias("pos", "k", "v")).select(F.lower("k").alias(key), *["pos"] * place, "v.*")
+    whole = lambda text: text.select(F.posexplode(F.from_json(inner, f"map<string,struct<{schema}>>")).alias("pos", "k", "v"))
+    ranged = ranges.members(spark, path, schema)
+    if ranged is None:
+        return out(whole(whole_text(spark, path)))
+    each, odd = ranged
+    if odd.isEmpty():
+        return out(each)
+    rest = whole_text(spark, path).select("value", F.col("_metadata.file_path").alias("file")).join(odd, "file", "left_semi")
+    return out(each.select("pos", "k", "v").unionByName(whole(rest)))
 
 
 def fixups(spark: SparkSession, path: str) -> DataFrame:
@@ -96,20 +107,22 @@ WORKS_FILE = r"^works-(.+?)(?:\.(\d+)\.(\d+))?\.json$"
 
 
 def works_folder(spark: SparkSession, folder: str, journals: DataFrame) -> DataFrame:
-    """Items of all pulls of a folder in one scan, a task a file; the file's name gives journal, ISSN and page. Pulls of
+    """Items of all pulls of a folder in one scan, a large file in several tasks; the file's name gives journal, ISSN and page. Pulls of
     several ISSNs are one list in their order. Files of other journals are left out."""
-    try:
-        text = spark.read.option("wholetext", True).option("pathGlobFilter", "works-*.json").text(folder).select("value", F.col("_metadata.file_name").alias("f"))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        text = spark.createDataFrame([], "value string, f string")
-    name = F.url_decode(F.col("f"))
+    ranged = ranges.items(spark, folder, WORK, "works-*.json")
+    if ranged is None:
+        return spark.createDataFrame([], f"jkey string, ord long, {WORK}")
+    items, odd = ranged
+    items = items.select("file", "pos", F.col("item").alias("work"))
+    if not odd.isEmpty():
+        text = spark.read.option("wholetext", True).option("pathGlobFilter", "works-*.json").text(folder).select("value", F.col("_metadata.file_path").alias("file"))
+        whole = text.join(odd, "file", "left_semi").select("file", F.posexplode(listed(F.col("value"))).alias("pos", "work"))
+        items = items.unionByName(whole.withColumn("pos", F.col("pos").cast("long")))
+    name = F.url_decode(F.regexp_extract("file", "[^/]*$", 0))
     number = lambda g: F.coalesce(F.regexp_extract(name, WORKS_FILE, g).try_cast("int"), F.lit(0))
-    filed = text.select("value", F.regexp_extract(name, WORKS_FILE, 1).alias("jkey"), number(2).alias("issn"), number(3).alias("page"))
+    filed = items.select(F.regexp_extract(name, WORKS_FILE, 1).alias("jkey"), number(2).alias("issn"), number(3).alias("page"), "pos", "work")
     held = filed.join(journals.select(F.col("key").alias("jkey")), "jkey", "left_semi")
-    items = held.select("jkey", "issn", "page", F.posexplode(listed(F.col("value"))).alias("pos", "work"))
-    return items.select("jkey", place_of(F.col("issn"), F.col("page"), F.col("pos")).alias("ord"), "work.*")
+    return held.select("jkey", place_of(F.col("issn"), F.col("page"), F.col("pos")).alias("ord"), "work.*")
 
 
 def pulled_works(raw: DataFrame) -> DataFrame:
