@@ -1,5 +1,5 @@
-"""Settings of a run. The pull date is given by the caller or the environment, never read from a clock, so runs repeat
-exactly; the default is that of the fixtures."""
+"""Settings of a run. The pull date is never read from a clock, so runs repeat exactly: it is the caller's or the
+environment's, else that of the fixtures."""
 
 from __future__ import annotations
 
@@ -29,7 +29,7 @@ class Config:
     search_seconds: float = 1500.0
     citation_flush: int = 100  # batches of 50 keys after which counts are saved
     search_flush: int = 200  # title searches after which links are saved
-    mock: bool = False
+    mock: bool = False  # a build from fixtures alone: the editors that other builds share are left out
 
     @property
     def pull_year(self) -> int:

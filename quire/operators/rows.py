@@ -132,3 +132,29 @@ def shrink_guard(fresh: DataFrame, committed: DataFrame, source: str, allow: boo
     shrunk = F.lit(False) if allow else (F.coalesce("_old", F.lit(0)) > 0) & (F.coalesce("_new", F.lit(0)) * 2 < F.col("_old"))
     back = counts.where(F.coalesce(shrunk, F.lit(False))).select(source)
     return fresh.join(back, source, "left_anti").unionByName(committed.join(back, source, "left_semi"))
+
+
+def changes(fresh: DataFrame, committed: DataFrame, source: str, key: str, compared: Sequence[str]) -> DataFrame:
+    """(source, key, change): added, gone, changed (a compared column differs) or same, for each key of either side. Of rows
+    of one key those with equal values are one; a key with several values differs unless both sides have the same ones."""
+    def valued(df: DataFrame, name: str) -> DataFrame:
+        value = F.xxhash64(*[F.coalesce(F.to_json(F.struct(c)), F.lit("")) for c in compared])
+        return df.select(source, key, value.alias("_v")).distinct().groupBy(source, key).agg(F.bit_xor("_v").alias(name))
+
+    both = valued(fresh, "_new").join(valued(committed, "_old"), [source, key], "full_outer")
+    change = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "gone").when(F.col("_new") != F.col("_old"), "changed").otherwise("same")
+    return both.select(source, key, change.alias("change"))
+
+
+def fallback(fresh: DataFrame, committed: DataFrame, source: str, key: str, compared: Sequence[str], allow: bool = False) -> tuple[DataFrame, DataFrame]:
+    """shrink_guard() with its reasons: the rows, and for each source how many rows either side has, how many keys
+    were added, are gone or have changed, and which side was kept (`kept`: fresh or committed)."""
+    sizes = [d.groupBy(source).agg(F.count("*").alias(c)) for d, c in ((fresh, "fresh"), (committed, "committed"))]
+    zero = F.lit(0).cast("long")
+    counts = changes(fresh, committed, source, key, compared).groupBy(source).agg(*[F.count_if(F.col("change") == c).alias(c) for c in ("added", "gone", "changed")])
+    told = sizes[0].join(sizes[1], source, "full_outer").join(counts, source, "left")
+    told = told.select(source, *[F.coalesce(c, zero).alias(c) for c in ("fresh", "committed", "added", "gone", "changed")])
+    shrunk = F.lit(False) if allow else (F.col("committed") > 0) & (F.col("fresh") * 2 < F.col("committed"))
+    told = told.withColumn("kept", F.when(shrunk, "committed").otherwise("fresh"))
+    back = told.where("kept = 'committed'").select(source)
+    return fresh.join(back, source, "left_anti").unionByName(committed.join(back, source, "left_semi")), told

@@ -3,7 +3,6 @@ reads, and returns what its readers, build and matching make of them."""
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -25,6 +24,26 @@ def folder(spark) -> str:  # noqa: ANN001
     return f"{shared_dir(spark)}/quire-docs-{uuid.uuid4().hex}"
 
 
+def document(value, path):  # noqa: ANN001, ANN201
+    """A table of one text (value) as a document: a folder of that name with one file, as Spark writes it."""
+    value.coalesce(1).write.mode("overwrite").text(path)
+
+
+def keyed_document(rows, key, record):  # noqa: ANN001, ANN201
+    """(value): an object of records by key, in the order of the keys."""
+    members = F.array_sort(F.collect_list(F.struct(key.alias("k"), record.alias("v"))))
+    return rows.groupBy().agg(F.to_json(F.map_from_entries(members), {"ignoreNullFields": "true"}).alias("value"))
+
+
+def reply(works, base, issn=None, bare=False):  # noqa: ANN001, ANN201
+    """Works (jkey, o, work) as the pulls of a folder, a file a journal (works-<jkey>.json, or with the ISSN's place and a page)."""
+    items = F.transform(F.array_sort(F.collect_list(F.struct("o", "work"))), lambda x: x["work"])
+    each = works.groupBy("jkey").agg(F.to_json(items if bare else F.struct(F.struct(items.alias("items")).alias("message"))).alias("value"))
+    for r in each.select("jkey").orderBy("jkey").collect():  # journals are a small dimension
+        document(each.where(F.col("jkey") == r.jkey).select("value"), f"{base}/.laid")
+        files.rename_only(each.sparkSession, f"{base}/.laid", f"{base}/works-{r.jkey}" + ("" if issn is None else f".{issn}.0") + ".json")
+
+
 def journals_of(spark, sf_dir):  # noqa: ANN001, ANN201
     """The sources as journals: some with editors, some with the two other roles, all of them local."""
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("key")).distinct()
@@ -118,21 +137,20 @@ NATION = "lower(n_name) AS doi_key"
 @query(f"""SELECT {NATION}, CAST(n_regionkey AS VARCHAR) AS volume, CASE WHEN n_nationkey % 2 = 0 THEN '7' ELSE '' END AS issue, CASE WHEN n_nationkey % 3 = 0 THEN '2001' END AS year FROM nation""")
 def sidecar_document(spark, sf_dir):  # noqa: ANN001, ANN201
     """A keyed JSON document (inside a "map" member) through the sidecar reader."""
-    n = table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()
-    doc = {"map": {r.n_name: {"volume": str(r.n_regionkey), "issue": "7" if r.n_nationkey % 2 == 0 else ""} | ({"year": "2001"} if r.n_nationkey % 3 == 0 else {}) for r in n}}
+    k = F.col("n_nationkey")
+    record = F.struct(F.col("n_regionkey").cast("string").alias("volume"), F.when(k % 2 == 0, "7").otherwise("").alias("issue"), F.when(k % 3 == 0, "2001").alias("year"))
     path = f"{folder(spark)}/fixups.json"
-    files.write_text(spark, path, json.dumps(doc))
+    inner = keyed_document(table(spark, sf_dir, "nation"), F.col("n_name"), record)
+    document(inner.select(F.concat(F.lit('{"map":'), "value", F.lit("}")).alias("value")), path)
     return json_docs.fixups(spark, path).select("doi_key", "volume", "issue", "year")
 
 
 @query("""SELECT n_name AS reg_key, CASE WHEN n_nationkey % 3 > 0 THEN DATE '2026-01-01' + n_nationkey END AS first_seen, FALSE AS first_run FROM nation""")
 def registry_state(spark, sf_dir):  # noqa: ANN001, ANN201
     """The registry document: dates, and blanks for what is known without one; a broken document is a first run."""
-    from datetime import date, timedelta
-
-    n = table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()
-    base = folder(spark)
-    files.write_text(spark, f"{base}/registry.json", json.dumps({r.n_name: str(date(2026, 1, 1) + timedelta(r.n_nationkey)) if r.n_nationkey % 3 else "" for r in n}))
+    base, k = folder(spark), F.col("n_nationkey").cast("int")
+    day = F.when(k % 3 > 0, F.date_add(F.lit("2026-01-01").cast("date"), k).cast("string")).otherwise("")
+    document(keyed_document(table(spark, sf_dir, "nation"), F.col("n_name"), day), f"{base}/registry.json")
     files.write_text(spark, f"{base}/broken.json", "{nope")
     known, first = json_docs.registry(spark, f"{base}/registry.json")
     _, broken = json_docs.registry(spark, f"{base}/broken.json")
@@ -143,10 +161,10 @@ def registry_state(spark, sf_dir):  # noqa: ANN001, ANN201
 UNION ALL SELECT 'lost', -1, '', FALSE, '' WHERE FALSE""")
 def journal_document(spark, sf_dir):  # noqa: ANN001, ANN201
     """The journal dimension from its document, active and held here; a missing document has no rows."""
-    r = table(spark, sf_dir, "region").orderBy("r_regionkey").collect()
-    base = folder(spark)
-    entries = [{"key": x.r_name, "name": f"The {x.r_name}", "retired": x.r_regionkey % 2 == 1} | ({"base": "https://elsewhere"} if x.r_regionkey == 2 else {}) for x in r]
-    files.write_text(spark, f"{base}/journals.json", json.dumps(entries))
+    base, k = folder(spark), F.col("r_regionkey")
+    entry = F.struct(F.col("r_name").alias("key"), F.concat(F.lit("The "), "r_name").alias("name"), (k % 2 == 1).alias("retired"), F.when(k == 2, "https://elsewhere").alias("base"))
+    listed = table(spark, sf_dir, "region").groupBy().agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), entry.alias("e")))).alias("a"))
+    document(listed.select(F.to_json(F.transform("a", lambda x: x["e"])).alias("value")), f"{base}/journals.json")
     dims = build.local(build.active(json_docs.journals(spark, f"{base}/journals.json"))).select("key", "src_ord", "name", "retired", "base")
     return dims.unionByName(json_docs.json_or_empty(spark, f"{base}/none.json", "key string, src_ord long, name string, retired boolean, base string"))
 
@@ -154,12 +172,12 @@ def journal_document(spark, sf_dir):  # noqa: ANN001, ANN201
 @query("""SELECT r_name AS jkey, string_agg('10.1/' || n_nationkey, ',' ORDER BY n_nationkey % 2, n_nationkey) AS dois, count(*)::BIGINT AS n FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey <> 1 GROUP BY r_name""")
 def pulled_documents(spark, sf_dir):  # noqa: ANN001, ANN201
     """Replies and bare arrays of several ISSNs of each journal, read in one scan; files of other journals are left out."""
-    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).orderBy("n_nationkey").collect()
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     base = folder(spark)
+    work = F.struct(F.concat(F.lit("10.1/"), "n_nationkey").alias("DOI"), F.array(F.lit("t")).alias("title"))
     for issn in (0, 1):
-        for key in sorted({r.r_name for r in n}):
-            items = [{"DOI": f"10.1/{r.n_nationkey}", "title": ["t"]} for r in n if r.r_name == key and r.n_nationkey % 2 == issn]
-            files.write_text(spark, f"{base}/works-{key}.{issn}.0.json", json.dumps(items if issn else {"message": {"items": items}}))
+        own = n.where(F.col("n_nationkey") % 2 == issn).select(F.col("r_name").alias("jkey"), F.col("n_nationkey").alias("o"), work.alias("work"))
+        reply(own, base, issn, bare=issn == 1)
     keys = table(spark, sf_dir, "region").where("r_regionkey <> 1").select(F.col("r_name").alias("key"))
     w = json_docs.works_folder(spark, base, keys)
     dois = F.transform(F.array_sort(F.collect_list(F.struct("ord", "DOI"))), lambda x: x["DOI"])
@@ -182,8 +200,11 @@ def manifest_scan(spark, sf_dir):  # noqa: ANN001, ANN201
 @query("""SELECT n_name AS doi_key, CASE WHEN n_nationkey % 3 > 0 THEN n_nationkey END::BIGINT AS c FROM nation""")
 def positional_zip(spark, sf_dir):  # noqa: ANN001, ANN201
     """A positional reply beside its request."""
-    n = table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()
-    return json_docs.positional_counts(spark, [r.n_name for r in n], json.dumps([{"citationCount": r.n_nationkey} if r.n_nationkey % 3 else None for r in n]))
+    k = F.col("n_nationkey")
+    requests = table(spark, sf_dir, "nation").groupBy(F.floor(k / 10).alias("batch")).agg(F.array_sort(F.collect_list(F.struct(k, "n_name"))).alias("a"))
+    slot = F.transform("a", lambda x: F.when(x["n_nationkey"] % 3 > 0, F.struct(x["n_nationkey"].alias("citationCount"))))
+    batches = requests.select("batch", F.transform("a", lambda x: x["n_name"]).alias("keys"), F.to_json(slot).alias("body"))
+    return lookups.slots(batches.select("batch", "keys"), batches.select("batch", F.lit(True).alias("done"), "body")).select("doi_key", "c")
 
 
 def asked(spark, sf_dir, size):  # noqa: ANN001, ANN201
@@ -311,6 +332,50 @@ def corpus_match(spark, sf_dir):  # noqa: ANN001, ANN201
     return matching.match_corpora(papers, works)
 
 
+@query("""SELECT source AS jkey, '10.1/' || doc_id AS doi_key, (2000 + doc_id % 20)::INTEGER AS year, n_chars::BIGINT AS c FROM documents QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY source) = 1""")
+def ranged_documents(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Each source's works in one reply and all counts in one keyed document, both read by byte ranges."""
+    k, base = F.col("doc_id"), folder(spark)
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars").groupBy("doc_id").agg(F.min_by(F.struct("source", "n_chars"), "source").alias("x")).select("doc_id", "x.*")
+    doi = F.concat(F.lit("10.1/"), k)
+    author = F.array(F.struct(F.lit("Ann },{").alias("given"), F.lit("Lee").alias("family")), F.struct(F.lit('Bo "},"').alias("given"), F.lit("Roe").alias("family")))
+    work = F.struct(doi.alias("DOI"), author.alias("author"), F.struct(F.array(F.array((k % 20 + 2000).cast("int"))).alias("date-parts")).alias("issued"))
+    reply(d.select(F.col("source").alias("jkey"), k.alias("o"), work.alias("work")), base)
+    document(keyed_document(d, doi, F.struct(F.col("n_chars").alias("c"), F.lit(1).alias("t"))), f"{base}/citations.json")
+    works = json_docs.works_folder(spark, base, d.select(F.col("source").alias("key")).distinct())
+    year = F.get(F.get("issued.date-parts", F.lit(0)), F.lit(0))
+    return works.select("jkey", F.col("DOI").alias("doi_key"), year.alias("year")).join(json_docs.citation_cache(spark, f"{base}/citations.json").select("doi_key", "c"), "doi_key", "left").select("jkey", "doi_key", "year", "c")
+
+
+FLAGS = "n % 2 = 0 AS editors, n % 3 = 0 AS se, n % 4 = 0 AS ae, n % 5 = 0 AS aia"
+
+
+@query(f"""WITH j AS (SELECT source, CAST(regexp_extract(source, '[0-9]+') AS BIGINT) AS n, count(*) AS c, min(CASE WHEN doc_id % 50 > 0 THEN 1950 + doc_id % 50 END) AS y FROM documents GROUP BY source), f AS (SELECT *, {FLAGS} FROM j)
+SELECT source AS key, CASE WHEN n % 7 = 3 THEN 'https://shard' END AS base, CASE WHEN n % 7 <> 3 THEN c END::BIGINT AS count, CASE WHEN n % 7 <> 3 THEN y END::BIGINT AS first_year,
+ CASE WHEN editors THEN TRUE END AS editors, CASE WHEN se THEN TRUE END AS se, CASE WHEN ae THEN TRUE END AS ae, CASE WHEN aia THEN TRUE END AS aia FROM f WHERE n <> 11""")
+def manifest_entries(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The manifest of journals with flags, of which some live in another shard (a base, no counts) and one is retired."""
+    n, none = F.regexp_extract("key", "[0-9]+", 0).cast("long"), F.lit(None)
+    more = {c: none.cast("string") for c in ("short", "publisher", "abs", "url")} | {c: none.cast("boolean") for c in ("limitedCoverage", "notFT")}
+    dims = journals_of(spark, sf_dir).withColumns(more | {"base": F.when(n % 7 == 3, "https://shard").when(n % 7 == 4, ""), "retired": n == 11})
+    papers = table(spark, sf_dir, "documents").select(F.col("source").alias("jkey"), F.when(F.col("doc_id") % 50 > 0, (F.col("doc_id") % 50 + 1950).cast("string")).otherwise("").alias("year"))
+    return publish.manifest(papers, dims).select("key", "base", "count", "first_year", "editors", F.col("seEditors").alias("se"), F.col("aeEditors").alias("ae"), "aia")
+
+
+@query("""WITH o AS (SELECT source, doc_id AS k, CAST(regexp_extract(source, '[0-9]+') AS BIGINT) AS n FROM documents), f AS (SELECT * FROM o WHERE NOT (n % 4 = 0 AND k % 3 > 0)),
+c AS (SELECT source, count(*) AS committed, any_value(n) AS n FROM o GROUP BY source), s AS (SELECT source, count(*) AS fresh, count(CASE WHEN k % 7 = 0 THEN 1 END) AS more, count(CASE WHEN k % 5 = 0 THEN 1 END) AS moved FROM f GROUP BY source)
+SELECT source, (coalesce(fresh, 0) + coalesce(more, 0))::BIGINT AS fresh, committed::BIGINT AS committed, coalesce(more, 0)::BIGINT AS added, (committed - coalesce(fresh, 0))::BIGINT AS gone, coalesce(moved, 0)::BIGINT AS changed,
+ CASE WHEN 2 * (coalesce(fresh, 0) + coalesce(more, 0)) < committed THEN 'committed' ELSE 'fresh' END AS kept, (CASE WHEN 2 * (coalesce(fresh, 0) + coalesce(more, 0)) < committed THEN committed ELSE coalesce(fresh, 0) + coalesce(more, 0) END)::BIGINT AS rows FROM c LEFT JOIN s USING (source)""")
+def fallback_provenance(spark, sf_dir):  # noqa: ANN001, ANN201
+    """A pull against what is committed: keys added, gone and changed in each source, and which side was kept."""
+    n = F.regexp_extract("source", "[0-9]+", 0).cast("long")
+    old = table(spark, sf_dir, "documents").select("source", "doc_id", F.col("doc_id").cast("string").alias("key"), F.lit("t").alias("title"))
+    new = old.where(~((n % 4 == 0) & (F.col("doc_id") % 3 > 0))).withColumn("title", F.when(F.col("doc_id") % 5 == 0, "T").otherwise("t"))
+    new = new.unionByName(new.where("doc_id % 7 = 0").withColumn("key", F.concat("key", F.lit("+"))))
+    kept, told = rows.fallback(new, old, "source", "key", ["title"])
+    return told.join(kept.groupBy("source").agg(F.count("*").alias("rows")), "source", "left")
+
+
 @query("""SELECT page_id, len(u)::BIGINT AS n, array_to_string(u, ' ') AS urls FROM (SELECT page_id, list_filter(list_concat(list_concat([url, ''], h), [h[1], url]), lambda x: coalesce(x, '') <> '') AS u FROM (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]+)"', 1) AS h FROM pages))""")
 def candidate_urls(spark, sf_dir):  # noqa: ANN001, ANN201
     """A hit's addresses in order, from hits made of each page's links."""

@@ -65,3 +65,11 @@ def set_time(spark: SparkSession, path: str, millis: int) -> None:
     """Sets when a file was last changed, where the store keeps such times."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(target, millis, -1)
+
+
+def rename_only(spark: SparkSession, folder: str, path: str) -> None:
+    """The only data file of a folder that Spark wrote becomes a file of that name; the folder goes."""
+    (name,) = [n for n in names(spark, folder) if n.startswith("part-")]
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{folder}/{name}", path))
+    source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target)
+    remove(spark, folder)

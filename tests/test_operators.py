@@ -85,3 +85,14 @@ def test_rows_are_pruned_and_filters_pushed(spark, sf_dir):
 
     plan = QUERIES["only_prune"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<source:string>" in plan and "PushedFilters: [In(source" in plan
+
+
+def test_fallback_tells_why(spark):
+    ddl = "source string, key string, title string"
+    old = spark.createDataFrame([("a", f"k{i}", "t") for i in range(4)] + [("b", f"k{i}", "t") for i in range(4)] + [("c", "k0", None), ("c", "k0", "x")], ddl)
+    new = spark.createDataFrame([("a", "k0", "t"), ("b", "k0", "T"), ("b", "k1", "t"), ("b", "new", "t"), ("c", "k0", "x"), ("c", "k0", None), ("d", "k", "t")], ddl)
+    kept, told = rows.fallback(new, old, "source", "key", ["title"])
+    got = {r.source: (r.fresh, r.committed, r.added, r.gone, r.changed, r.kept) for r in told.collect()}
+    assert got == {"a": (1, 4, 0, 3, 0, "committed"), "b": (3, 4, 1, 2, 1, "fresh"), "c": (2, 2, 0, 0, 0, "fresh"), "d": (1, 0, 1, 0, 0, "fresh")}
+    assert sorted(map(str, kept.collect())) == sorted(map(str, rows.shrink_guard(new, old, "source").collect()))
+    assert rows.fallback(new, old, "source", "key", ["title"], allow=True)[1].where("kept = 'committed'").count() == 0

@@ -60,3 +60,14 @@ def test_catalogue(spark, tmp_path):
     p = out["papers"].first()
     assert (p.doi_key, p.cited_by, p.cited_src, p.status) == ("10.1/x", 7, "s2", "Articles in Advance")
     assert out["meta"].first().per_source == {"a": 1} and out["recent"].count() == 1 and out["authors"].first().author == "Ann Lee" and out["affiliations"].count() == 0
+
+
+def test_a_mock_build_leaves_shared_editors_out(spark, tmp_path):
+    (tmp_path / "journals.json").write_text(json.dumps([{"key": "a", "name": "A", "seEditors": True}, {"key": "none", "name": "N"}]))
+    works = [{"DOI": f"10.1/{k}", "type": "journal-article", "title": [f"T {k}"], "issued": {"date-parts": [[2020]]}} for k in "xy"]
+    (tmp_path / "works-a.json").write_text(json.dumps(works))
+    (tmp_path / "editors.json").write_text(json.dumps({"10.1/x": {"se": "Shared Se"}}))
+    (tmp_path / "own-editors.json").write_text(json.dumps({"10.1/y": {"se": "Own Se"}}))
+    for config, want in ((CONFIG, {"10.1/x": "Shared Se", "10.1/y": "Own Se"}), (Config.from_env({"QUIRE_MOCK": "1"}), {"10.1/x": "", "10.1/y": "Own Se"})):
+        got = {p.doi_key: p.senior_editor or "" for p in catalogue(spark, str(tmp_path), config)["papers"].collect()}
+        assert got == want
