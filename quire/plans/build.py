@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.config import Config
 from quire.functions import text as T
+from quire.functions.schemas import PAPER_COLUMNS
 from quire.operators import entities, registry, rows
 from quire.operators.rows import overlay, shrink_guard
 
@@ -79,6 +80,15 @@ def with_fallback(fresh: DataFrame, committed: DataFrame, config: Config) -> Dat
     return shrink_guard(fresh, committed, "jkey", config.allow_shrink)
 
 
+def fallback_reasons(fresh: DataFrame, committed: DataFrame, config: Config) -> DataFrame:
+    """For each source that was asked for: papers of the pull and committed ones, keys added, gone and changed, and which
+    side with_fallback() keeps. Papers are keyed as in the registry."""
+    asked = F.col("jkey").isin(*config.only) if config.only else F.lit(True)
+    keyed = [d.where(asked).withColumn("_key", T.reg_key(F.col("doi_key"), F.col("title"), F.col("year"))) for d in (fresh, committed)]
+    compared = [c for c in PAPER_COLUMNS if c not in ("jkey", "src_ord", "ord", "cited_by", "cited_src", "preprint", "preprint_src")]
+    return rows.fallback(*keyed, "jkey", "_key", compared, config.allow_shrink)[1]
+
+
 def apply_editors(papers: DataFrame, shared: DataFrame, own: DataFrame | None, journals: DataFrame) -> DataFrame:
     """Cached editors where the text had none, for journals that have the role; an own record hides a shared one."""
     cache = rows.overlay_all(shared, own, "doi_key") if own is not None else shared

@@ -12,7 +12,7 @@ from quire.sources.shared import written
 
 
 def catalogue(spark: SparkSession, landing: str, config: Config, committed: DataFrame | None = None) -> dict[str, DataFrame]:
-    """papers, registry, authors, affiliations, recent, manifest and meta from a landing folder.
+    """papers, registry, authors, affiliations, recent, manifest, meta and the reasons of the fallback from a landing folder.
 
     The folder holds journals.json, works-<key>.json for each journal (or works-<key>.<issn>.<page>.json, a file a page)
     and, if there are any, fixups.json, overrides.json, editors.json, own-editors.json, supplement.json, preprints.json,
@@ -25,7 +25,9 @@ def catalogue(spark: SparkSession, landing: str, config: Config, committed: Data
     works = json_docs.works_folder(spark, landing, scope)
     base = committed if committed is not None else spark.createDataFrame([], PAPER)
     fresh = build.map_journals(works, scope, config, fixups=json_docs.fixups(spark, f"{landing}/fixups.json"), overrides=json_docs.overrides(spark, f"{landing}/overrides.json"))
-    papers = build.with_fallback(fresh.select(*PAPER_COLUMNS), base.select(*PAPER_COLUMNS), config)
+    fresh, base = written(fresh.select(*PAPER_COLUMNS)), base.select(*PAPER_COLUMNS)
+    reasons = build.fallback_reasons(fresh, base, config)
+    papers = build.with_fallback(fresh, base, config)
     shared, own = (json_docs.editors_cache(spark, f"{landing}/{name}.json") for name in ("editors", "own-editors"))
     shared = shared.limit(0) if config.mock else shared
     papers = build.apply_editors(papers, shared, own, dims)
@@ -38,4 +40,5 @@ def catalogue(spark: SparkSession, landing: str, config: Config, committed: Data
     return {
         "papers": papers, "registry": registry, "authors": build.authors(papers, config), "affiliations": build.affiliations(papers, config),
         "recent": build.recent_papers(papers, registry, config), "manifest": publish.manifest(papers, dims), "meta": publish.meta(papers, dims, config.pull_date),
+        "fallback": reasons,
     }

@@ -59,6 +59,7 @@ def test_catalogue(spark, tmp_path):
     out = catalogue(spark, str(tmp_path), CONFIG)
     p = out["papers"].first()
     assert (p.doi_key, p.cited_by, p.cited_src, p.status) == ("10.1/x", 7, "s2", "Articles in Advance")
+    assert [tuple(r) for r in out["fallback"].collect()] == [("a", 1, 0, 1, 0, 0, "fresh")]
     assert out["meta"].first().per_source == {"a": 1} and out["recent"].count() == 1 and out["authors"].first().author == "Ann Lee" and out["affiliations"].count() == 0
 
 
