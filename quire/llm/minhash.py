@@ -181,3 +181,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(documents(spark, sf_dir))
+
+
+def minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class, links and group by bands of the signatures, verified."""
+    return near_duplicates(documents(spark, sf_dir))

@@ -9,7 +9,7 @@ from quire.sources.shipping import shipped
 
 
 def queries() -> dict[str, Callable]:
-    ops = (toxicity.op1_toxicity, decontamination.op2_decontamination, suffix_dedup.op3_suffix_array_dedup, substring_dedup.op4_substring_dedup, ngram_jaccard.op5_ngram_jaccard, sharding.op6_sharding, minhash.op7_minhash, license_scan.op8_license_scan, secret_scan.op9_secret_scan, bpe.op10_bpe, divergence.op11_divergence, pieces.op12_sentencepiece, hard_negatives.op13_hard_negatives)
+    ops = (toxicity.op1_toxicity, decontamination.op2_decontamination, suffix_dedup.op3_suffix_array_dedup, substring_dedup.op4_substring_dedup, ngram_jaccard.op5_ngram_jaccard, sharding.op6_sharding, minhash.op7_minhash, minhash.minhash_near_duplicates, license_scan.op8_license_scan, secret_scan.op9_secret_scan, bpe.op10_bpe, divergence.op11_divergence, pieces.op12_sentencepiece, hard_negatives.op13_hard_negatives)
     return {f.__name__: shipped(f) for f in ops}
 
 

@@ -180,13 +180,18 @@ def held_out(id_col: str) -> Column:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """text and y of at most SAMPLE training rows of the labels; their ids (bounded) are broadcast."""
-    train = labels.where(~held_out(id_col)).where(F.col("toxic").isin(0, 1)).select(id_col, F.col("toxic").alias("y")).dropDuplicates([id_col])
+    """text and y of at most SAMPLE training rows of the labels; their ids (bounded) are broadcast.
+
+    Of labels that differ for an id the greater counts; of documents that share an id one is read, that of the least hash.
+    """
+    train = labels.where(~held_out(id_col)).where(F.col("toxic").isin(0, 1)).groupBy(id_col).agg(F.max("toxic").alias("y"))
     picked = None
     for y in (0, 1):
         some = train.where(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE[y])
         picked = some if picked is None else picked.unionByName(some)
-    return written(docs.select(id_col, text_col).join(F.broadcast(picked), id_col).select(F.col(text_col).alias("text"), "y"))
+    texts = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(picked), id_col)
+    one = F.min_by(F.struct("text", "y"), F.struct(F.xxhash64("text"), "text")).alias("r")
+    return written(texts.groupBy(id_col).agg(one).select("r.text", "r.y"))
 
 
 def after_intent(tokens: list[str]) -> set[str]:

@@ -203,6 +203,17 @@ def test_toxicity_learns(spark, tmp_path):
     assert all(0 <= r.score <= 1 for r in got.values()) and got[1000].score == got[1001].score < 0.5
 
 
+def test_toxicity_samples_a_row_an_id(spark):
+    """Shared ids and labels that differ: one row an id, with the greater label, whatever the partitions."""
+    ids = [d for d in range(60) if zlib.crc32(str(d).encode()) % 5]
+    hot = ids[0]
+    docs = spark.createDataFrame([(d, f"text {d}") for d in ids] + [(hot, f"other {k}") for k in range(500)] + [(None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, 1, d % 2) for d in ids] + [(hot, 0, 0), (hot, 0, 1), (hot, 1, 1), (ids[2], 1, None), (ids[3], 1, 7), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    got = [sorted((r.text, r.y) for r in toxicity.sampled(docs.repartition(n), labels.repartition(n), "doc_id", "text").collect()) for n in (1, 7)]
+    assert got[0] == got[1] and len(got[0]) == len(ids)
+    assert [y for t, y in got[0] if t.startswith("other") or t == f"text {hot}"] == [1]
+
+
 def test_grammar_turns_matches():
     lex = toxicity.Lexicon({})
     weight = [toxicity.features(t, lex)[1] for t in ("you are an idiot", "an idiot", "he is not an idiot", 'they said "idiot"', "the table")]
