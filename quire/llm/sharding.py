@@ -6,7 +6,7 @@ at most EXACT + 50 * FINE entries (60,000) go to the driver whatever the corpus,
 in FINE of what its larger groups hold. Entries go in by decreasing size, each group into the bin with the tightest remaining
 capacity that still holds it; an AVL tree ordered by (remaining, bin) finds that bin in O(log bins). Rows are then
 numbered and joined to the packed runs without any single-task step; the rows of one huge group of copies are small
-(no text) and are split by the adaptive skew join.
+(no text) and are split by the adaptive skew join, and rows that are equal in all columns go as one with their number.
 
 Nulls count as empty texts; empty texts form one group; ties in size are numbered by the group's digest, so the
 result does not depend on the order or partitioning of the input. Repeated rows share their text's shard. An
@@ -15,7 +15,7 @@ empty table gives no rows. Extra columns are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,8 +175,16 @@ def pack(docs: DataFrame, shards: int = 40, capacity: int | None = None, id_col:
     parts = partitions(spark)
     ranked = running_index(groups, ["gsize"], ["group"], "rank", "group", parts)
     placed = ranked.join(runs, "gsize").select("group", F.filter("runs", lambda x: x["upto"] > F.col("rank"))[0]["shard"].alias("shard"))
-    out = rows.join(placed, "group").withColumn("_tie", F.struct(id_col, "text_crc32", "size"))
-    return running_index(out, ["shard"], [id_col, "text_crc32", "size"], "slot", "_tie", parts).drop("_tie")
+    # equal rows are one row with a number until the end, so that no task gathers them
+    same = rows.groupBy(*rows.columns).agg(F.count("*").alias("_same"))
+    out = same.join(placed, "group").withColumn("_cell", F.pmod(F.xxhash64(F.struct(id_col, "text_crc32", "size")), F.lit(parts)).cast("int"))
+    cells = out.groupBy("shard", "_cell").agg(F.sum("_same").alias("_n"))
+    before = Window.partitionBy("shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select("shard", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    own = Window.partitionBy("shard", "_cell").orderBy(id_col, "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed_rows = out.withColumn("_at", F.coalesce(F.sum("_same").over(own), F.lit(0))).join(offsets, ["shard", "_cell"])
+    first = F.col("_off") + F.col("_at")
+    return placed_rows.select(*rows.columns, "shard", F.explode(F.sequence(first, first + F.col("_same") - 1)).alias("slot"))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,3 +53,16 @@ def test_entries_of_large_sizes_stay_close(spark):
     got = sharding.pack(spark.createDataFrame(data, "doc_id long, text string"), shards=5).groupBy("shard").sum("size").collect()
     loads = [r["sum(size)"] for r in got]
     assert len(loads) == 5 and max(loads) - min(loads) < 0.002 * max(loads)
+
+
+def test_thousands_of_equal_rows(spark):
+    """Equal rows, copies under other ids and rows without an id: every row has a slot of its own, however it is dealt."""
+    ship(spark)
+    data = [(7, "same text")] * 5000 + [(None, "same text")] * 300 + [(k, "same text") for k in range(100, 400)] + [(k, f"text {k % 90}") for k in range(500)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = [sorted(str((r.doc_id, r.text_crc32, r.size, r.shard, r.slot)) for r in sharding.pack(docs.repartition(n), shards=4).collect()) for n in (1, 7)]
+    assert got[0] == got[1] and len(got[0]) == len(data)
+    slots: dict[int, list] = {}
+    for r in sharding.pack(docs, shards=4).collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 4
