@@ -20,6 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.schemas import PAPER
 from quire.plans import publish
 from quire.sources import files
 
@@ -101,10 +102,10 @@ class Publication:
 
     def papers(self) -> DataFrame:
         """The papers of the newest commit, whether or not their folder is up to date."""
-        now = self.spark.read.parquet(f"{self.data}/papers")
+        now = self.spark.read.schema(PAPER).parquet(f"{self.data}/papers")
         if not (staged := self.state["staged"]):
             return now
-        fresh = self.spark.read.schema(now.schema).parquet(f"{self.data}/{staged['folder']}")
+        fresh = self.spark.read.schema(PAPER).parquet(f"{self.data}/{staged['folder']}")
         return now.where(~F.col("jkey").isin(staged["journals"])).unionByName(fresh)
 
     def publish(self, papers: DataFrame, changed: DataFrame) -> None:
@@ -120,8 +121,7 @@ class Publication:
         """Brings the papers' folder up to the commit, also for a run that ended before it could, and clears away what no
         recent commit names."""
         if staged := self.state["staged"]:
-            schema = self.spark.read.parquet(f"{self.data}/papers").schema
-            publish.write_papers(self.spark.read.schema(schema).parquet(f"{self.data}/{staged['folder']}"), f"{self.data}/papers")
+            publish.write_papers(self.spark.read.schema(PAPER).parquet(f"{self.data}/{staged['folder']}"), f"{self.data}/papers")
             self._commit(staged=None)
         recent = self._commits()[-KEPT:]
         named = {folder for n in recent for parts in self._read(n)["caches"].values() for folder, _ in parts}
