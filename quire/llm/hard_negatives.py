@@ -220,7 +220,9 @@ def negatives_of(x: np.ndarray, labels: np.ndarray, anchor: np.ndarray, low_end:
 
 def shared_tree(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Component and median of each inner node (heap order) of the upper levels, from at most SAMPLE rows."""
-    few = rows.select("q").orderBy(F.xxhash64("q", "uid")).limit(SAMPLE).toArrow()
+    mark = F.xxhash64("q", "uid")
+    some = rows.where(F.pmod(mark, F.lit(max(1, rows.count() // (8 * SAMPLE)))) == 0)  # so that few rows are ranked
+    few = some.select("q").orderBy(mark).limit(SAMPLE).toArrow()
     x = matrix(few["q"])
     wide, at = np.zeros((1 << DEPTH) - 1, np.int64), np.zeros((1 << DEPTH) - 1, np.int64)
     groups = [x]
