@@ -340,3 +340,13 @@ def text_prefix(x: Column, most: int = 4000) -> Column:
 
 def positive(x: Column) -> Column:
     return F.when(x > 0, x)
+
+
+def epoch_day(moment: Column) -> Column:
+    """Whole days since 1970-01-01 (UTC) at a moment; before that day rounded down. The clock of caches and queues."""
+    return F.floor(F.unix_millis(moment.cast("timestamp")) / F.lit(86_400_000)).cast("int")
+
+
+def retry_wait(attempt: Column, retry_after: Column) -> Column:
+    """Seconds to wait before the next try, as sources.http.wait_seconds() has them for a task."""
+    return F.greatest(F.coalesce(retry_after, F.lit(0.0)).cast("double"), F.least(5.0 * F.pow(F.lit(2.0), attempt - 1), F.lit(60.0)))

@@ -100,3 +100,13 @@ def text_prefix(spark, sf_dir):  # noqa: ANN001, ANN201
 @query("""SELECT event_id, CASE WHEN value > 0 THEN value END AS value FROM events""")
 def positive_count(spark, sf_dir):  # noqa: ANN001, ANN201
     return table(spark, sf_dir, "events").select("event_id", T.positive(F.col("value")).alias("value"))
+
+
+@query("""SELECT event_id, floor(epoch_ms(ts) / 86400000)::INTEGER AS day, floor(epoch_ms(ts) / 86400000)::INTEGER > 19800 - 2 AS fresh,
+ greatest(CASE WHEN event_id % 3 = 0 THEN user_id::DOUBLE ELSE 0 END, least(5 * pow(2, event_id % 7), 60))::DOUBLE AS wait FROM events""")
+def clocks(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Epoch days, whether a check of that day is still fresh, and waits between tries."""
+    e = table(spark, sf_dir, "events")
+    after = F.when(F.col("event_id") % 3 == 0, F.col("user_id").cast("double"))
+    day = T.epoch_day(F.col("ts"))
+    return e.select("event_id", day.alias("day"), (day > 19800 - 2).alias("fresh"), T.retry_wait(F.col("event_id") % 7 + 1, after).alias("wait"))

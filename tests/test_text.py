@@ -53,3 +53,13 @@ def test_vectors(spark):
 @pytest.mark.parametrize("name,good", [("Jo Lee", True), ("jo lee", False), ("The Board", False), ("A" * 71, False), ("", False)])
 def test_plausible_editor(spark, name, good):
     assert value(spark, T.plausible_editor(S(name))) is good
+
+
+def test_clocks(spark):
+    from quire.sources.http import wait_seconds
+
+    rows = [(n, after) for n in range(1, 9) for after in (0.0, 7.0, 300.0)]
+    got = spark.createDataFrame(rows, "n int, after double").select("n", "after", T.retry_wait(F.col("n"), F.col("after")).alias("w")).collect()
+    assert all(r.w == wait_seconds(r.n, r.after) for r in got)
+    days = spark.sql("SELECT explode(array(timestamp'1970-01-01 23:59:59.999', timestamp'1970-01-02', timestamp'1969-12-31 23:00:00', timestamp'2026-07-23 12:00:00')) AS t")
+    assert [r.d for r in days.select(T.epoch_day(F.col("t")).alias("d")).collect()] == [0, 1, -1, 20657]
