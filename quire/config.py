@@ -23,8 +23,8 @@ class Config:
     min_age_days: int = 2
     search_version: int = 3
     search_first_year: int = 1991
-    search_cap: int = 6000
-    citation_cap: int = 500_000
+    search_cap: int | None = 6000  # calls of a run; None: as many as are due
+    citation_cap: int | None = 500_000
     citation_seconds: float = 2700.0
     search_seconds: float = 1500.0
     citation_flush: int = 100  # batches of 50 keys after which counts are saved

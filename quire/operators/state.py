@@ -9,18 +9,19 @@ from quire.functions.text import or_blank, prefix_int
 from quire.operators.rows import distinct_first
 
 
-def ttl_queue(papers: DataFrame, cache: DataFrame, key: str, t: str, order: str, today: int, min_age_days: int, cap: int) -> DataFrame:
-    """Different keys that are not fresh (checked within min_age_days), never-checked ones first, then the oldest."""
+def ttl_queue(papers: DataFrame, cache: DataFrame, key: str, t: str, order: str, today: int, min_age_days: int, cap: int | None) -> DataFrame:
+    """Different keys that are not fresh (checked within min_age_days), never-checked ones first, then the oldest. Without a
+    cap all of them, in no order."""
     due = distinct_first(papers, key, order).join(cache.select(key, t), key, "left").where(F.coalesce(F.col(t) <= today - min_age_days, F.lit(True)))
-    return due.orderBy(F.coalesce(t, F.lit(0)), order, key).limit(cap)
+    return due if cap is None else due.orderBy(F.coalesce(t, F.lit(0)), order, key).limit(cap)
 
 
-def search_queue(papers: DataFrame, cache: DataFrame, key: str, year: str, none: str, version: str, current: int, first_year: int, cap: int) -> DataFrame:
+def search_queue(papers: DataFrame, cache: DataFrame, key: str, year: str, none: str, version: str, current: int, first_year: int, cap: int | None) -> DataFrame:
     """Papers whose key is cached as not found and was not searched under the current version; unsearched ones first,
-    newer years first."""
+    newer years first. Without a cap all of them, in no order."""
     due = papers.join(cache.where(F.coalesce(F.col(none), F.lit(False))).select(key, version), key)
     due = due.where((F.coalesce(version, F.lit(0)) < current) & (prefix_int(F.col(year)) >= first_year))
-    return due.orderBy(F.coalesce(version, F.lit(0)) != 0, prefix_int(F.col(year)).desc(), key).limit(cap)
+    return due if cap is None else due.orderBy(F.coalesce(version, F.lit(0)) != 0, prefix_int(F.col(year)).desc(), key).limit(cap)
 
 
 def counted(oa: Column, s2: Column, oa_done: Column, s2_done: Column, previous: Column, previous_s2: Column | None = None) -> Column:

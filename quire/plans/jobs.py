@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +96,11 @@ def due_batches(requests: DataFrame, size: int) -> DataFrame:
     return written(rows.numbered_batches(requests, ["doi_key"], size))
 
 
+def spared(config: Config, services: Services | Dumps) -> Config:
+    """The settings without the caps where a dump answers: those spare the services calls, and a dump has none."""
+    return replace(config, citation_cap=None, search_cap=None) if isinstance(services, Dumps) else config
+
+
 def drained(spark: SparkSession, pub: Publication, name: str, requests: Callable[[], DataFrame], unit: int, services: Services | Dumps, work: Callable[[DataFrame], DataFrame | None], cache: str) -> None:
     """Each unit's rows go into the cache as soon as it has them; work() returns None to end the run before a unit. A dump
     answers all at once."""
@@ -118,6 +123,7 @@ def drained(spark: SparkSession, pub: Publication, name: str, requests: Callable
 
 def citation_sweep(spark: SparkSession, data: str, today: int, config: Config, services: Services | Dumps, apply_only: bool = False, merge: DataFrame | None = None) -> DataFrame:
     """Counts from two services into the cache and the papers. Returns one row: different keys, and those still stale."""
+    config = spared(config, services)
     pub = Publication(spark, data)
     pub.settle()
     papers = written(pub.papers())

@@ -227,3 +227,14 @@ def test_corpus_against_corpus(spark):
 def test_new_files_are_whole(spark, tmp_path):
     assert files.write_new(spark, f"{tmp_path}/a", "1") and not files.write_new(spark, f"{tmp_path}/a", "2")
     assert (tmp_path / "a").read_text() == "1" and files.names(spark, str(tmp_path)) == ["a"]
+
+
+def test_caps_do_not_cut_what_a_dump_answers(spark, tmp_path):
+    """Caps spare a service its calls; a dump answers whatever is due."""
+    data, config = str(tmp_path), Config(citation_cap=3, search_cap=2)
+    laid(spark, data, 12)
+    record = lambda k, **more: (k, json.dumps({"doi": f"https://doi.org/10.1/{k}", "cited_by_count": k} | more))
+    works = spark.createDataFrame([record(k) for k in range(1, 13)], "ord long, body string")
+    dumps = Dumps(works, spark.createDataFrame([], "doi_key string, c long"), spark.createDataFrame([], "ord long, body string"))
+    assert tuple(jobs.citation_sweep(spark, data, 100, config, dumps).first()) == (12, 0)
+    assert spark.read.parquet(f"{data}/papers").where("cited_by > 0").count() == 12
