@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import PREFIX_LENGTH, journal_norm, match_norm, pick_preprint, preprint_from_doi, surnames, titles_match
+from quire.sources.shared import written
+
+CELL = 1000  # rows of either side that meet in one group when equal titles are paired
+PAIRS = 10_000_000  # pairs that a task makes, about
 
 
 def enough_shared(mine: Column, theirs: Column) -> Column:
@@ -54,18 +58,52 @@ def match_works(papers: DataFrame, hits: DataFrame, key: str = "doi_key") -> Dat
     return ready.where(ok).groupBy(key).agg(F.min_by(F.struct("_l.u", "_l.s", "kind"), "ord").alias("r")).select(key, "r.*")
 
 
+def begins(longer: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(t, p): for each different title of `longer` (t, block) those of `shorter` that it goes on from, as a prefix match.
+
+    Only beginnings of a length that a title of the same block has on the other side are formed, and those meet whole titles by
+    an equal-join. So a block that very many titles share is not compared pair by pair, and a title has fewer rows than characters.
+    """
+    held = shorter.select("t", "block").distinct().where(F.char_length("t") >= PREFIX_LENGTH)
+    lengths = held.groupBy("block").agg(F.collect_set(F.char_length("t")).alias("_n"))
+    each = longer.select("t", "block").distinct().join(lengths, "block")
+    each = each.select("t", F.explode(F.filter("_n", lambda n: n < F.char_length("t"))).alias("_k"))
+    met = each.select("t", F.substring("t", F.lit(1), F.col("_k")).alias("p")).join(held.select(F.col("t").alias("p")), "p")
+    return met.where(titles_match(F.col("t"), F.col("p")) == "prefix").select("t", "p")
+
+
 def match_titles(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs (l_id, r_id, kind) of two corpora (id, title) whose titles match.
 
-    Exact and prefix matches of PREFIX_LENGTH or more share their first PREFIX_LENGTH characters; shorter titles can only
-    match exactly, and their block is the whole title. So an equi-join on the block loses nothing.
+    Different titles are matched first, each once: equal ones, and those that begin with another (see begins()). The rows of a
+    pair of titles then meet in cells of about CELL rows of either side, so a title that very many rows have is dealt over
+    many groups, and the tasks grow in number with the pairs.
     """
-    def blocked(df: DataFrame, p: str) -> DataFrame:
+    def held(df: DataFrame) -> DataFrame:
         t = match_norm(F.col("title"))
-        return df.select(F.col("id").alias(f"{p}_id"), t.alias(f"{p}_t"), F.substring(t, 1, PREFIX_LENGTH).alias("block")).where("block <> ''")
-
-    kind = titles_match(F.col("l_t"), F.col("r_t"))
-    return blocked(left, "l").join(blocked(right, "r"), "block").withColumn("kind", kind).where("kind <> ''").select("l_id", "r_id", "kind")
+        return written(df.select("id", t.alias("t"), F.substring(t, 1, PREFIX_LENGTH).alias("block")).where("block <> ''"))
+
+    rows = {"l": held(left), "r": held(right)}
+    each = {p: df.groupBy("t", "block").agg(F.count("*").alias("n")) for p, df in rows.items()}
+    same = each["l"].select(F.col("t").alias("l_t")).join(each["r"].select(F.col("t").alias("r_t")), F.col("l_t") == F.col("r_t")).select("l_t", "r_t", F.lit("exact").alias("kind"))
+    on = begins(each["l"], each["r"]).select(F.col("t").alias("l_t"), F.col("p").alias("r_t"), F.lit("prefix").alias("kind"))
+    back = begins(each["r"], each["l"]).select(F.col("p").alias("l_t"), F.col("t").alias("r_t"), F.lit("prefix").alias("kind"))
+    pairs = same.unionByName(on).unionByName(back)
+    for p in ("l", "r"):
+        pairs = pairs.join(each[p].select(F.col("t").alias(f"{p}_t"), F.col("n").alias(f"{p}_n")), f"{p}_t")
+    pairs = written(pairs.withColumn("pair", F.monotonically_increasing_id()))
+    total = pairs.agg(F.sum(F.col("l_n") * F.col("r_n"))).first()[0] or 0
+    parts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // PAIRS))
+
+    def celled(p: str, other: str) -> DataFrame:
+        """The rows of a side, each in its own row of cells of every pair its title is in."""
+        own = pairs.select("pair", F.col(f"{p}_t").alias("t"), *[F.ceil(F.col(f"{x}_n") / CELL).alias(f"_{x}") for x in ("l", "r")], *(["kind"] if p == "l" else []))
+        met = rows[p].select(F.col("id").alias(f"{p}_id"), "t").join(own, "t").drop("t")
+        place = F.pmod(F.xxhash64(f"{p}_id"), f"_{p}").alias(f"{p}_cell")
+        met = met.select("*", place, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_{other}") - 1)).alias(f"{other}_cell")).drop("_l", "_r")
+        return met.repartition(parts, "pair", "l_cell", "r_cell")
+
+    return celled("l", "r").join(celled("r", "l"), ["pair", "l_cell", "r_cell"]).select("l_id", "r_id", "kind")
 
 
 def _by_rarity(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -83,8 +121,8 @@ def match_corpora(papers: DataFrame, works: DataFrame) -> DataFrame:
     """(id, work, kind) for papers (id, title, year, authors) against a whole corpus of works (id, ord, title, year, authors):
     of the works that match a paper by title, surnames and year, the one with the least `ord`, then the least id.
 
-    Titles meet by their first characters, as in match_titles(), and within such a block by a surname, so that a title
-    thousands of works begin with is not compared with all of them. Two lists of several names must share two, so
+    Titles meet where they are equal or one is a beginning of the other, see begins(), and then by a surname, so that a title
+    thousands of works have or begin with is not compared with all of them. Two lists of several names must share two, so
     all but the most frequent name of each are enough to meet by (of two shared ones, one is among them on either side);
     a list of one name meets the others by any name. Nothing that matches is lost; the rules decide on what meets.
     """
@@ -100,12 +138,21 @@ def match_corpora(papers: DataFrame, works: DataFrame) -> DataFrame:
         every = F.transform("n", lambda x: F.struct(F.lit(together[1]).alias("way"), x.alias("name")))
         one = F.array(*[F.struct(F.lit(w).alias("way"), F.get("n", F.lit(0)).alias("name")) for w in alone])
         ways = F.explode(F.when(F.size("n") == 1, one).otherwise(F.concat(rare, every))).alias("w")
-        own = [F.col(c).alias(f"{p}_{c}") for c in df.columns if c != "block"]
-        return df.select("block", *own, ways).select("block", "w.way", "w.name", *[f"{p}_{c}" for c in df.columns if c != "block"])
-
-    left, right = _by_rarity(ready(papers), ready(works, "ord"))
+        own = [c for c in df.columns if c not in ("key", "whole")]
+        return df.select("key", "whole", *[F.col(c).alias(f"{p}_{c}") for c in own], ways).select("key", "whole", "w.way", "w.name", *[f"{p}_{c}" for c in own])
+
+    def keyed(df: DataFrame, other: DataFrame, own: tuple[bool, ...], begun: bool) -> DataFrame:
+        """A row for each title (key) to meet by: its own, and the other side's that it begins with. whole: the left title is met whole."""
+        found = begins(df, other).groupBy("t").agg(F.collect_list("p").alias("_p"))
+        as_key = lambda t, whole: F.struct(t.alias("key"), F.lit(whole).alias("whole"))
+        ends = F.transform(F.coalesce("_p", F.array().cast("array<string>")), lambda p: as_key(p, begun))
+        keys = F.explode(F.concat(F.array(*[as_key(F.col("t"), w) for w in own]), ends)).alias("_k")
+        return df.join(found, "t", "left").select(*[c for c in df.columns if c != "block"], keys).select("*", "_k.*").drop("_k")
+
+    left, right = (written(df) for df in _by_rarity(ready(papers), ready(works, "ord")))
+    left, right = keyed(left, right, (True,), False), keyed(right, left, (True, False), True)
     # several-several: both by the rare names; a single name of the right meets any of the left ("s"), one of the left any of the right ("t")
-    met = meeting(left, ("t",), ("m", "s"), "l").join(meeting(right, ("s", "t"), ("m", "t"), "r"), ["block", "way", "name"])
+    met = meeting(left, ("t",), ("m", "s"), "l").join(meeting(right, ("s", "t"), ("m", "t"), "r"), ["key", "whole", "way", "name"])
     kind = titles_match(F.col("l_t"), F.col("r_t"))
     fits = met.withColumn("kind", kind).where((F.col("kind") != "") & enough_shared(F.col("l_n"), F.col("r_n")) & plausible_year(F.col("kind"), F.col("l_y"), F.col("r_y")))
     first = fits.groupBy(F.col("l_id").alias("id")).agg(F.min(F.struct("r_ord", "r_id", "kind")).alias("m"))

@@ -238,3 +238,4 @@ def test_caps_do_not_cut_what_a_dump_answers(spark, tmp_path):
     dumps = Dumps(works, spark.createDataFrame([], "doi_key string, c long"), spark.createDataFrame([], "ord long, body string"))
     assert tuple(jobs.citation_sweep(spark, data, 100, config, dumps).first()) == (12, 0)
     assert spark.read.parquet(f"{data}/papers").where("cited_by > 0").count() == 12
+    assert tuple(jobs.preprint_backfill(spark, data, config, dumps).first()) == (0, 0)  # every title was searched
