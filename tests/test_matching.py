@@ -33,3 +33,14 @@ def test_titles_of_either_side_go_on_from_the_other(spark):
     right = spark.createDataFrame([(1, base + " at length"), (2, base), (3, "short"), (4, "an order of thing"), (5, "!")], "id long, title string")
     got = sorted(map(tuple, matching.match_titles(left, right).collect()))
     assert got == [(1, 1, "prefix"), (1, 2, "exact"), (1, 4, "prefix"), (2, 1, "exact"), (2, 2, "prefix"), (2, 4, "prefix"), (3, 3, "exact")]
+
+
+def test_a_title_of_many_rows_is_dealt(spark, monkeypatch):
+    """One title 400 times on either side: its pairs come from many tasks."""
+    monkeypatch.setattr(matching, "CELL", 20, raising=False)
+    monkeypatch.setattr(matching, "PAIRS", 10_000, raising=False)
+    rows = spark.range(400).select("id", F.lit("a title of many rows").alias("title"))
+    got = matching.match_titles(rows, rows)
+    parts = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(parts) == 160_000 and max(parts) < 40_000
+    assert got.distinct().count() == 160_000
