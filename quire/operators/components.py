@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +14,7 @@ from quire.sources.shared import written
 
 HUB = 100_000  # edges of a vertex that go to one group
 HUBS = 50_000  # vertices that may count as hubs: the list of them is broadcast
+FOREST = 1_000_000  # edges that a task holds when it leaves out those within its own trees
 
 
 def dealt(rows: DataFrame, marks: DataFrame, key: str, spread: Column, degrees: DataFrame, limit: int) -> DataFrame:
@@ -24,6 +30,56 @@ def dealt(rows: DataFrame, marks: DataFrame, key: str, spread: Column, degrees:
     return salted.join(each, [key, "_salt"], "left").drop("_salt")
 
 
+def joined(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least number of the component of each of n vertices under edges (a, b)."""
+    least = np.arange(n)
+    while len(a):
+        np.minimum.at(least, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(up := least[least], least):
+            least = up
+        a, b = least[a], least[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+    return least
+
+
+def forest(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) that join the same vertices, v the less: each task puts its edges together in groups of up to FOREST and
+    sends on one edge a vertex, to the least one that it is joined with there. Groups in which edges run together are kept and
+    take in more, so what a task sends follows the vertices it meets and not its edges."""
+    most = FOREST
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def settled() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            ends = pa.concat_arrays([*table["u"].chunks, *table["v"].chunks]).dictionary_encode()
+            order = pc.sort_indices(ends.dictionary)
+            place = np.empty(len(order), np.int64)
+            place[order.to_numpy()] = np.arange(len(order))
+            at = place[ends.indices.to_numpy()]
+            least = joined(at[: table.num_rows], at[table.num_rows :], len(order))
+            u = np.flatnonzero(least != np.arange(len(order)))
+            names = ends.dictionary.take(order)
+            return pa.RecordBatch.from_arrays([names.take(pa.array(u)), names.take(pa.array(least[u]))], names=["u", "v"])
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= most:
+                held = [settled()]
+                size = held[0].num_rows
+                if size > most // 2:
+                    yield held[0]
+                    held, size = [], 0
+        if size:
+            yield settled()
+
+    return edges.select("u", "v").mapInArrow(run, edges.select("u", "v").schema)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", hub: int = HUB) -> DataFrame:
     """(node, component): the least node of each connected component, for every node with an edge.
 
@@ -31,12 +87,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", hub: int
     Small-star: each vertex hands its smaller neighbours to the least of them. Both keep the components and turn each
     into a star about its least node. A component that is a star has settled: its edges are put by as results and
     take no part in later rounds. Edges meet vertices by dealt(), so the edges of a hub never gather; minima and degrees are
-    added up before their shuffle. What goes from round to round is written, so lineage stays short.
+    added up before their shuffle. What goes from round to round is written, so lineage stays short. Before all rounds each
+    task leaves out the edges within trees that it has (see forest()), so the rounds move about an edge a vertex and task.
 
     Rows with a null end have no edge; repeated edges count once; an edge from a node to itself makes it a node.
     """
     given = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
-    left = written(given.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct())
+    left = written(forest(given.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v"))).distinct())
     loops = given.where("x = y").select(F.col("x").alias("node"), F.col("y").alias("component"))
     done = [loops]
     while True:

@@ -92,3 +92,22 @@ def test_settled_components_take_no_further_part(spark, monkeypatch):
     got = C.connected_components(spark.createDataFrame(stars + path, "a long, b long")).collect()
     assert sorted(map(tuple, got)) == union_find(stars + path)
     assert rows[0] > 1200 and rows[4] < 200 and rows[-1] <= 64
+
+
+def test_tasks_send_on_an_edge_a_vertex(spark, monkeypatch):
+    """Edges within the trees of a task go no further: 20,000 edges among 200 vertices become 199 at most of each task."""
+    rows = []
+    plain = C.written
+    monkeypatch.setattr(C, "written", lambda df: (lambda out: (rows.append(out.count()), out)[1])(plain(df)))
+    edges = spark.range(20_000, numPartitions=4).select((F.col("id") % 199).alias("a"), (F.pmod(F.xxhash64("id"), F.lit(200))).alias("b"))
+    assert {r.component for r in C.connected_components(edges).collect()} == {0}
+    assert rows[0] <= 4 * 199
+
+
+@pytest.mark.parametrize("limit", [3, 50])
+def test_forests_of_any_size_keep_components(spark, monkeypatch, limit):
+    monkeypatch.setattr(C, "FOREST", limit)
+    rng = random.Random(limit)
+    edges = [(f"n{rng.randrange(300)}", f"é{rng.randrange(300)}") for _ in range(400)]
+    got = C.connected_components(spark.createDataFrame(edges, "a string, b string")).collect()
+    assert sorted(map(tuple, got)) == union_find(edges)
