@@ -9,6 +9,7 @@ from quire.operators import entities, rows
 from quire.operators.components import connected_components as components
 from quire.plans import publish
 from quire.queries import query, table
+from quire.sources.shared import written
 
 
 @query("""SELECT source AS jkey, count(*)::BIGINT AS count, min(CASE WHEN n_chars <> 0 THEN n_chars END)::BIGINT AS first_year FROM documents GROUP BY source""")
@@ -44,13 +45,17 @@ LABELS = """e AS (SELECT DISTINCT 'o' || l_orderkey AS a, 'p' || l_partkey AS b
 ) + f", labels_ AS (SELECT node, l AS component FROM l{ROUNDS})"
 
 
-def edges(li):  # noqa: ANN001, ANN201
-    return li.select(F.concat(F.lit("o"), "l_orderkey").alias("a"), F.concat(F.lit("p"), "l_partkey").alias("b")).distinct()
+def labels_of(li):  # noqa: ANN001, ANN201
+    """(node, component) of orders and parts. They go through the rounds as numbers, even ones for orders, and get their names
+    with the least name of each component at the end."""
+    found = components(li.select((2 * F.col("l_orderkey").cast("long")).alias("a"), (2 * F.col("l_partkey").cast("long") + 1).alias("b")))
+    named = written(found.select(F.concat(F.when(F.col("node") % 2 == 0, "o").otherwise("p"), F.shiftright("node", 1)).alias("node"), F.col("component").alias("c")))
+    return named.join(named.groupBy("c").agg(F.min("node").alias("component")), "c").select("node", "component")
 
 
 @query(f"WITH {LABELS} SELECT node, component FROM labels_")
 def connected_components(spark, sf_dir):  # noqa: ANN001, ANN201
-    return components(edges(table(spark, sf_dir, "lineitem")))
+    return labels_of(table(spark, sf_dir, "lineitem"))
 
 
 @query(f"""WITH {LABELS}, m AS (SELECT component, p_name AS name, l_orderkey AS o, p_type AS area FROM lineitem JOIN labels_ ON node = 'p' || l_partkey JOIN part ON l_partkey = p_partkey),
@@ -62,7 +67,7 @@ def component_rollup(spark, sf_dir):  # noqa: ANN001, ANN201
 
 
 def rolled_up(lines, part):  # noqa: ANN001, ANN201
-    labels = components(edges(lines))
+    labels = labels_of(lines)
     li = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
     m = li.join(labels, F.concat(F.lit("p"), "l_partkey") == F.col("node")).select("component", F.col("p_name").alias("name"), F.col("l_orderkey").alias("o"), F.col("p_type").alias("area"))
     counts = m.groupBy("component", "name").agg(F.count("*").alias("n"), F.min("o").alias("f"))
