@@ -36,9 +36,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import BASE2, NO_ID, Words, documents, fetched, partitions, prefix, sieve, sieved, slices, sliding_min, span_hash, written
+from quire.sources.shared import shared_dir
 
 WINDOW, GRAM = 50, 25
 SALT_ROWS = 20_000  # rows under one key in a salted group
+RUNS = "quire_runs"  # the schema of the runs where no warehouse is named
 BITS = 32  # of a window's hash that the log holds, beside the 64 of its key
 
 
@@ -166,26 +168,32 @@ def warehouse_is_default(spark: SparkSession) -> bool:
     return scheme in ("", "file") and os.path.normpath(path) == os.path.join(os.getcwd(), "spark-warehouse")
 
 
+def schema_of_runs(spark: SparkSession) -> str:
+    """The schema whose folder all executors share: the current one in a warehouse that has been named, else one of its own
+    in the shared folder, since the default warehouse is a folder of the driver alone."""
+    if not warehouse_is_default(spark):
+        return spark.catalog.currentDatabase()
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {RUNS} LOCATION '{shared_dir(spark)}/{RUNS}'")
+    return RUNS
+
+
 class Index:
     """A named log of runs. match() takes the next batch into it and tells which stretches may have been seen."""
 
     def __init__(self, spark: SparkSession, name: str, bits: int = BITS):
-        """Goes on with the runs of that name in the catalogue, if there are any. The runs lie in the warehouse; on a
-        cluster its folder must have been named, since the default is a folder of the driver alone."""
-        if not spark.conf.get("spark.master", "").startswith("local") and warehouse_is_default(spark):
-            raise ValueError("spark.sql.warehouse.dir must name a folder that all executors share")
-        self.spark, self.name, self.bits = spark, name, bits
+        """Goes on with the runs of that name in the catalogue, if there are any."""
+        self.spark, self.name, self.bits, self.schema = spark, name, bits, schema_of_runs(spark)
         self.runs: dict[str, list[tuple[int, str]]] = {"windows": [], "kinds": []}  # (rows, table), oldest first
-        for t in sorted(x.name for x in spark.catalog.listTables(pattern=f"{name}__*")):
+        for t in sorted(f"{self.schema}.{x.name}" for x in spark.catalog.listTables(self.schema, f"{name}__*")):
             rows = spark.sql(f"SHOW TBLPROPERTIES {t} ('quire.rows')").first()[1]
-            self.runs[t.split("__")[1]].append((int(rows), t))
+            self.runs[t.rsplit("__", 3)[1]].append((int(rows), t))
 
     def _run(self, kind: str, df: DataFrame, key: str, dealt: bool = False) -> None:
-        """df as the newest run: bucketed by key, sorted, one file a bucket, in the warehouse that executors share.
+        """df as the newest run: bucketed by key, sorted, one file a bucket, in the schema that executors share.
         dealt: its rows have been dealt by the key already."""
         parts = partitions(self.spark)
-        number = 1 + max((int(t.split("__")[2]) for r in self.runs.values() for _, t in r), default=-1)
-        table = f"{self.name}__{kind}__{number:08d}__{uuid.uuid4().hex[:8]}"
+        number = 1 + max((int(t.rsplit("__", 3)[2]) for r in self.runs.values() for _, t in r), default=-1)
+        table = f"{self.schema}.{self.name}__{kind}__{number:08d}__{uuid.uuid4().hex[:8]}"
         (df if dealt else df.repartition(parts, key)).write.bucketBy(parts, key).sortBy(key).format("parquet").saveAsTable(table)
         rows = self.spark.table(table).count()
         self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quire.rows' = '{rows}')")

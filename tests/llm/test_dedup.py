@@ -110,6 +110,23 @@ def test_warehouse_must_be_named(spark):
     assert not substring_dedup.warehouse_is_default(spark)
 
 
+def test_runs_without_a_named_warehouse_lie_in_the_shared_folder(spark, rows, folder, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "warehouse_is_default", lambda spark: True)
+    placed, plain = set(), substring_dedup.Index._plain
+
+    def seen(index, table):
+        df = plain(index, table)
+        placed.update(df.inputFiles())
+        return df
+
+    monkeypatch.setattr(substring_dedup.Index, "_plain", seen)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.op4_substring_dedup(spark, folder).collect()}
+    assert got == removed_words({r[0]: r[1] for r in rows})
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    assert placed and all(f"{shared}/{substring_dedup.RUNS}/" in f for f in placed)
+    assert not spark.catalog.listTables(substring_dedup.RUNS)
+
+
 def removed_words_of_rows(data: list[tuple]) -> list[tuple]:
     """As removed_words(), for rows that may share ids or have none (then before all others)."""
     rank = [(d is not None, d or 0) for d, _ in data]
