@@ -499,4 +499,4 @@ def preprint_backfill(spark, sf_dir):  # noqa: ANN001, ANN201
     publish.write_papers(dois(spark, sf_dir), f"{data}/papers")
     config = Config(search_cap=100_000)
     left = jobs.preprint_backfill(spark, data, config, dumps_of(spark, sf_dir)).first()
-    return spark.read.parquet(f"{data}/papers").select("doi_key", "preprint", "preprint_src", F.lit(left.backlog).alias("backlog"))
+    return spark.read.parquet(f"{data}/papers").select("doi_key", "preprint", "preprint_src", F.lit(left.backlog).cast("long").alias("backlog"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.schemas import SEARCH_HIT, WORK_HIT
 from quire.operators import matching
+from quire.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,7 @@ class Dumps:
             parts = (F.try_element_at("hit.title", F.lit(1)), F.try_element_at(F.try_element_at("hit.issued.date-parts", F.lit(1)), F.lit(1)), F.transform("hit.author", lambda a: a["family"]))
             corpus = self.registered
         title, year, names = (F.col(p) if isinstance(p, str) else p for p in parts)
-        held = corpus.withColumn("hit", hit).where(usable.isNotNull()).select(F.col("ord").alias("id"), "ord", title.alias("title"), year.cast("string").alias("year"), names.alias("authors"), "body")
+        held = written(corpus.withColumn("hit", hit).where(usable.isNotNull()).select(F.col("ord").alias("id"), "ord", title.alias("title"), year.cast("string").alias("year"), names.alias("authors"), "body"))
         found = matching.match_corpora(requests.select(F.col("doi_key").alias("id"), "title", "year", "authors"), held.drop("body"))
         bodies = found.join(held.select(F.col("id").alias("work"), "body"), "work").select(F.col("id").alias("doi_key"), "body")
         joined = requests.select("doi_key").join(bodies, "doi_key", "left")

@@ -239,3 +239,20 @@ def test_caps_do_not_cut_what_a_dump_answers(spark, tmp_path):
     assert tuple(jobs.citation_sweep(spark, data, 100, config, dumps).first()) == (12, 0)
     assert spark.read.parquet(f"{data}/papers").where("cited_by > 0").count() == 12
     assert tuple(jobs.preprint_backfill(spark, data, config, dumps).first()) == (0, 0)  # every title was searched
+
+
+def test_a_dump_is_parsed_once_for_its_titles(spark):
+    """However often the matching reads the records, each body is parsed once."""
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf
+    def told(x):
+        parsed.add(1)
+        return x
+
+    hit = lambda k: json.dumps({"doi": f"https://doi.org/10.2139/ssrn.{k}", "title": f"The order of things number {k}", "publication_year": 2020, "authorships": [{"author": {"display_name": "Ann Lee"}}]})
+    works = spark.createDataFrame([(k, hit(k)) for k in range(20)], "ord long, body string").withColumn("body", told.asNondeterministic()("body"))
+    asked = spark.createDataFrame([(f"10.1/{k}", f"The order of things number {k}", "2021", ["Ann Lee"]) for k in range(10)], "doi_key string, title string, year string, authors array<string>")
+    got = Dumps(works).titled(asked, "open").collect()
+    assert {r.doi_key: [json.loads(h)["doi"] for h in r.hits] for r in got} == {f"10.1/{k}": [f"https://doi.org/10.2139/ssrn.{k}"] for k in range(10)}
+    assert parsed.value == 20
