@@ -10,6 +10,7 @@ from quire.sources.shared import written
 
 CELL = 1000  # rows of either side that meet in one group when equal titles are paired
 PAIRS = 10_000_000  # pairs that a task makes, about
+COPIES = 200_000  # rows that a task copies to the cells they meet in, about
 
 
 def enough_shared(mine: Column, theirs: Column) -> Column:
@@ -75,35 +76,51 @@ def begins(longer: DataFrame, shorter: DataFrame) -> DataFrame:
 def match_titles(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs (l_id, r_id, kind) of two corpora (id, title) whose titles match.
 
-    Different titles are matched first, each once: equal ones, and those that begin with another (see begins()). The rows of a
-    pair of titles then meet in cells of about CELL rows of either side, so a title that very many rows have is dealt over
-    many groups, and the tasks grow in number with the pairs.
+    Different titles are matched first, each once: equal ones, and those that begin with another (see begins()). A title then has
+    up to three meetings: of the rows that have it on either side, and of those that have it on one side with all that go on
+    from it on the other. The rows of a meeting meet in cells of about CELL rows of either side, so one of very many rows is
+    dealt over many groups, and the tasks grow in number with the pairs. Rows come to their meetings by title and salt, so
+    that neither the rows of a title nor the titles that go on from one gather in a task.
     """
     def held(df: DataFrame) -> DataFrame:
         t = match_norm(F.col("title"))
         return written(df.select("id", t.alias("t"), F.substring(t, 1, PREFIX_LENGTH).alias("block")).where("block <> ''"))
 
     rows = {"l": held(left), "r": held(right)}
-    each = {p: df.groupBy("t", "block").agg(F.count("*").alias("n")) for p, df in rows.items()}
-    same = each["l"].select(F.col("t").alias("l_t")).join(each["r"].select(F.col("t").alias("r_t")), F.col("l_t") == F.col("r_t")).select("l_t", "r_t", F.lit("exact").alias("kind"))
-    on = begins(each["l"], each["r"]).select(F.col("t").alias("l_t"), F.col("p").alias("r_t"), F.lit("prefix").alias("kind"))
-    back = begins(each["r"], each["l"]).select(F.col("p").alias("l_t"), F.col("t").alias("r_t"), F.lit("prefix").alias("kind"))
-    pairs = same.unionByName(on).unionByName(back)
-    for p in ("l", "r"):
-        pairs = pairs.join(each[p].select(F.col("t").alias(f"{p}_t"), F.col("n").alias(f"{p}_n")), f"{p}_t")
-    pairs = written(pairs.withColumn("pair", F.monotonically_increasing_id()))
-    total = pairs.agg(F.sum(F.col("l_n") * F.col("r_n"))).first()[0] or 0
-    parts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // PAIRS))
+    each = {p: written(df.groupBy("t", "block").agg(F.count("*").alias("n"))) for p, df in rows.items()}
+    same = each["l"].select("t").join(each["r"].select("t"), "t").select(F.lit("same").alias("way"), F.col("t").alias("l_t"), F.col("t").alias("r_t"))
+    on = begins(each["l"], each["r"]).select(F.lit("on").alias("way"), F.col("t").alias("l_t"), F.col("p").alias("r_t"))
+    back = begins(each["r"], each["l"]).select(F.lit("back").alias("way"), F.col("p").alias("l_t"), F.col("t").alias("r_t"))
+    pairs = written(same.unionByName(on).unionByName(back)).withColumn("key", F.when(F.col("way") == "on", F.col("r_t")).otherwise(F.col("l_t")))
+
+    def coming(p: str) -> DataFrame:
+        """The titles of a side in each meeting, with their number of rows."""
+        return pairs.select("way", "key", F.col(f"{p}_t").alias("t")).distinct().join(each[p].select("t", "n"), "t")
+
+    sums = [coming(p).groupBy("way", "key").agg(F.sum("n").alias(f"{p}_n")) for p in ("l", "r")]
+    meetings = written(sums[0].join(sums[1], ["way", "key"]).withColumn("meeting", F.monotonically_increasing_id()))
+
+    def salts(n: str) -> Column:
+        return F.ceil(F.col(n) / CELL)
+
+    counted = (F.col("l_n") * F.col("r_n"), F.col("l_n") * salts("r_n"), F.col("r_n") * salts("l_n"))
+    total, *copies = (int(n or 0) for n in meetings.agg(*map(F.sum, counted)).first())
+    parts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PAIRS))
+    tasks = {p: -(-n // COPIES) for p, n in zip(("l", "r"), copies, strict=True)}
+    cores = left.sparkSession.sparkContext.defaultParallelism
 
     def celled(p: str, other: str) -> DataFrame:
-        """The rows of a side, each in its own row of cells of every pair its title is in."""
-        own = pairs.select("pair", F.col(f"{p}_t").alias("t"), *[F.ceil(F.col(f"{x}_n") / CELL).alias(f"_{x}") for x in ("l", "r")], *(["kind"] if p == "l" else []))
-        met = rows[p].select(F.col("id").alias(f"{p}_id"), "t").join(own, "t").drop("t")
-        place = F.pmod(F.xxhash64(f"{p}_id"), f"_{p}").alias(f"{p}_cell")
-        met = met.select("*", place, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_{other}") - 1)).alias(f"{other}_cell")).drop("_l", "_r")
-        return met.repartition(parts, "pair", "l_cell", "r_cell")
-
-    return celled("l", "r").join(celled("r", "l"), ["pair", "l_cell", "r_cell"]).select("l_id", "r_id", "kind")
+        """The rows of a side, each in its own row of cells of every meeting its title is in."""
+        kind = F.when(F.col("way") == "same", "exact").otherwise("prefix").alias("kind")
+        own = coming(p).join(meetings, ["way", "key"]).select("t", F.explode(F.sequence(F.lit(0).cast("long"), salts("n") - 1)).alias("salt"), "meeting", *[salts(f"{x}_n").alias(f"_{x}") for x in ("l", "r")], *([kind] if p == "l" else []))
+        place = F.xxhash64(f"{p}_id")
+        salted = rows[p].select(F.col("id").alias(f"{p}_id"), "t").join(each[p].select("t", "n"), "t").select(f"{p}_id", "t", F.pmod(place, salts("n")).alias("salt"))
+        dealt = [df.repartition(tasks[p], "t", "salt") if tasks[p] > cores else df for df in (salted, own)]
+        met = dealt[0].join(dealt[1], ["t", "salt"]).drop("t", "salt").withColumn(f"{p}_cell", F.pmod(place, f"_{p}"))
+        met = met.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_{other}") - 1)).alias(f"{other}_cell")).drop("_l", "_r")
+        return met.repartition(parts, "meeting", "l_cell", "r_cell")
+
+    return celled("l", "r").join(celled("r", "l"), ["meeting", "l_cell", "r_cell"]).select("l_id", "r_id", "kind")
 
 
 def _by_rarity(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -44,3 +44,19 @@ def test_a_title_of_many_rows_is_dealt(spark, monkeypatch):
     parts = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(parts) == 160_000 and max(parts) < 40_000
     assert got.distinct().count() == 160_000
+
+
+def test_rows_that_come_to_meet_are_dealt(spark, monkeypatch):
+    """400 rows of a title, and 400 titles of one row that go on from it: a row is copied for each cell, not for each title,
+    and no task copies the rows of a title alone."""
+    monkeypatch.setattr(matching, "CELL", 20)
+    monkeypatch.setattr(matching, "COPIES", 1000, raising=False)
+    short = spark.range(400).select("id", F.lit("a title of many rows").alias("title"))
+    longer = spark.range(400).select("id", F.concat(F.lit("a title of many rows "), F.col("id").cast("string")).alias("title"))
+    plain, met = type(short).repartition, []
+    monkeypatch.setattr(type(short), "repartition", lambda self, *a: met.append(self) or plain(self, *a))
+    assert matching.match_titles(short, longer).where("kind = 'prefix'").distinct().count() == 160_000
+    assert matching.match_titles(longer, short).where("kind = 'prefix'").distinct().count() == 160_000
+    for df in (df for df in met if "l_cell" in df.columns):
+        parts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(parts) == 8_000 and max(parts) < 6_000
